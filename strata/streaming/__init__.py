@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source system is batch only: no stream, watermark, event-time window or
+state exists in it, so this package declares nothing. Loads are triggered per
+partition key (see ``strata.sources.versioned``).
+"""
