@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans import analogue as A
-from strata.plans import marts
+from strata.plans import marts, serve
+from strata.sources import catalog
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -198,4 +199,214 @@ def q_country_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(country_mart(spark, sf_dir), "centroid_lat", "centroid_long")
 
 
+# ------------------------------------------------------------ serving (Q1-Q13)
+
+SEASON = 1997  # the serving queries' bound season parameter
+
+
+def with_marts(body: str) -> str:
+    return with_silver(f"{ALL_MARTS},\n{body}")
+
+
+@register(
+    "season_totals",
+    with_marts(
+        f"""
+totals AS (SELECT 1 AS one)
+SELECT
+  (SELECT COUNT(*) FROM mart_country_race_summary WHERE season = {SEASON}) AS countries,
+  (SELECT CAST(SUM(race_count) AS BIGINT) FROM mart_country_race_summary WHERE season = {SEASON}) AS races,
+  (SELECT COUNT(*) FROM mart_driver_standings WHERE season = {SEASON}) AS drivers,
+  (SELECT SUM(total_points) FROM mart_driver_standings WHERE season = {SEASON}) AS total_points
+"""
+    ),
+)
+def q_season_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.season_totals(country_mart(spark, sf_dir), driver_mart(spark, sf_dir), SEASON)
+
+
+@register(
+    "top5_drivers",
+    with_marts(
+        f"""
+top5 AS (
+    SELECT driver_name, driver_code, primary_constructor AS team, total_points, wins, podiums
+    FROM mart_driver_standings WHERE season = {SEASON}
+    ORDER BY total_points DESC NULLS LAST, driver_id LIMIT 5)
+SELECT * FROM top5"""
+    ),
+)
+def q_top5_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.top_drivers(driver_mart(spark, sf_dir), SEASON, 5)
+
+
+ORACLE_SEASON_DRIVERS = f"""
+standings AS (
+    SELECT driver_name, driver_code, primary_constructor AS team, nationality,
+           total_points, sprint_points, wins, podiums, points_finishes, pole_positions, dnfs,
+           ROUND(avg_finishing_position, 1) AS avg_finish
+    FROM mart_driver_standings WHERE season = {SEASON}
+    ORDER BY total_points DESC NULLS LAST, driver_id)
+SELECT * FROM standings"""
+
+
+@register("season_drivers", with_marts(ORACLE_SEASON_DRIVERS))
+def q_season_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.season_driver_table(driver_mart(spark, sf_dir), SEASON)
+
+
+@register("season_drivers_sql", with_marts(ORACLE_SEASON_DRIVERS))
+def q_season_drivers_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same page as SQL text over a registered view, season bound as ``:season``."""
+    catalog.serving_view(spark, "mart_driver_standings", driver_mart(spark, sf_dir))
+    return serve.page_query(spark, "drivers", SEASON)
+
+
+@register(
+    "season_constructors",
+    with_marts(
+        f"""
+standings AS (
+    SELECT constructor_name, races_entered, total_points, sprint_points, wins, podiums,
+           points_finishes, pole_positions, dnfs, ROUND(avg_finishing_position, 1) AS avg_finish
+    FROM mart_constructor_standings WHERE season = {SEASON}
+    ORDER BY total_points DESC NULLS LAST, constructor_name)
+SELECT * FROM standings"""
+    ),
+)
+def q_season_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.season_constructor_table(constructor_mart(spark, sf_dir), SEASON)
+
+
+@register(
+    "season_top10_constructors",
+    with_marts(
+        f"""
+standings AS (
+    SELECT constructor_name, races_entered, total_points, sprint_points, wins, podiums,
+           points_finishes, pole_positions, dnfs, ROUND(avg_finishing_position, 1) AS avg_finish
+    FROM mart_constructor_standings WHERE season = {SEASON}
+    ORDER BY total_points DESC NULLS LAST, constructor_name LIMIT 10)
+SELECT * FROM standings"""
+    ),
+)
+def q_season_top10_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.season_constructor_table(constructor_mart(spark, sf_dir), SEASON, k=10)
+
+
+@register(
+    "season_countries",
+    with_marts(
+        f"""
+calendar AS (
+    SELECT country, race_count, circuits, first_race_date, latest_race_date,
+           ROUND(centroid_lat, 6) AS latitude, ROUND(centroid_long, 6) AS longitude
+    FROM mart_country_race_summary WHERE season = {SEASON}
+    ORDER BY race_count DESC, country)
+SELECT * FROM calendar"""
+    ),
+)
+def q_season_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(serve.season_country_table(country_mart(spark, sf_dir), SEASON), "latitude", "longitude")
+
+
+@register(
+    "points_by_segment",
+    with_silver(
+        f"""
+gp AS (SELECT driver_id, season, points FROM stg_results WHERE season = {SEASON}),
+sp AS (SELECT driver_id, season, points FROM stg_sprint_results WHERE season = {SEASON}),
+both_ AS (SELECT * FROM gp UNION ALL SELECT * FROM sp)
+SELECT d.nationality, SUM(b.points) AS total_points
+FROM both_ b JOIN stg_drivers d ON b.driver_id = d.driver_id AND b.season = d.season
+GROUP BY d.nationality
+ORDER BY total_points DESC NULLS LAST, d.nationality
+LIMIT 10"""
+    ),
+)
+def q_points_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.points_by_attribute(
+        A.results(spark, sf_dir), A.sprint_results(spark, sf_dir), A.drivers(spark, sf_dir), SEASON
+    )
+
+
+@register(
+    "sprint_points_by_season",
+    with_silver(
+        """
+x AS (SELECT 1)
+SELECT season, SUM(points) AS sprint_points_awarded FROM stg_sprint_results GROUP BY season"""
+    ),
+)
+def q_sprint_points_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.points_per_season(A.sprint_results(spark, sf_dir))
+
+
+@register(
+    "rows_per_season",
+    with_silver(
+        """
+x AS (SELECT 1)
+SELECT season, COUNT(*) AS race_count FROM stg_races GROUP BY season"""
+    ),
+)
+def q_rows_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.rows_per_season(A.races(spark, sf_dir))
+
+
+@register(
+    "seasons_present",
+    with_silver(
+        """
+x AS (SELECT 1)
+SELECT DISTINCT season FROM stg_results"""
+    ),
+)
+def q_seasons_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.distinct_sorted(A.results(spark, sf_dir), "season")
+
+
+@register(
+    "alltime_top5",
+    with_marts(
+        """
+top5 AS (
+    SELECT * REPLACE (ROUND(avg_finishing_position, 6) AS avg_finishing_position)
+    FROM mart_driver_standings
+    ORDER BY total_points DESC NULLS LAST, driver_season_key LIMIT 5)
+SELECT * FROM top5"""
+    ),
+)
+def q_alltime_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(serve.alltime_top(driver_mart(spark, sf_dir), 5), "avg_finishing_position")
+
+
+def raw_races_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped races: every field a string, as landed from JSON."""
+    return A.races(spark, sf_dir).select(
+        F.col("season").cast("string").alias("season"),
+        F.col("round").cast("string").alias("round"),
+        F.col("race_name").alias("raceName"),
+        F.col("race_date").cast("string").alias("date"),
+    )
+
+
+@register(
+    "first_orders",
+    with_silver(
+        """
+raw_races AS (
+    SELECT CAST(season AS VARCHAR) AS season, CAST(round AS VARCHAR) AS round,
+           race_name AS "raceName", CAST(race_date AS VARCHAR) AS date
+    FROM stg_races)
+SELECT season, round, "raceName", date FROM raw_races
+ORDER BY CAST(season AS INTEGER), CAST(round AS INTEGER), CAST("raceName" AS BIGINT)
+LIMIT 10"""
+    ),
+)
+def q_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = raw_races_text(spark, sf_dir).withColumn("_tie", F.col("raceName").cast("bigint"))
+    return serve.first_by_numeric_text(bronze, 10, tie="_tie")
+
+
 FLAGSHIP = "constructor_standings"
