@@ -65,7 +65,7 @@ def string_agg_distinct(
     df: DataFrame, keys: Sequence[str], value: str, sep: str = ", ", alias: str | None = None
 ) -> DataFrame:
     """``STRING_AGG(DISTINCT value, sep)`` per group, values sorted ascending."""
-    distinct_values = df.groupBy(*keys, value).agg()
+    distinct_values = df.select(*keys, value).distinct()
     return distinct_values.groupBy(*keys).agg(sorted_list_agg(value, sep).alias(alias or value))
 
 

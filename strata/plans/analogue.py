@@ -156,3 +156,146 @@ stg_races AS (
     JOIN customer c ON o.o_custkey = c.c_custkey
     JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
+
+
+# ------------------------------------------------- bronze-shaped derivations
+# Inputs in the shape the source system lands (strings, nested structs, pages),
+# derived from the test tables so the ingest and staging code runs on them.
+
+
+def _s(c) -> F.Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order, as string-typed API-style result records."""
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    position = F.when(F.col("l_returnflag") == "R", F.lit("R")).otherwise(
+        _s(F.col("l_partkey") % 20 + 1)
+    )
+    return joined.select(
+        "o_orderkey",
+        "l_linenumber",
+        _s(season_of("o_orderdate")).alias("parent_season"),
+        _s(F.dayofyear("o_orderdate")).alias("parent_round"),
+        _s("o_orderkey").alias("parent_race"),
+        F.struct(
+            _s(F.year("l_shipdate")).alias("season"),
+            F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(_s("l_linenumber")).alias("number"),
+            position.alias("position"),
+            _s(F.col("l_quantity").cast("bigint")).alias("points"),
+            _s(F.col("l_orderkey") % 20 + 1).alias("grid"),
+            _s(F.col("l_linenumber") * 10).alias("laps"),
+            F.col("l_returnflag").alias("status"),
+            F.struct(_s("o_custkey").alias("driverId")).alias("Driver"),
+            F.struct(
+                _s("l_suppkey").alias("constructorId"),
+                F.concat(F.lit("S"), _s("l_suppkey")).alias("name"),
+            ).alias("Constructor"),
+            F.when(
+                F.col("l_linestatus") == "F",
+                F.struct(_s(F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("millis")),
+            ).alias("Time"),
+            F.when(
+                F.col("l_returnflag") != "N",
+                F.struct(
+                    _s(F.col("l_partkey") % 20 + 1).alias("rank"),
+                    F.when(F.col("l_linenumber") > 5, F.lit("x"))
+                    .otherwise(_s("l_linenumber"))
+                    .alias("lap"),
+                ),
+            ).alias("FastestLap"),
+        ).alias("result"),
+    )
+
+
+def nested_order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON text per parent record: an order's lines nested under ``Results``.
+
+    Lines are grouped per (order, line number), so one order can appear as
+    several parents (like a race split over pages); orders without lines give
+    a parent without a ``Results`` key.
+    """
+    recs = line_records(spark, sf_dir)
+    parents = recs.groupBy("o_orderkey", "l_linenumber", "parent_season", "parent_round", "parent_race").agg(
+        F.collect_list("result").alias("Results")
+    )
+    orders = table(spark, sf_dir, "orders")
+    bare = orders.join(
+        table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")),
+        "o_orderkey",
+        "left_anti",
+    ).select(
+        _s(season_of("o_orderdate")).alias("parent_season"),
+        _s(F.dayofyear("o_orderdate")).alias("parent_round"),
+        _s("o_orderkey").alias("parent_race"),
+        F.lit(None).alias("Results"),
+    )
+    shaped = parents.select("parent_season", "parent_round", "parent_race", "Results").unionByName(
+        bare, allowMissingColumns=True
+    )
+    doc = F.struct(
+        F.col("parent_season").alias("season"),
+        F.col("parent_round").alias("round"),
+        F.col("parent_race").alias("raceName"),
+        F.col("Results"),
+    )
+    return shaped.select(F.to_json(doc).alias("json"))
+
+
+def positions_within(df: DataFrame, keys: list[str], order_col: str, block: int = 1 << 14) -> DataFrame:
+    """0-based position of each row within ``keys`` by ``order_col`` (unique per key).
+
+    Distributed: rows are numbered inside (keys, order_col // block) blocks,
+    and each block's start comes from a running sum over the small table of
+    block counts, so no key's rows ever meet in one task.
+    """
+    from pyspark.sql import Window
+
+    blk = F.floor(F.col(order_col) / F.lit(block))
+    with_blk = df.withColumn("_blk", blk)
+    counts = with_blk.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inner = Window.partitionBy(*keys, "_blk").orderBy(order_col)
+    ranked = with_blk.withColumn("_r", F.row_number().over(inner))
+    return (
+        ranked.join(starts, [*keys, "_blk"])
+        .withColumn("position", F.col("_start") + F.col("_r") - 1)
+        .drop("_blk", "_r", "_start")
+    )
+
+
+ORDER_RECORD_FIELDS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+
+def order_pages(spark: SparkSession, sf_dir: str, page_size: int = 30, published_only: bool = False) -> DataFrame:
+    """Orders as API pages per season: ``season, offset, json``.
+
+    ``total`` is the season's number of orders. With ``published_only`` the
+    pages list only orders not pending (status ``P``) while the total still
+    counts them, so the last pages of a season are never served.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("season", _s(season_of("o_orderdate")))
+    totals = orders.groupBy("season").agg(F.count(F.lit(1)).alias("total"))
+    listed = orders.filter(F.col("o_orderstatus") != "P") if published_only else orders
+    placed = positions_within(listed, ["season"], "o_orderkey")
+    record = F.struct(*[_s(c).alias(c) for c in ORDER_RECORD_FIELDS])
+    paged = placed.withColumn("offset", (F.floor(F.col("position") / page_size) * page_size).cast("long"))
+    pages = paged.groupBy("season", "offset").agg(F.collect_list(record).alias("Orders"))
+    pages = pages.join(totals, "season")
+    doc = F.struct(
+        F.struct(
+            _s("total").alias("total"),
+            F.struct(F.col("Orders").alias("Orders")).alias("OrderTable"),
+        ).alias("MRData")
+    )
+    return pages.select("season", "offset", F.to_json(doc).alias("json"))
+
+
+def land_order_pages(pages: DataFrame, root: str) -> str:
+    """Write pages as JSON lines in the landing layout ``season=<k>/offset=<n>/``."""
+    pages.write.mode("errorifexists").partitionBy("season", "offset").text(root)
+    return root

@@ -409,4 +409,8 @@ def q_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.first_by_numeric_text(bronze, 10, tie="_tie")
 
 
+
 FLAGSHIP = "constructor_standings"
+
+# Importing the second registry module adds its queries.
+from strata.plans import registry_ingest  # noqa: E402,F401
