@@ -289,6 +289,7 @@ def order_pages(spark: SparkSession, sf_dir: str, page_size: int = 30, published
     doc = F.struct(
         F.struct(
             _s("total").alias("total"),
+            _s("offset").alias("offset"),
             F.struct(F.col("Orders").alias("Orders")).alias("OrderTable"),
         ).alias("MRData")
     )
@@ -296,6 +297,6 @@ def order_pages(spark: SparkSession, sf_dir: str, page_size: int = 30, published
 
 
 def land_order_pages(pages: DataFrame, root: str) -> str:
-    """Write pages as JSON lines in the landing layout ``season=<k>/offset=<n>/``."""
-    pages.write.mode("errorifexists").partitionBy("season", "offset").text(root)
+    """Write pages as JSON lines, one folder per key: ``season=<k>/part-*``."""
+    pages.drop("offset").write.mode("errorifexists").partitionBy("season").text(root)
     return root

@@ -4,6 +4,9 @@ A fetcher (outside this library) lands each API page as one JSON document:
 
     <root>/<dataset>/<endpoint>/<key_column>=<key>/offset=<n>/page.json
 
+or many pages of a key as JSON lines under ``<key_column>=<key>/``, each page
+carrying its ``offset`` in the envelope (far fewer files at scale).
+
 Each page is ``{envelope_key: {total_key: "70", <container path>: [records]}}``.
 Reading is a narrow plan: JSON scan → ``explode`` of the container array →
 ``select``; tasks follow the page files, nothing is shuffled and no page goes
@@ -41,13 +44,15 @@ def envelope_schema(
     record: T.StructType,
     envelope_key: str = "MRData",
     total_key: str = "total",
+    offset_key: str = "offset",
 ) -> T.StructType:
-    """Declared schema of one page: the envelope, its total, the record array."""
+    """Declared schema of one page: the envelope, its total and offset, the records."""
     inner: T.DataType = T.ArrayType(record)
     for name in reversed(container_path):
         inner = T.StructType([T.StructField(name, inner)])
     assert isinstance(inner, T.StructType)
-    fields = [T.StructField(total_key, T.StringType())] + list(inner.fields)
+    fields = [T.StructField(total_key, T.StringType()), T.StructField(offset_key, T.StringType())]
+    fields += list(inner.fields)
     return T.StructType([T.StructField(envelope_key, T.StructType(fields))])
 
 
@@ -74,7 +79,10 @@ def _read_envelopes(
     )
     if keys is not None:
         pages = pages.filter(F.col(key_column).isin([str(k) for k in keys]))
-    return pages
+    # The offset comes from an ``offset=<n>`` folder when the landing has one
+    # (one file per page), else from the envelope (many pages per file).
+    envelope_offset = F.col(f"{schema.fields[0].name}.offset").cast("long")
+    return pages.withColumn(OFFSET_DIR, F.coalesce(F.col(OFFSET_DIR), envelope_offset))
 
 
 def read_pages(
