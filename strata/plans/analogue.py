@@ -33,19 +33,20 @@ def season_of(ts_col: str) -> F.Column:
     return F.year(ts_col).cast("int")
 
 
-def _result_rows(spark: SparkSession, sf_dir: str, linestatus: str) -> DataFrame:
+def _result_rows(spark: SparkSession, sf_dir: str, linestatus: str, named: bool = True) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == linestatus)
     orders = table(spark, sf_dir, "orders")
-    suppliers = table(spark, sf_dir, "supplier")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
-        suppliers, lines.l_suppkey == suppliers.s_suppkey
-    )
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    team = [F.col("l_suppkey").alias("constructor_id")]
+    if named:
+        suppliers = table(spark, sf_dir, "supplier")
+        joined = joined.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        team.append(F.col("s_name").alias("constructor_name"))
     return joined.select(
         season_of("o_orderdate").alias("season"),
         F.dayofyear("o_orderdate").alias("round"),
         F.col("o_custkey").alias("driver_id"),
-        F.col("s_suppkey").alias("constructor_id"),
-        F.col("s_name").alias("constructor_name"),
+        *team,
         F.col("l_quantity").alias("points"),
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("int"))
         .otherwise((F.col("l_partkey") % 20 + 1).cast("int"))
@@ -64,6 +65,22 @@ def sprint_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result_rows(spark, sf_dir, "O")
 
 
+def results_by_team_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grand Prix rows carrying the team id only (names attached after aggregating)."""
+    return _result_rows(spark, sf_dir, "F", named=False)
+
+
+def sprints_by_team_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _result_rows(spark, sf_dir, "O", named=False)
+
+
+def team_names(spark: SparkSession, sf_dir: str):
+    """Team id → name lookup (``supplier``)."""
+    from strata.plans.marts import NameLookup
+
+    return NameLookup(table(spark, sf_dir, "supplier"), "s_suppkey", "s_name")
+
+
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (season, driver) with an order that season (stg_drivers roles)."""
     orders = table(spark, sf_dir, "orders")

@@ -13,6 +13,7 @@ joins between them need no extra exchange.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,28 @@ STANDINGS_TAIL = (
 )
 
 
+@dataclass(frozen=True)
+class NameLookup:
+    """Id → name dimension for the team (or entity) column of the results.
+
+    With a lookup the results carry the id; the marts aggregate on the id and
+    join the names onto the aggregate, not onto every result row. The result
+    is the same as ``results JOIN lookup USING (id)`` followed by a group-by
+    on the name (duplicate ids or shared names included), but the join sees
+    one row per (season, id) instead of one per result.
+    """
+
+    frame: DataFrame
+    id_col: str
+    name_col: str
+
+    def attach(self, df: DataFrame, id_in_df: str, name_out: str) -> DataFrame:
+        names = self.frame.select(
+            F.col(self.id_col).alias(id_in_df), F.col(self.name_col).alias(name_out)
+        )
+        return df.join(names, id_in_df, "inner").drop(id_in_df)
+
+
 def _race_stat_aggs(points: str, position: str, grid: str) -> list[Column]:
     pos = F.col(position)
     return [
@@ -73,17 +96,39 @@ def constructor_standings(
     grid: str = "grid_position",
     key_name: str = "constructor_season_key",
     sort: bool = False,
+    names: NameLookup | None = None,
+    names_id: str = "constructor_id",
 ) -> DataFrame:
     """Championship standings per (entity, season).
 
     ``total_points = race_points + COALESCE(sprint_points, 0)``; the counts use
     Grand Prix rows only; ``races_entered`` counts result rows (car entries).
+    With ``names`` the results carry the id column ``names_id`` instead of the
+    entity name, and names are attached after a first aggregate on the id.
     """
-    stats = results.groupBy(season, entity).agg(
-        *_race_stat_aggs(points, position, grid),
-        F.avg(position).alias("avg_finishing_position"),
-    )
-    out = _with_totals(stats, _sprint_points(sprints, season, entity, points), season, entity)
+    if names is None:
+        stats = results.groupBy(season, entity).agg(
+            *_race_stat_aggs(points, position, grid),
+            F.avg(position).alias("avg_finishing_position"),
+        )
+        sprint = _sprint_points(sprints, season, entity, points)
+    else:
+        pos = F.col(position)
+        per_id = results.groupBy(season, names_id).agg(
+            *_race_stat_aggs(points, position, grid),
+            F.sum(pos).alias("_pos_sum"),
+            F.count(pos).alias("_pos_n"),
+        )
+        named = names.attach(per_id, names_id, entity)
+        stats = named.groupBy(season, entity).agg(
+            *[F.sum(c).alias(c) for c in ("race_points", *COUNT_STATS)],
+            F.try_divide(F.sum("_pos_sum"), F.sum("_pos_n")).alias("avg_finishing_position"),
+        )
+        sprint_per_id = _sprint_points(sprints, season, names_id, points)
+        sprint = names.attach(sprint_per_id, names_id, entity).groupBy(season, entity).agg(
+            F.sum("sprint_points").alias("sprint_points")
+        )
+    out = _with_totals(stats, sprint, season, entity)
     out = out.select(
         surrogate_key(season, entity).alias(key_name), season, entity, *STANDINGS_TAIL
     )
@@ -104,6 +149,8 @@ def driver_standings(
     attributes: Mapping[str, str] | None = None,
     key_name: str = "driver_season_key",
     sort: bool = False,
+    team_names: NameLookup | None = None,
+    team_id: str = "constructor_id",
 ) -> DataFrame:
     """Championship standings per (driver, season) with driver attributes.
 
@@ -128,12 +175,20 @@ def driver_standings(
         }
     )
     pos = F.col(position)
-    per_team = results.groupBy(season, entity, team).agg(
+    sums = ["race_points", *COUNT_STATS]
+    partials = ["race_points", *COUNT_STATS, "_pos_sum", "_pos_n"]
+    team_key = team if team_names is None else team_id
+    per_team = results.groupBy(season, entity, team_key).agg(
         *_race_stat_aggs(points, position, grid),
         F.sum(pos).alias("_pos_sum"),
         F.count(pos).alias("_pos_n"),
     )
-    sums = ["race_points", *COUNT_STATS]
+    if team_names is not None:
+        # (season, driver, team id) rows get their team name, then the rows of
+        # ids sharing a name are combined: the same as naming each result row.
+        per_team = team_names.attach(per_team, team_id, team).groupBy(season, entity, team).agg(
+            *[F.sum(c).alias(c) for c in partials]
+        )
     per_driver = per_team.groupBy(season, entity).agg(
         mode_from_counts(team, "races_entered").alias("primary_constructor"),
         *[F.sum(c).alias(c) for c in sums],

@@ -145,14 +145,21 @@ ALL_MARTS = f"{ORACLE_CONSTRUCTOR_MART},\n{ORACLE_DRIVER_MART},\n{ORACLE_COUNTRY
 
 
 def constructor_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 on the analogue: aggregated per (season, supplier id), named afterwards."""
     return marts.constructor_standings(
-        A.results(spark, sf_dir), A.sprint_results(spark, sf_dir)
+        A.results_by_team_id(spark, sf_dir),
+        A.sprints_by_team_id(spark, sf_dir),
+        names=A.team_names(spark, sf_dir),
     )
 
 
 def driver_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 on the analogue: team names attached after the first aggregate."""
     return marts.driver_standings(
-        A.results(spark, sf_dir), A.drivers(spark, sf_dir), A.sprint_results(spark, sf_dir)
+        A.results_by_team_id(spark, sf_dir),
+        A.drivers(spark, sf_dir),
+        A.sprints_by_team_id(spark, sf_dir),
+        team_names=A.team_names(spark, sf_dir),
     )
 
 
