@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.audit import MART_TESTS, Tests, audit
 from strata.paths import GOLD, SILVER, dataset_location
@@ -18,18 +19,48 @@ from strata.plans import marts
 from strata.session import work_root
 from strata.sources.catalog import materialise, register
 from strata.sources.ingest import load_bronze, read_bronze
+from strata.sources.versioned import SliceTable
 from strata.specs import Dataset
 
 
 def write_audit_publish(df: DataFrame, tests: Tests, path: str, partition_by: Sequence[str] = ()) -> dict[str, int]:
-    """Materialise, test, then publish ``df`` at ``path``; raises on a failed test."""
-    work_root(df.sparkSession)  # makes sure a shared checkpoint folder is configured
-    frozen = df.checkpoint(eager=True)
+    """Materialise, test, then publish ``df`` at ``path``; raises on a failed test.
+
+    Plain Parquet output: the overwrite itself is not atomic. See
+    :func:`publish_version` for an atomic, versioned publication.
+    """
+    frozen = _frozen(df)
     results = audit(frozen, tests)
     materialise(frozen, path, partition_by=tuple(partition_by))
     return results
 
 
+def _frozen(df: DataFrame) -> DataFrame:
+    work_root(df.sparkSession)  # makes sure a shared checkpoint folder is configured
+    return df.checkpoint(eager=True)
+
+
+def publish_version(
+    df: DataFrame, tests: Tests, path: str, slice_column: str | None = "season", slice_type: str = "int"
+) -> tuple[SliceTable, int]:
+    """Test ``df`` and publish it as the next version of a slice table at ``path``.
+
+    A full rebuild: every slice is replaced, slices that vanished are emptied.
+    Readers keep seeing the previous version until the commit is written, so a
+    failed test or a crashed write never exposes a partial mart, and earlier
+    versions stay readable. Slicing by season gives a Hive layout whose
+    one-season reads list one folder.
+    """
+    frozen = _frozen(df)
+    audit(frozen, tests)
+    table = SliceTable(df.sparkSession, path, slice_column, slice_type)
+    stamped = frozen if slice_column is None else frozen.withColumn(
+        slice_column, F.col(slice_column).cast("string")
+    )
+    version = table.load(stamped, replace_all=True, operation="PUBLISH")
+    return table, version
+
+
 def build_silver(spark: SparkSession, dataset: Dataset, root: str | None = None) -> dict[str, DataFrame]:
     raw = read_bronze(spark, dataset, root)
     out = {}
@@ -52,9 +83,9 @@ def build_gold(spark: SparkSession, dataset: Dataset, silver: dict[str, DataFram
     }
     out = {}
     for name, df in models.items():
-        path = dataset_location(GOLD, dataset.name, name, root)
-        write_audit_publish(df, MART_TESTS[name], path)
-        out[name] = register(spark, name, path)
+        path = dataset_location(GOLD, dataset.name, name, root, ext="slices")
+        table, _ = publish_version(df, MART_TESTS[name], path)
+        out[name] = register(spark, name, table.read(schema=df.schema))
     return out
 
 

@@ -67,6 +67,7 @@ class SliceTable:
     spark: SparkSession
     path: str
     slice_column: str | None = "season"
+    slice_type: str = "string"
 
     @property
     def data_path(self) -> str:
@@ -157,6 +158,8 @@ class SliceTable:
             )
         if not keep_batch:
             out = out.drop(BATCH)
+        if self.slice_column is not None and self.slice_type != "string":
+            out = out.withColumn(self.slice_column, F.col(self.slice_column).cast(self.slice_type))
         return out
 
     # -------------------------------------------------------------- writes
@@ -200,13 +203,17 @@ class SliceTable:
         df: DataFrame,
         keys: Sequence[str] | None = None,
         operation: str = "WRITE",
+        replace_all: bool = False,
     ) -> int:
         """Replace the slices ``keys`` with the rows of ``df``; returns the new version.
 
         ``df`` carries the slice column (see :meth:`stamp`). Every key gets a
         commit row, also a key without rows: that is what empties a slice.
-        Without ``keys`` the slices present in ``df`` are replaced.
+        Without ``keys`` the slices present in ``df`` are replaced; with
+        ``replace_all`` every live slice absent from ``df`` is emptied too (a
+        full rebuild).
         """
+        live = [s for s, _, n in self.live_batches() if n > 0] if replace_all else []
         version = self.version() + 1
         token = uuid.uuid4().hex
         if self.slice_column is None:
@@ -218,6 +225,7 @@ class SliceTable:
             if stray:
                 raise ValueError(f"rows for slices outside the load's keys: {sorted(stray)[:5]}")
         wanted = [str(k) for k in keys] if keys is not None else sorted(counts)
+        wanted += [k for k in live if k not in set(wanted)]
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         rows = [
             (version, None if self.slice_column is None else k, token, operation, counts.get(k, 0), now)

@@ -128,3 +128,21 @@ def test_one_slice_read_prunes(spark, scratch):
     assert rows(df, "season", "id") == [("2024", 2)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "2023" not in plan
+
+
+def test_publish_version_is_full_and_atomic(spark, scratch):
+    from strata.operators.audit import AuditError, Tests
+    from strata.plans.build import publish_version
+
+    tests = Tests(unique=("k",), not_null=("k",))
+    first = spark.createDataFrame([(2023, "a", 1.0), (2024, "b", 2.0)], "season int, k string, v double")
+    table, v0 = publish_version(first, tests, f"{scratch}/mart")
+    second = spark.createDataFrame([(2024, "c", 3.0)], "season int, k string, v double")
+    publish_version(second, tests, f"{scratch}/mart")
+    assert rows(table.read(), "season", "k") == [(2024, "c")]  # 2023 vanished → emptied
+    assert dict(table.read().dtypes)["season"] == "int"
+    bad = spark.createDataFrame([(2024, "d", 1.0), (2024, "d", 2.0)], "season int, k string, v double")
+    with pytest.raises(AuditError):
+        publish_version(bad, tests, f"{scratch}/mart")
+    assert rows(table.read(), "season", "k") == [(2024, "c")]
+    assert rows(table.read(version=v0), "season", "k") == [(2023, "a"), (2024, "b")]
