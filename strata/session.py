@@ -53,6 +53,25 @@ def build_session(
     return spark
 
 
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Sizing for a large cluster, from an estimate of the largest shuffle.
+
+    The initial shuffle partition count is chosen so that each partition of the
+    largest exchange is about ``partition_bytes``; AQE then coalesces the small
+    ones at runtime toward the same advisory size, and splits partitions of a
+    skewed join side above four times it. Scan splits use the same size, so a
+    task's input fits comfortably in executor memory.
+    """
+    partitions = max(200, min(max_partitions, -(-shuffle_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:

@@ -41,6 +41,9 @@ def register(spark: SparkSession, name: str, source: DataFrame | str) -> DataFra
 def register_external(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A catalog table over a Parquet folder, kept across sessions by the metastore."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        # a Hive-partitioned folder: register the partitions found on disk
+        spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
     return spark.table(name)
 
 
