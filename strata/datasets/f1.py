@@ -98,8 +98,11 @@ RAW_SCHEMAS = {
 }
 
 
-def page_reader(landing_root: str, endpoint: str, record: T.StructType, container: Sequence[str]):
-    """Reader over ``<landing_root>/<dataset>/<endpoint>/season=<key>/offset=<n>/``."""
+def page_reader(
+    landing_root: str, endpoint: str, record: T.StructType, container: Sequence[str], json_lines: bool = False
+):
+    """Reader over ``<landing_root>/<dataset>/<endpoint>/season=<key>/``: one page
+    per file (``offset=<n>/page.json``) or, with ``json_lines``, one page per line."""
 
     def read(spark: SparkSession, keys: Sequence[str] | None) -> DataFrame:
         return read_pages(
@@ -111,14 +114,15 @@ def page_reader(landing_root: str, endpoint: str, record: T.StructType, containe
             key_column="season",
             envelope_key=ENVELOPE_KEY,
             total_key=TOTAL_KEY,
+            multi_line=not json_lines,
         )
 
     return read
 
 
-def sources(landing_root: str) -> tuple[SourceSpec, ...]:
+def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ...]:
     """The four bronze sources, reading landed pages under ``landing_root``."""
-    reader = partial(page_reader, landing_root)
+    reader = partial(page_reader, landing_root, json_lines=json_lines)
     return (
         SourceSpec("raw_races", reader("races", RACE_RECORD, ["RaceTable", "Races"]), partition_column="season"),
         SourceSpec(
@@ -139,10 +143,10 @@ def sources(landing_root: str) -> tuple[SourceSpec, ...]:
     )
 
 
-def dataset(landing_root: str, seasons: Sequence[str] = SEASONS) -> Dataset:
+def dataset(landing_root: str, seasons: Sequence[str] = SEASONS, json_lines: bool = False) -> Dataset:
     return Dataset(
         name=DATASET,
-        sources=sources(landing_root),
+        sources=sources(landing_root, json_lines),
         partitions=tuple(seasons),
         models={
             "stg_races": lambda raw: staging.stg_races(raw["raw_races"]),

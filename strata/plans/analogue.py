@@ -195,6 +195,7 @@ def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         "o_orderkey",
         "l_linenumber",
+        "l_linestatus",
         _s(season_of("o_orderdate")).alias("parent_season"),
         _s(F.dayofyear("o_orderdate")).alias("parent_round"),
         _s("o_orderkey").alias("parent_race"),
@@ -262,8 +263,11 @@ def nested_order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped.select(F.to_json(doc).alias("json"))
 
 
-def positions_within(df: DataFrame, keys: list[str], order_col: str, block: int = 1 << 14) -> DataFrame:
-    """0-based position of each row within ``keys`` by ``order_col`` (unique per key).
+def positions_within(
+    df: DataFrame, keys: list[str], order_col: str, block: int = 1 << 14, then_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """0-based position of each row within ``keys`` by ``(order_col, *then_by)``
+    (unique per key).
 
     Distributed: rows are numbered inside (keys, order_col // block) blocks,
     and each block's start comes from a running sum over the small table of
@@ -276,7 +280,7 @@ def positions_within(df: DataFrame, keys: list[str], order_col: str, block: int
     counts = with_blk.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inner = Window.partitionBy(*keys, "_blk").orderBy(order_col)
+    inner = Window.partitionBy(*keys, "_blk").orderBy(order_col, *then_by)
     ranked = with_blk.withColumn("_r", F.row_number().over(inner))
     return (
         ranked.join(starts, [*keys, "_blk"])
@@ -317,3 +321,50 @@ def land_order_pages(pages: DataFrame, root: str) -> str:
     """Write pages as JSON lines, one folder per key: ``season=<k>/part-*``."""
     pages.drop("offset").write.mode("errorifexists").partitionBy("season").text(root)
     return root
+
+
+def race_result_pages(
+    spark: SparkSession, sf_dir: str, linestatus: str, array_key: str, page_size: int = 30
+) -> DataFrame:
+    """API pages of race records nesting result records: ``season, json``.
+
+    Lines with ``linestatus`` become result records under ``array_key``; one
+    race record per (order, line number), so an order can span several race
+    records and pages. Pages hold ``page_size`` race records, numbered per
+    season; ``total`` is the season's count of race records.
+    """
+    recs = line_records(spark, sf_dir).filter(F.col("l_linestatus") == linestatus)
+    parents = recs.groupBy("o_orderkey", "l_linenumber", "parent_season", "parent_round", "parent_race").agg(
+        F.collect_list("result").alias(array_key)
+    )
+    placed = positions_within(parents, ["parent_season"], "o_orderkey", then_by=("l_linenumber",))
+    paged = placed.withColumn("offset", (F.floor(F.col("position") / page_size) * page_size).cast("long"))
+    race = F.struct(
+        F.col("parent_season").alias("season"),
+        F.col("parent_round").alias("round"),
+        F.col("parent_race").alias("raceName"),
+        F.col(array_key),
+    )
+    pages = paged.groupBy("parent_season", "offset").agg(F.collect_list(race).alias("Races"))
+    totals = parents.groupBy("parent_season").agg(F.count(F.lit(1)).alias("total"))
+    pages = pages.join(totals, "parent_season")
+    doc = F.struct(
+        F.struct(
+            _s("total").alias("total"),
+            _s("offset").alias("offset"),
+            F.struct(F.col("Races").alias("Races")).alias("RaceTable"),
+        ).alias("MRData")
+    )
+    return pages.select(F.col("parent_season").alias("season"), F.to_json(doc).alias("json"))
+
+
+def land_text_pages(pages: DataFrame, root: str) -> str:
+    """Write ``season, json`` pages as JSON lines under ``root/season=<k>/``."""
+    pages.write.mode("errorifexists").partitionBy("season").text(root)
+    return root
+
+
+def seasons_present(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The partition keys of the analogue (a handful of years; metadata)."""
+    years = table(spark, sf_dir, "orders").select(_s(season_of("o_orderdate")).alias("s")).distinct()
+    return sorted(r["s"] for r in years.collect())
