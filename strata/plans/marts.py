@@ -43,7 +43,9 @@ class NameLookup:
     join the names onto the aggregate, not onto every result row. The result
     is the same as ``results JOIN lookup USING (id)`` followed by a group-by
     on the name (duplicate ids or shared names included), but the join sees
-    one row per (season, id) instead of one per result.
+    one row per (season, id) instead of one per result. Worth it when the
+    first aggregate shrinks the rows a lot (many results per (season, id));
+    when the grouping keys are nearly unique per row it only adds a shuffle.
     """
 
     frame: DataFrame
