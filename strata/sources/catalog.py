@@ -58,3 +58,8 @@ def serving_view(spark: SparkSession, name: str, source: DataFrame | str, cache:
 def read_model(spark: SparkSession, path: str) -> DataFrame:
     """Read one silver or gold table."""
     return spark.read.parquet(path)
+
+
+def register_bronze(spark: SparkSession, name: str, table, version: int | None = None, schema=None) -> DataFrame:
+    """Expose a versioned bronze table (current or as of ``version``) to SQL as ``name``."""
+    return register(spark, name, table.read(version=version, schema=schema))
