@@ -1,21 +1,25 @@
-"""Versioned bronze tables whose slices are replaced whole, on plain Parquet.
+"""Versioned tables whose slices are replaced whole, on plain Parquet.
 
 Layout under the table path::
 
     data/<slice>=<key>/batch_id=<token>/part-*.parquet   rows of one load of one slice
-    commits/v<version>/part-*.parquet                    one row per slice the load replaced
+    commits/v=<version, 12 digits>/part-*.parquet         the live map at that version
 
 A load writes its rows under a fresh ``batch_id`` (never reused, so a crashed
-load cannot mix with its retry) and then writes one commit folder with
-``errorifexists``. Readers only see batches named by commits, so data of a
-load without a commit stays invisible. The live batch of a slice at version
-*v* is the one of its latest commit with ``version <= v``; a commit with zero
-rows empties its slice. The reader lists only the live batch folders, so old
-batches cost nothing but storage.
-
-Limits: one writer per table (the ``errorifexists`` commit notices a clash,
-it is not a lock); an as-of read shows the current merged schema; superseded
-batches stay on disk until removed.
+load cannot mix with its retry), then writes the commit folder of the next
+version with ``errorifexists``. Each commit holds the whole live map (one row
+per slice: its batch, row count, and whether this version changed it), so a
+read at any version opens exactly one commit folder and lists only the live
+batch folders: its cost does not grow with the table's history. Versions are
+contiguous from 0; the current one is found by an exponential then binary
+search over commit folders (a few listings, remembered per table object).
+Readers only see batches named by a commit, so data of a load without a
+commit stays invisible; a commit with zero rows for a slice empties it.
+
+Limits: one writer per table (``errorifexists`` notices a clash on the same
+version, it is not a lock); an as-of read shows the current merged schema;
+superseded batches stay on disk until removed; a commit write that crashed
+after creating its folder must be removed by hand before the next load.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +45,11 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType(), False),
         T.StructField("row_count", T.LongType(), False),
         T.StructField("committed_at", T.TimestampType(), False),
+        T.StructField("changed", T.BooleanType(), False),
     ]
 )
+HISTORY_COLUMNS = ["version", "slice", BATCH, "operation", "row_count", "committed_at"]
+VERSION_DIR = "v"
 
 # Characters Spark escapes (as %XX) in partition folder names,
 # and the folder name it uses for a NULL or empty partition value.
@@ -68,6 +75,7 @@ class SliceTable:
     path: str
     slice_column: str | None = "season"
     slice_type: str = "string"
+    _known: int = field(default=-1, init=False, repr=False, compare=False)
 
     @property
     def data_path(self) -> str:
@@ -79,30 +87,52 @@ class SliceTable:
 
     # ------------------------------------------------------------ metadata
 
-    def history(self) -> DataFrame:
-        """All commits (version, slice, batch_id, operation, row_count, committed_at)."""
+    def _commit_dir(self, version: int) -> str:
+        return f"{self.commits_path}/{VERSION_DIR}={version:012d}"
+
+    def _committed(self, version: int) -> bool:
+        """Whether the commit folder of ``version`` holds its file (a listing, no job)."""
+        if version < 0:
+            return True
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.commits_path}/v*")
+            self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self._commit_dir(version)}/*.parquet")
+            return True
         except AnalysisException:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+            return False
 
     def version(self) -> int:
         """Current version; -1 for a table without commits."""
-        row = self.history().agg(F.max("version").alias("v")).first()
-        return -1 if row is None or row["v"] is None else int(row["v"])
+        lo = self._known if self._committed(self._known) else -1
+        hi, step = lo + 1, 1
+        while self._committed(hi):
+            lo, hi, step = hi, hi + step, step * 2
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            lo, hi = (mid, hi) if self._committed(mid) else (lo, mid)
+        self._known = lo
+        return lo
+
+    def _live_rows(self, version: int) -> list:
+        """The live map at ``version``: one commit folder, one row per slice (metadata)."""
+        if version < 0:
+            return []
+        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(version)).collect()
+        return [r for r in rows if r[BATCH]]
 
-    def live_batches(self, version: int | None = None) -> list[tuple[str, str, int]]:
-        """(slice, batch_id, row_count) of every slice's latest commit at ``version``.
+    def history(self) -> DataFrame:
+        """Every change: (version, slice, batch_id, operation, row_count, committed_at)."""
+        try:
+            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], COMMIT_SCHEMA).select(*HISTORY_COLUMNS)
+        return commits.filter(F.col("changed")).select(*HISTORY_COLUMNS)
 
-        This is metadata, one row per slice, so it is collected.
-        """
-        commits = self.history()
-        if version is not None:
-            commits = commits.filter(F.col("version") <= F.lit(version))
-        latest = commits.groupBy("slice").agg(
-            F.max_by(F.struct(BATCH, "row_count"), "version").alias("b")
-        )
-        return [(r["slice"], r["b"][BATCH], int(r["b"]["row_count"])) for r in latest.collect()]
+    def live_batches(self, version: int | None = None) -> list[tuple[str, str, int]]:
+        """(slice, batch_id, row_count) of every slice at ``version`` (default: current)."""
+        if version is None or not self._committed(version):
+            current = self.version()
+            version = current if version is None else min(version, current)
+        return [(r["slice"], r[BATCH], int(r["row_count"])) for r in self._live_rows(version)]
 
     # --------------------------------------------------------------- reads
 
@@ -131,10 +161,11 @@ class SliceTable:
         columns absent from older files read as NULL). Without it the schemas of
         the live files are merged. The slice column reads back as a string.
         """
+        wanted = None if slices is None else {str(x) for x in slices}
         live = [
             (s, b, n)
             for s, b, n in self.live_batches(version)
-            if n > 0 and (slices is None or s in set(slices))
+            if n > 0 and (wanted is None or s in wanted)
         ]
         paths = [self._batch_dir(s, b) for s, b, _ in live]
         part_fields = self._partition_fields()
@@ -187,16 +218,42 @@ class SliceTable:
             F.count(F.lit(1)).alias("row_count")
         )
 
-    def _commit(self, rows: list[tuple], first_version: int, last_version: int) -> None:
-        current = self.version()
-        if first_version <= current:
-            raise RuntimeError(
-                f"commit clash: table is at version {current}, load starts at {first_version}"
-            )
-        name = f"v{first_version:012d}" + (f"-{last_version:012d}" if last_version != first_version else "")
+    @staticmethod
+    def _now() -> _dt.datetime:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
+    @staticmethod
+    def _next_map(prev: dict, version: int, changed: dict) -> tuple[dict, list[tuple]]:
+        """Live map after ``changed`` (slice -> (batch, operation, rows, time)) at ``version``."""
+        live = dict(prev)
+        live.update(changed)
+        rows = [
+            (version, s, b, op, n, ts, s in changed)
+            for s, (b, op, n, ts) in sorted(live.items(), key=lambda kv: (kv[0] is None, kv[0] or ""))
+        ]
+        if not rows:  # an empty table still needs a commit file
+            rows = [(version, None, "", "NONE", 0, SliceTable._now(), False)]
+        return live, rows
+
+    def _prev_map(self, version: int) -> dict:
+        return {
+            r["slice"]: (r[BATCH], r["operation"], int(r["row_count"]), r["committed_at"])
+            for r in self._live_rows(version)
+        }
+
+    def _commit(self, version: int, changed: dict) -> None:
+        _, rows = self._next_map(self._prev_map(version - 1), version, changed)
         self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode(
             "errorifexists"
-        ).parquet(f"{self.commits_path}/{name}")
+        ).parquet(self._commit_dir(version))
+        self._known = version
+
+    def create(self) -> int:
+        """Commit version 0 of a new table with no slices (a no-op if it exists)."""
+        if self.version() >= 0:
+            return self._known
+        self._commit(0, {})
+        return 0
 
     def load(
         self,
@@ -226,12 +283,12 @@ class SliceTable:
                 raise ValueError(f"rows for slices outside the load's keys: {sorted(stray)[:5]}")
         wanted = [str(k) for k in keys] if keys is not None else sorted(counts)
         wanted += [k for k in live if k not in set(wanted)]
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = [
-            (version, None if self.slice_column is None else k, token, operation, counts.get(k, 0), now)
+        now = self._now()
+        changed = {
+            (None if self.slice_column is None else k): (token, operation, counts.get(k, 0), now)
             for k in wanted
-        ]
-        self._commit(rows, version, version)
+        }
+        self._commit(version, changed)
         return version
 
     def load_slice(self, df: DataFrame, key: str, operation: str = "WRITE") -> int:
@@ -247,22 +304,41 @@ class SliceTable:
     def load_versions(self, df: DataFrame, version_column: str, operation: str = "WRITE") -> list[int]:
         """Replay a sequence of loads in one write job (a backfill with history).
 
-        ``version_column`` holds, per row, the version of the load that wrote it;
-        versions must be above the current one. Each version replaces the slices
-        it has rows for. The commit rows are derived from the written files.
+        ``version_column`` holds, per row, the version of the load that wrote
+        it; the versions must continue the table's (current + 1, + 2, ...).
+        Each version replaces the slices it has rows for. The commit folders of
+        all versions are derived from the written files and written in one job.
         """
+        current = self.version()
         token = uuid.uuid4().hex
         batch = F.concat(F.lit(token + "-"), F.col(version_column).cast("string"))
         self._write(df, batch)
         counts = self._written_counts(f"{token}-*").collect()
         if not counts:
             return []
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = []
+        per_version: dict[int, dict] = {}
+        now = self._now()
         for r in counts:
             v = int(r[BATCH].rsplit("-", 1)[1])
             s = None if self.slice_column is None else r["slice"]
-            rows.append((v, s, r[BATCH], operation, int(r["row_count"]), now))
-        versions = sorted({r[0] for r in rows})
-        self._commit(sorted(rows, key=lambda x: (x[0], x[1] or "")), versions[0], versions[-1])
+            per_version.setdefault(v, {})[s] = (r[BATCH], operation, int(r["row_count"]), now)
+        versions = sorted(per_version)
+        if versions != list(range(current + 1, current + 1 + len(versions))):
+            raise ValueError(
+                f"versions must continue the table at {current + 1}; got {versions[0]}..{versions[-1]}"
+                " (the written rows stay invisible)"
+            )
+        if self._committed(versions[0]):
+            raise RuntimeError(f"commit clash at version {versions[0]}")
+        live, rows = self._prev_map(current), []
+        for v in versions:
+            live, version_rows = self._next_map(live, v, per_version[v])
+            rows += version_rows
+        commits = self.spark.createDataFrame(rows, COMMIT_SCHEMA).withColumn(
+            VERSION_DIR, F.format_string("%012d", F.col("version"))
+        )
+        commits.repartition(VERSION_DIR).write.mode("append").partitionBy(VERSION_DIR).parquet(
+            self.commits_path
+        )
+        self._known = versions[-1]
         return versions

@@ -75,7 +75,8 @@ def test_commit_clash_is_refused(spark, scratch):
     t.load_slice(frame(spark, [(1, "a")]), "2023")
     now = __import__("datetime").datetime(2024, 1, 1)
     with pytest.raises(Exception):
-        t._commit([(0, "2023", "x", "WRITE", 1, now)], 0, 0)
+        t._commit(0, {"2023": ("x", "WRITE", 1, now)})
+    assert rows(t.read(), "season", "id") == [("2023", 1)]
 
 
 def test_multi_key_load_with_empty_key(spark, scratch):
@@ -101,6 +102,7 @@ def test_unpartitioned_table_replaces_whole(spark, scratch):
 
 def test_load_versions_replays_history(spark, scratch):
     t = SliceTable(spark, f"{scratch}/t", "kind")
+    assert t.create() == 0 and t.read().count() == 0
     df = spark.createDataFrame(
         [(1, "a", 1), (2, "b", 1), (3, "a", 2), (4, "a", 3), (5, "b", 3)],
         "id int, kind string, version long",
@@ -110,6 +112,23 @@ def test_load_versions_replays_history(spark, scratch):
     assert rows(t.read(version=2), "kind", "id") == [("a", 3), ("b", 2)]
     assert rows(t.read(), "kind", "id") == [("a", 4), ("b", 5)]
     assert t.version() == 3
+    fresh = SliceTable(spark, f"{scratch}/t", "kind")  # no remembered version
+    assert fresh.version() == 3
+    assert rows(fresh.history(), "version", "slice", "row_count") == [
+        (1, "a", 1), (1, "b", 1), (2, "a", 1), (3, "a", 1), (3, "b", 1)
+    ]
+    with pytest.raises(ValueError):  # versions must continue the table
+        t.load_versions(df.withColumn("version", F.col("version") + 10), "version")
+    assert t.version() == 3
+
+
+def test_version_search_over_many_commits(spark, scratch):
+    t = SliceTable(spark, f"{scratch}/t", "k")
+    t.create()
+    df = spark.range(1, 41).select(F.col("id").alias("version"), (F.col("id") % 3).cast("string").alias("k"))
+    t.load_versions(df, "version")
+    assert SliceTable(spark, f"{scratch}/t", "k").version() == 40
+    assert rows(t.read(version=17), "k", "version") == [("0", 15), ("1", 16), ("2", 17)]
 
 
 def test_partition_values_with_special_characters(spark, scratch):
