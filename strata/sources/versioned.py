@@ -201,9 +201,24 @@ class SliceTable:
             self.data_path
         )
 
-    def _written_counts(self, token_glob: str) -> DataFrame:
-        """Rows per (slice, batch) written by this load, from the files themselves."""
-        level = "*/" if self.slice_column else ""
+    def _slice_glob(self, keys: Sequence[str] | None) -> str:
+        """Glob of the slice folders a load wrote to: only the load's keys when known."""
+        if not self.slice_column:
+            return ""
+        names = [partition_dir_value(str(k)) for k in keys or ()]
+        if not names or any(ch in n for n in names for ch in ",}"):
+            return "*/"
+        if len(names) == 1:
+            return f"{self.slice_column}={names[0]}/"
+        return "{" + ",".join(f"{self.slice_column}={n}" for n in names) + "}/"
+
+    def _written_counts(self, token_glob: str, keys: Sequence[str] | None = None) -> DataFrame:
+        """Rows per (slice, batch) written by this load, from the files themselves.
+
+        Parquet answers the counts from its footers. Only the folders of the
+        load's keys are listed when they are known, not every slice's.
+        """
+        level = self._slice_glob(keys)
         part_fields = self._partition_fields()
         try:
             written = (
@@ -275,12 +290,10 @@ class SliceTable:
         token = uuid.uuid4().hex
         if self.slice_column is None:
             keys = [NO_SLICE]
-        self._write(df, F.lit(token))
-        counts = {r["slice"]: int(r["row_count"]) for r in self._written_counts(token).collect()}
         if keys is not None:
-            stray = set(counts) - {str(k) for k in keys}
-            if stray:
-                raise ValueError(f"rows for slices outside the load's keys: {sorted(stray)[:5]}")
+            df = self._only_keys(df, keys)
+        self._write(df, F.lit(token))
+        counts = {r["slice"]: int(r["row_count"]) for r in self._written_counts(token, keys).collect()}
         wanted = [str(k) for k in keys] if keys is not None else sorted(counts)
         wanted += [k for k in live if k not in set(wanted)]
         now = self._now()
@@ -291,6 +304,22 @@ class SliceTable:
         self._commit(version, changed)
         return version
 
+    def _only_keys(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Fail the write task on a row whose slice is not one of the load's keys.
+
+        Checked inside the write job (no extra pass); the rows written before
+        the failure stay invisible because no commit follows.
+        """
+        if self.slice_column is None:
+            return df
+        allowed = [str(k) for k in keys]
+        col = F.col(self.slice_column)
+        guard = F.when(
+            col.isin(allowed),
+            col,
+        ).otherwise(F.raise_error(F.concat(F.lit("row for a slice outside the load's keys: "), F.coalesce(col, F.lit("NULL")))))
+        return df.withColumn(self.slice_column, guard)
+
     def load_slice(self, df: DataFrame, key: str, operation: str = "WRITE") -> int:
         """Replace one slice; the key is stamped over any same-named column."""
         return self.load(self.stamp(df, key), [key], operation)

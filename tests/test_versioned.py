@@ -87,8 +87,10 @@ def test_multi_key_load_with_empty_key(spark, scratch):
     assert rows(t.read(), "season", "id") == [("2023", 3)]
     hist = rows(t.history().filter("version = 1"), "slice", "row_count")
     assert hist == [("2023", 1), ("2024", 0)]
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="outside the load's keys"):
         t.load(spark.createDataFrame([(4, "2030")], "id int, season string"), ["2023"])
+    assert rows(t.read(), "season", "id") == [("2023", 3)]
+    assert t._slice_glob(["a,b"]) == "*/" and t._slice_glob(["2023", "2024"]) == "{season=2023,season=2024}/"
 
 
 def test_unpartitioned_table_replaces_whole(spark, scratch):
