@@ -184,48 +184,84 @@ def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with its order, as string-typed API-style result records."""
+LINE_FIELDS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    "l_returnflag", "l_linestatus", "l_shipdate", "o_custkey",
+)
+
+
+def result_record(get) -> F.Column:
+    """The string-typed API result record of one line; ``get(name)`` reads a field.
+
+    ``get`` is ``F.col`` for flat rows, or a struct accessor inside
+    ``F.transform`` so records are built after a shuffle of raw columns.
+    """
+    position = F.when(get("l_returnflag") == "R", F.lit("R")).otherwise(_s(get("l_partkey") % 20 + 1))
+    return F.struct(
+        _s(F.year(get("l_shipdate"))).alias("season"),
+        F.when(get("l_returnflag") == "A", F.lit("")).otherwise(_s(get("l_linenumber"))).alias("number"),
+        position.alias("position"),
+        _s(get("l_quantity").cast("bigint")).alias("points"),
+        _s(get("l_orderkey") % 20 + 1).alias("grid"),
+        _s(get("l_linenumber") * 10).alias("laps"),
+        get("l_returnflag").alias("status"),
+        F.struct(_s(get("o_custkey")).alias("driverId")).alias("Driver"),
+        F.struct(
+            _s(get("l_suppkey")).alias("constructorId"),
+            F.concat(F.lit("S"), _s(get("l_suppkey"))).alias("name"),
+        ).alias("Constructor"),
+        F.when(
+            get("l_linestatus") == "F",
+            F.struct(_s(get("l_orderkey") * 1000 + get("l_linenumber")).alias("millis")),
+        ).alias("Time"),
+        F.when(
+            get("l_returnflag") != "N",
+            F.struct(
+                _s(get("l_partkey") % 20 + 1).alias("rank"),
+                F.when(get("l_linenumber") > 5, F.lit("x")).otherwise(_s(get("l_linenumber"))).alias("lap"),
+            ),
+        ).alias("FastestLap"),
+    )
+
+
+def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    position = F.when(F.col("l_returnflag") == "R", F.lit("R")).otherwise(
-        _s(F.col("l_partkey") % 20 + 1)
-    )
-    return joined.select(
-        "o_orderkey",
-        "l_linenumber",
-        "l_linestatus",
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+
+
+def _parent_fields() -> list[F.Column]:
+    return [
         _s(season_of("o_orderdate")).alias("parent_season"),
         _s(F.dayofyear("o_orderdate")).alias("parent_round"),
         _s("o_orderkey").alias("parent_race"),
-        F.struct(
-            _s(F.year("l_shipdate")).alias("season"),
-            F.when(F.col("l_returnflag") == "A", F.lit("")).otherwise(_s("l_linenumber")).alias("number"),
-            position.alias("position"),
-            _s(F.col("l_quantity").cast("bigint")).alias("points"),
-            _s(F.col("l_orderkey") % 20 + 1).alias("grid"),
-            _s(F.col("l_linenumber") * 10).alias("laps"),
-            F.col("l_returnflag").alias("status"),
-            F.struct(_s("o_custkey").alias("driverId")).alias("Driver"),
-            F.struct(
-                _s("l_suppkey").alias("constructorId"),
-                F.concat(F.lit("S"), _s("l_suppkey")).alias("name"),
-            ).alias("Constructor"),
-            F.when(
-                F.col("l_linestatus") == "F",
-                F.struct(_s(F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("millis")),
-            ).alias("Time"),
-            F.when(
-                F.col("l_returnflag") != "N",
-                F.struct(
-                    _s(F.col("l_partkey") % 20 + 1).alias("rank"),
-                    F.when(F.col("l_linenumber") > 5, F.lit("x"))
-                    .otherwise(_s("l_linenumber"))
-                    .alias("lap"),
-                ),
-            ).alias("FastestLap"),
-        ).alias("result"),
+    ]
+
+
+def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order, as string-typed API-style result records."""
+    return _raw_lines(spark, sf_dir).select(
+        "o_orderkey", "l_linenumber", "l_linestatus", *_parent_fields(), result_record(F.col).alias("result")
+    )
+
+
+def nested_results(spark: SparkSession, sf_dir: str, array_key: str, linestatus: str | None = None) -> DataFrame:
+    """Parent records per (order, line number) with their result records nested.
+
+    The raw line columns are grouped (a partial-aggregated shuffle of numbers),
+    and the string records are built per array afterwards with ``transform``.
+    """
+    raw = _raw_lines(spark, sf_dir)
+    if linestatus is not None:
+        raw = raw.filter(F.col("l_linestatus") == linestatus)
+    grouped = raw.groupBy("o_orderkey", "l_linenumber", "o_orderdate").agg(
+        F.collect_list(F.struct(*LINE_FIELDS)).alias("_lines")
+    )
+    return grouped.select(
+        "o_orderkey",
+        "l_linenumber",
+        *_parent_fields(),
+        F.transform("_lines", lambda x: result_record(lambda n: x[n])).alias(array_key),
     )
 
 
@@ -236,10 +272,7 @@ def nested_order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     several parents (like a race split over pages); orders without lines give
     a parent without a ``Results`` key.
     """
-    recs = line_records(spark, sf_dir)
-    parents = recs.groupBy("o_orderkey", "l_linenumber", "parent_season", "parent_round", "parent_race").agg(
-        F.collect_list("result").alias("Results")
-    )
+    parents = nested_results(spark, sf_dir, "Results")
     orders = table(spark, sf_dir, "orders")
     bare = orders.join(
         table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")),
@@ -333,10 +366,7 @@ def race_result_pages(
     records and pages. Pages hold ``page_size`` race records, numbered per
     season; ``total`` is the season's count of race records.
     """
-    recs = line_records(spark, sf_dir).filter(F.col("l_linestatus") == linestatus)
-    parents = recs.groupBy("o_orderkey", "l_linenumber", "parent_season", "parent_round", "parent_race").agg(
-        F.collect_list("result").alias(array_key)
-    )
+    parents = nested_results(spark, sf_dir, array_key, linestatus)
     placed = positions_within(parents, ["parent_season"], "o_orderkey", then_by=("l_linenumber",))
     paged = placed.withColumn("offset", (F.floor(F.col("position") / page_size) * page_size).cast("long"))
     race = F.struct(
