@@ -398,3 +398,53 @@ def seasons_present(spark: SparkSession, sf_dir: str) -> list[str]:
     """The partition keys of the analogue (a handful of years; metadata)."""
     years = table(spark, sf_dir, "orders").select(_s(season_of("o_orderdate")).alias("s")).distinct()
     return sorted(r["s"] for r in years.collect())
+
+
+def race_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as string-typed race records with a two-level ``Circuit`` struct."""
+    orders = table(spark, sf_dir, "orders")
+    customers = table(spark, sf_dir, "customer")
+    nations = table(spark, sf_dir, "nation")
+    joined = orders.join(customers, orders.o_custkey == customers.c_custkey).join(
+        nations, customers.c_nationkey == nations.n_nationkey
+    )
+    return joined.select(
+        _s(season_of("o_orderdate")).alias("season"),
+        _s(F.dayofyear("o_orderdate")).alias("round"),
+        _s(F.col("o_orderdate").cast("date")).alias("date"),
+        F.concat(F.date_format("o_orderdate", "HH:mm:ss"), F.lit("Z")).alias("time"),
+        _s("o_orderkey").alias("raceName"),
+        F.concat(F.lit("http://example.invalid/race/"), _s("o_orderkey")).alias("url"),
+        F.struct(
+            F.lower(F.regexp_replace("o_orderpriority", " ", "_")).alias("circuitId"),
+            F.col("o_orderpriority").alias("circuitName"),
+            F.struct(
+                F.col("n_name").alias("locality"),
+                F.col("n_name").alias("country"),
+                _s("n_nationkey").alias("lat"),
+                _s("n_regionkey").alias("long"),
+            ).alias("Location"),
+        ).alias("Circuit"),
+    )
+
+
+def driver_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-season customers as string-typed driver records (some without a family name)."""
+    base = drivers(spark, sf_dir).select("season", "driver_id")
+    customers = table(spark, sf_dir, "customer")
+    joined = base.join(customers, base.driver_id == customers.c_custkey)
+    return joined.select(
+        _s("season").alias("season"),
+        _s("c_custkey").alias("driverId"),
+        F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(_s("c_nationkey")).alias("permanentNumber"),
+        F.substring("c_mktsegment", 1, 3).alias("code"),
+        F.col("c_name").alias("givenName"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit(None).cast("string"))
+        .otherwise(F.col("c_mktsegment"))
+        .alias("familyName"),
+        _s(F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int"))).alias(
+            "dateOfBirth"
+        ),
+        F.col("c_mktsegment").alias("nationality"),
+        F.concat(F.lit("http://example.invalid/driver/"), _s("c_custkey")).alias("url"),
+    )
