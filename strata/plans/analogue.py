@@ -448,3 +448,39 @@ def driver_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("nationality"),
         F.concat(F.lit("http://example.invalid/driver/"), _s("c_custkey")).alias("url"),
     )
+
+
+def record_pages(
+    records: DataFrame,
+    key: str,
+    order_col: F.Column,
+    container_path: list[str],
+    page_size: int = 30,
+) -> DataFrame:
+    """Any record frame as API pages per ``key``: ``season, json``.
+
+    Records are numbered within their key by ``order_col`` (a unique number
+    per key) in bounded blocks, and grouped ``page_size`` to a page.
+    """
+    fields = [c for c in records.columns if c != key]
+    numbered = positions_within(records.withColumn("_ord", order_col), [key], "_ord")
+    paged = numbered.withColumn("offset", (F.floor(F.col("position") / page_size) * page_size).cast("long"))
+    pages = paged.groupBy(key, "offset").agg(
+        F.collect_list(F.struct(F.col(key).alias(key), *fields)).alias("_records")
+    )
+    totals = records.groupBy(key).agg(F.count(F.lit(1)).alias("total"))
+    envelope = F.struct(
+        _s("total").alias("total"),
+        _s("offset").alias("offset"),
+        _nest(F.col("_records"), container_path[1:]).alias(container_path[0]),
+    )
+    return pages.join(totals, key).select(
+        F.col(key).alias("season"), F.to_json(F.struct(envelope.alias("MRData"))).alias("json")
+    )
+
+
+def _nest(col: F.Column, path: list[str]) -> F.Column:
+    """``col`` nested under the struct path (innermost last)."""
+    for name in reversed(path):
+        col = F.struct(col.alias(name))
+    return col
