@@ -43,21 +43,20 @@ def _frozen(df: DataFrame) -> DataFrame:
 def publish_version(
     df: DataFrame, tests: Tests, path: str, slice_column: str | None = "season", slice_type: str = "int"
 ) -> tuple[SliceTable, int]:
-    """Test ``df`` and publish it as the next version of a slice table at ``path``.
-
-    A full rebuild: every slice is replaced, slices that vanished are emptied.
-    Readers keep seeing the previous version until the commit is written, so a
-    failed test or a crashed write never exposes a partial mart, and earlier
-    versions stay readable. Slicing by season gives a Hive layout whose
-    one-season reads list one folder.
+    """Write, test and publish ``df`` as the next version of a slice table at ``path``.
+
+    The rows are written once, as a staged batch no reader sees; the tests
+    read that batch; only if they pass is it committed. A full rebuild: every
+    slice is replaced, slices that vanished are emptied. A failed test or a
+    crashed write never exposes a partial mart, and earlier versions stay
+    readable. Slicing by season gives a Hive layout whose one-season reads
+    list one folder.
     """
-    frozen = _frozen(df)
-    audit(frozen, tests)
     table = SliceTable(df.sparkSession, path, slice_column, slice_type)
-    stamped = frozen if slice_column is None else frozen.withColumn(
-        slice_column, F.col(slice_column).cast("string")
-    )
-    version = table.load(stamped, replace_all=True, operation="PUBLISH")
+    stamped = df if slice_column is None else df.withColumn(slice_column, F.col(slice_column).cast("string"))
+    staged = table.stage(stamped)  # written once, invisible until committed
+    audit(table.read_staged(staged, schema=df.schema), tests)
+    version = table.commit(staged, operation="PUBLISH", replace_all=True)
     return table, version
 
 

@@ -67,6 +67,15 @@ def partition_dir_value(value: str | None) -> str:
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
 
 
+@dataclass(frozen=True)
+class StagedBatch:
+    """A written, not yet committed batch: its token, the load's keys, rows per slice."""
+
+    token: str
+    keys: list[str] | None
+    counts: dict[str, int]
+
+
 @dataclass
 class SliceTable:
     """A table of slices keyed by ``slice_column`` (``None``: one whole-table slice)."""
@@ -167,7 +176,12 @@ class SliceTable:
             for s, b, n in self.live_batches(version)
             if n > 0 and (wanted is None or s in wanted)
         ]
-        paths = [self._batch_dir(s, b) for s, b, _ in live]
+        return self._read_batches([(s, b) for s, b, _ in live], schema, keep_batch)
+
+    def _read_batches(
+        self, batches: list[tuple[str, str]], schema: T.StructType | None, keep_batch: bool = False
+    ) -> DataFrame:
+        paths = [self._batch_dir(s, b) for s, b in batches]
         part_fields = self._partition_fields()
         if schema is None and paths:
             probe = (
@@ -270,40 +284,85 @@ class SliceTable:
         self._commit(0, {})
         return 0
 
-    def load(
+    def stage(
         self,
         df: DataFrame,
         keys: Sequence[str] | None = None,
-        operation: str = "WRITE",
-        replace_all: bool = False,
-    ) -> int:
-        """Replace the slices ``keys`` with the rows of ``df``; returns the new version.
-
-        ``df`` carries the slice column (see :meth:`stamp`). Every key gets a
-        commit row, also a key without rows: that is what empties a slice.
-        Without ``keys`` the slices present in ``df`` are replaced; with
-        ``replace_all`` every live slice absent from ``df`` is emptied too (a
-        full rebuild).
+        files_per_slice: int | None = None,
+    ) -> StagedBatch:
+        """Write ``df`` as a new batch that no reader sees until :meth:`commit`.
+
+        ``files_per_slice`` bounds the files each slice gets: rows are first
+        shuffled on (slice, a hash of the row modulo that number), so even a
+        slice holding a third of the rows is written by that many tasks.
+        Without it the write adds no shuffle (files per slice = writing tasks).
         """
-        live = [s for s, _, n in self.live_batches() if n > 0] if replace_all else []
-        version = self.version() + 1
         token = uuid.uuid4().hex
         if self.slice_column is None:
             keys = [NO_SLICE]
         if keys is not None:
             df = self._only_keys(df, keys)
+        if files_per_slice:
+            df = self._spread(df, files_per_slice)
         self._write(df, F.lit(token))
         counts = {r["slice"]: int(r["row_count"]) for r in self._written_counts(token, keys).collect()}
-        wanted = [str(k) for k in keys] if keys is not None else sorted(counts)
+        return StagedBatch(token, None if keys is None else [str(k) for k in keys], counts)
+
+    def read_staged(self, staged: StagedBatch, schema: T.StructType | None = None) -> DataFrame:
+        """The rows of a staged batch (for tests before committing it)."""
+        batches = [
+            (None if self.slice_column is None else s, staged.token)
+            for s, n in staged.counts.items()
+            if n > 0
+        ]
+        out = self._read_batches(batches, schema)
+        if self.slice_column is not None and self.slice_type != "string":
+            out = out.withColumn(self.slice_column, F.col(self.slice_column).cast(self.slice_type))
+        return out
+
+    def commit(self, staged: StagedBatch, operation: str = "WRITE", replace_all: bool = False) -> int:
+        """Make a staged batch the live one of its slices; returns the new version.
+
+        Every key of the load gets a commit row, also a key without rows: that
+        is what empties a slice. Without keys the slices written are replaced;
+        with ``replace_all`` every live slice absent from the batch is emptied
+        too (a full rebuild).
+        """
+        live = [s for s, _, n in self.live_batches() if n > 0] if replace_all else []
+        version = self.version() + 1
+        wanted = list(staged.keys) if staged.keys is not None else sorted(staged.counts)
         wanted += [k for k in live if k not in set(wanted)]
         now = self._now()
         changed = {
-            (None if self.slice_column is None else k): (token, operation, counts.get(k, 0), now)
+            (None if self.slice_column is None else k): (staged.token, operation, staged.counts.get(k, 0), now)
             for k in wanted
         }
         self._commit(version, changed)
         return version
 
+    def load(
+        self,
+        df: DataFrame,
+        keys: Sequence[str] | None = None,
+        operation: str = "WRITE",
+        replace_all: bool = False,
+        files_per_slice: int | None = None,
+    ) -> int:
+        """Replace the slices ``keys`` with the rows of ``df``; returns the new version.
+
+        ``df`` carries the slice column (see :meth:`stamp`); see :meth:`stage`
+        and :meth:`commit`.
+        """
+        return self.commit(self.stage(df, keys, files_per_slice), operation, replace_all)
+
+    def _spread(self, df: DataFrame, files_per_slice: int) -> DataFrame:
+        hashable = [
+            F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
+        ]
+        salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_slice)) if hashable else F.lit(0)
+        keys = [F.col(self.slice_column)] if self.slice_column else []
+        return df.repartition(*keys, salt)
+
     def _only_keys(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Fail the write task on a row whose slice is not one of the load's keys.
 

@@ -167,3 +167,19 @@ def test_publish_version_is_full_and_atomic(spark, scratch):
         publish_version(bad, tests, f"{scratch}/mart")
     assert rows(table.read(), "season", "k") == [(2024, "c")]
     assert rows(table.read(version=v0), "season", "k") == [(2023, "a"), (2024, "b")]
+
+
+def test_stage_is_invisible_until_commit_and_spread_bounds_files(spark, scratch):
+    import glob
+
+    t = SliceTable(spark, f"{scratch}/t", "season")
+    df = spark.range(3000).select(
+        F.col("id").cast("int").alias("id"),
+        F.when(F.col("id") < 1000, F.lit("hot")).otherwise((F.col("id") % 3).cast("string")).alias("season"),
+    ).repartition(8)
+    staged = t.stage(df, files_per_slice=2)
+    assert t.read().count() == 0 and t.read_staged(staged).count() == 3000
+    t.commit(staged)
+    assert t.read().count() == 3000 and t.read(slices=["hot"]).count() == 1000
+    hot_files = glob.glob(f"{scratch}/t/data/season=hot/batch_id={staged.token}/*.parquet")
+    assert 1 <= len(hot_files) <= 2
