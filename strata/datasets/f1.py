@@ -1,4 +1,4 @@
-"""Formula 1 dataset: landed pages of an Ergast-shaped API, per season.
+"""Formula 1 dataset: landed pages of a paged JSON results API, per season.
 
 Declared record schemas make optional structs (``Time``, ``FastestLap``,
 ``SprintQualifying``) read as NULL when no record of a page carries them.

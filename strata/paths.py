@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 
-DEFAULT_ROOT = "../data"
+# The environment variable naming the data root, and its default.
 ROOT_ENV = "LAKEHOUSE_DATA_ROOT"
+DEFAULT_ROOT = "../data"
 
 BRONZE, SILVER, GOLD = "raw", "staging", "marts"
 
