@@ -8,8 +8,12 @@ full extra read.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.shaping import union_all
+from strata.sources.pages import PAGE_KEY, endpoint_location
+
 
 def read_files(
     spark: SparkSession,
@@ -41,3 +45,27 @@ def file_reader(fmt: str, path: str, schema: T.StructType | str | None = None, *
         return read_files(spark, fmt, path, schema, **options)
 
     return read
+
+
+def templated_file_reader(
+    fmt: str, template: str, schema: T.StructType | str | None = None, **options: object
+):
+    """A partitioned file source: ``{partition}`` in ``template`` is filled per key.
+
+    Each key's location is read (one scan each, combined by a union) and its
+    rows carry the key in the loader's key column, so the load stamps it into
+    the slice column. Without a placeholder (or without keys) the location is
+    read verbatim and unpartitioned.
+    """
+    def read(spark: SparkSession, keys=None) -> DataFrame:
+        if keys is None or "{partition}" not in template:
+            return read_files(spark, fmt, template, schema, **options)
+        frames = [
+            read_files(spark, fmt, endpoint_location(template, str(k)), schema, **options).withColumn(
+                PAGE_KEY, F.lit(str(k))
+            )
+            for k in keys
+        ]
+        return union_all(frames)
+
+    return read

@@ -6,7 +6,7 @@ from strata.operators.profile import profile
 from strata.paths import bronze_location, dataset_location
 from strata.plans.staging import stg_drivers
 from strata.sources import catalog
-from strata.sources.files import file_reader, read_files, write_files
+from strata.sources.files import file_reader, read_files, templated_file_reader, write_files
 from strata.sources.ingest import load_bronze, read_bronze
 from strata.specs import Dataset, SourceSpec
 
@@ -61,3 +61,20 @@ def test_profile(spark):
     assert p.rows.first()["row_count"] == 2
     assert p.nulls.first().asDict() == {"a": 1, "b": 1}
     assert p.sample.count() == 1
+
+
+def test_partition_templated_file_source(spark, scratch):
+    """CSV folders per season behind a ``{partition}`` template, loaded as slices."""
+    ddl = "driverId string, nationality string"
+    for season, rows in {"2023": [("a", "X")], "2024": [("b", "Y"), ("c", "Z")]}.items():
+        write_files(spark.createDataFrame(rows, ddl), "csv", f"{scratch}/in/{season}", header=True)
+    reader = templated_file_reader("csv", f"{scratch}/in/{{partition}}", ddl, header=True)
+    ds = Dataset("files", (SourceSpec("raw_drivers", reader, partition_column="season"),), partitions=("2023", "2024"))
+    load_bronze(spark, ds, root=f"{scratch}/lake")
+    raw = read_bronze(spark, ds, f"{scratch}/lake")["raw_drivers"]
+    assert sorted((r["season"], r["driverId"]) for r in raw.collect()) == [("2023", "a"), ("2024", "b"), ("2024", "c")]
+    # reload one key only: the other slice is untouched
+    write_files(spark.createDataFrame([("d", "W")], ddl), "csv", f"{scratch}/in/2024", header=True)
+    load_bronze(spark, ds, keys=["2024"], root=f"{scratch}/lake")
+    raw = read_bronze(spark, ds, f"{scratch}/lake")["raw_drivers"]
+    assert sorted((r["season"], r["driverId"]) for r in raw.collect()) == [("2023", "a"), ("2024", "d")]
