@@ -297,18 +297,28 @@ def nested_order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positions_within(
-    df: DataFrame, keys: list[str], order_col: str, block: int = 1 << 14, then_by: tuple[str, ...] = ()
+    df: DataFrame,
+    keys: list[str],
+    order_col: str,
+    blocks_per_key: int = 4096,
+    then_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """0-based position of each row within ``keys`` by ``(order_col, *then_by)``
-    (unique per key).
-
-    Distributed: rows are numbered inside (keys, order_col // block) blocks,
-    and each block's start comes from a running sum over the small table of
-    block counts, so no key's rows ever meet in one task.
+    (unique per key; ``order_col`` numeric).
+
+    Distributed: rows are numbered inside (keys, block) groups, where blocks
+    split the value range of ``order_col`` into at most ``blocks_per_key``
+    equal widths (one small global aggregate sizes them). Each block's start
+    comes from a running sum over the small table of block counts, so no
+    key's rows ever meet in one task and no task sums more than
+    ``blocks_per_key`` counts.
     """
     from pyspark.sql import Window
 
-    blk = F.floor(F.col(order_col) / F.lit(block))
+    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    lo = int(bounds["lo"] or 0)
+    width = max(1, -(-(int(bounds["hi"] or 0) - lo + 1) // blocks_per_key))
+    blk = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width))
     with_blk = df.withColumn("_blk", blk)
     counts = with_blk.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
