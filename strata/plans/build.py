@@ -1,9 +1,11 @@
 """Model builds: bronze → silver → gold, with the data tests gating publication.
 
-``write_audit_publish`` checkpoints the model into the shared checkpoint
-folder (cutting its lineage, so the tests and the final write read the same
-materialised rows), runs the tests, and only then replaces the published
-output. A failing test leaves the previous output in place.
+Silver and gold models are published as versions of season-sliced tables
+(:func:`publish_version`): the rows are written once as a staged batch that
+no reader sees, the tests read that batch, and only a passing batch is
+committed. A failed test, a failed strict cast or a crashed write leaves the
+previous version live. :func:`write_audit_publish` is the plain-Parquet form
+(checkpoint, test, overwrite) for consumers that need a single folder.
 """
 
 from __future__ import annotations
@@ -61,12 +63,18 @@ def publish_version(
 
 
 def build_silver(spark: SparkSession, dataset: Dataset, root: str | None = None) -> dict[str, DataFrame]:
+    """Rebuild every staging model as the next version of its season-sliced table.
+
+    A strict cast that fails aborts the staged write, so nothing is committed
+    and the previous silver stays live.
+    """
     raw = read_bronze(spark, dataset, root)
     out = {}
     for name, model in dataset.models.items():
-        path = dataset_location(SILVER, dataset.name, name, root)
-        materialise(model(raw), path)
-        out[name] = register(spark, name, path)
+        df = model(raw)
+        path = dataset_location(SILVER, dataset.name, name, root, ext="slices")
+        table, _ = publish_version(df, Tests(), path)
+        out[name] = register(spark, name, table.read(schema=df.schema))
     return out
 
 
