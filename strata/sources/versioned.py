@@ -104,10 +104,11 @@ class SliceTable:
         if version < 0:
             return True
         try:
-            self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self._commit_dir(version)}/*.parquet")
-            return True
+            files = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(version)).inputFiles()
         except AnalysisException:
             return False
+        # a folder left by a crashed commit write holds no data file (only _temporary)
+        return len(files) > 0
 
     def version(self) -> int:
         """Current version; -1 for a table without commits."""
