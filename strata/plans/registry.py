@@ -38,7 +38,10 @@ def rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
 
 
 def with_silver(body: str) -> str:
-    return f"WITH {A.ORACLE_SILVER},\n{body}"
+    """The analogue silver CTEs, then ``body``: more CTEs and/or the final SELECT."""
+    text = body.lstrip()
+    joiner = "\n" if text.upper().startswith("SELECT") else ",\n"
+    return f"WITH {A.ORACLE_SILVER}{joiner}{text}"
 
 
 # ------------------------------------------------------------------ marts
@@ -214,14 +217,15 @@ SEASON = 1997  # the serving queries' bound season parameter
 
 
 def with_marts(body: str) -> str:
-    return with_silver(f"{ALL_MARTS},\n{body}")
+    text = body.lstrip()
+    joiner = "\n" if text.upper().startswith("SELECT") else ",\n"
+    return with_silver(f"{ALL_MARTS}{joiner}{text}")
 
 
 @register(
     "season_totals",
     with_marts(
         f"""
-totals AS (SELECT 1 AS one)
 SELECT
   (SELECT COUNT(*) FROM mart_country_race_summary WHERE season = {SEASON}) AS countries,
   (SELECT CAST(SUM(race_count) AS BIGINT) FROM mart_country_race_summary WHERE season = {SEASON}) AS races,
@@ -343,7 +347,6 @@ def q_points_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     "sprint_points_by_season",
     with_silver(
         """
-x AS (SELECT 1)
 SELECT season, SUM(points) AS sprint_points_awarded FROM stg_sprint_results GROUP BY season"""
     ),
 )
@@ -355,7 +358,6 @@ def q_sprint_points_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     "rows_per_season",
     with_silver(
         """
-x AS (SELECT 1)
 SELECT season, COUNT(*) AS race_count FROM stg_races GROUP BY season"""
     ),
 )
@@ -367,7 +369,6 @@ def q_rows_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     "seasons_present",
     with_silver(
         """
-x AS (SELECT 1)
 SELECT DISTINCT season FROM stg_results"""
     ),
 )
