@@ -65,6 +65,35 @@ def sprint_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _result_rows(spark, sf_dir, "O")
 
 
+def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
+    """Grand Prix and sprint rows from one scan, flagged ``_is_sprint``.
+
+    The same rows as ``results`` ∪ ``sprint_results``, but ``lineitem`` and its
+    join with ``orders`` are read once for both kinds.
+    """
+    from strata.plans.marts import SPRINT_FLAG
+
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus").isin("F", "O"))
+    orders = table(spark, sf_dir, "orders")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    team = [F.col("l_suppkey").alias("constructor_id")]
+    if named:
+        suppliers = table(spark, sf_dir, "supplier")
+        joined = joined.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+        team.append(F.col("s_name").alias("constructor_name"))
+    return joined.select(
+        season_of("o_orderdate").alias("season"),
+        F.col("o_custkey").alias("driver_id"),
+        *team,
+        F.col("l_quantity").alias("points"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("int"))
+        .otherwise((F.col("l_partkey") % 20 + 1).cast("int"))
+        .alias("finishing_position"),
+        (F.col("l_orderkey") % 20 + 1).cast("int").alias("grid_position"),
+        (F.col("l_linestatus") == "O").alias(SPRINT_FLAG),
+    )
+
+
 def results_by_team_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grand Prix rows carrying the team id only (names attached after aggregating)."""
     return _result_rows(spark, sf_dir, "F", named=False)

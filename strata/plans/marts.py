@@ -4,15 +4,15 @@ Every mart takes its column names as keyword arguments, so the same code runs
 on the F1 silver tables and on any other dataset with the same roles
 (season, entity, points, finishing position, grid position).
 
-Plan shape: each input is aggregated once with partial (map-side) aggregation,
-and joins only ever meet one row per (season, entity) on each side. The
-aggregates of one mart are all hash-partitioned on the same keys, so the
-joins between them need no extra exchange.
+Plan shape: results and sprint rows are tagged and unioned (no shuffle) and
+aggregated in one partial (map-side) + final pass per grouping level, so a
+mart needs no join between its own aggregates; dimension joins meet one row
+per (season, entity). A hot entity is combined map-side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -59,31 +59,65 @@ class NameLookup:
         return df.join(names, id_in_df, "inner").drop(id_in_df)
 
 
-def _race_stat_aggs(points: str, position: str, grid: str) -> list[Column]:
+SPRINT_FLAG = "_is_sprint"
+
+# Partial measures summed when (season, entity, ...) rows are combined.
+PARTIALS = ("race_points", *COUNT_STATS, "_pos_sum", "_pos_n", "sprint_points")
+
+
+def tag_rows(results: DataFrame, sprints: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``results UNION ALL sprints`` with a flag marking the sprint rows.
+
+    A union adds no shuffle; both kinds are then aggregated in one grouped
+    pass instead of two aggregates and a join. Columns a sprint frame lacks
+    (e.g. grid position) read as NULL there and only feed Grand Prix measures.
+    """
+    r = results.select(*[c for c in columns if c in results.columns]).withColumn(SPRINT_FLAG, F.lit(False))
+    s = sprints.select(*[c for c in columns if c in sprints.columns]).withColumn(SPRINT_FLAG, F.lit(True))
+    return r.unionByName(s, allowMissingColumns=True)
+
+
+def _stat_aggs(points: str, position: str, grid: str) -> list[Column]:
+    """Grand Prix statistics and sprint points of tagged rows, as partial measures."""
+    gp = ~F.col(SPRINT_FLAG)
     pos = F.col(position)
     return [
-        F.sum(points).alias("race_points"),
-        F.count(F.lit(1)).alias("races_entered"),
-        count_if(pos == 1).alias("wins"),
-        count_if(pos.between(1, 3)).alias("podiums"),
-        count_if(pos.between(1, 10)).alias("points_finishes"),
-        count_if(pos.isNull()).alias("dnfs"),
-        count_if(F.col(grid) == 1).alias("pole_positions"),
+        F.sum(F.when(gp, F.col(points))).alias("race_points"),
+        count_if(gp).alias("races_entered"),
+        count_if(gp & (pos == 1)).alias("wins"),
+        count_if(gp & pos.between(1, 3)).alias("podiums"),
+        count_if(gp & pos.between(1, 10)).alias("points_finishes"),
+        count_if(gp & pos.isNull()).alias("dnfs"),
+        count_if(gp & (F.col(grid) == 1)).alias("pole_positions"),
+        F.sum(F.when(gp, pos)).alias("_pos_sum"),
+        F.count(F.when(gp, pos)).alias("_pos_n"),
+        F.sum(F.when(~gp, F.col(points))).alias("sprint_points"),
     ]
 
 
-def _sprint_points(sprints: DataFrame, season: str, entity: str, points: str) -> DataFrame:
-    return sprints.groupBy(season, entity).agg(F.sum(points).alias("sprint_points"))
+def _sum_partials() -> list[Column]:
+    return [F.sum(c).alias(c) for c in PARTIALS]
 
 
-def _with_totals(stats: DataFrame, sprint: DataFrame, season: str, entity: str) -> DataFrame:
-    """``stats LEFT JOIN sprint USING (season, entity)``; sprint-only keys drop."""
-    joined = stats.join(sprint, [season, entity], "left")
-    return joined.withColumns(
-        {
-            "total_points": F.col("race_points") + zero_if_null("sprint_points"),
-            "sprint_points": zero_if_null("sprint_points"),
-        }
+def _finish(stats: DataFrame, season: str, entity: str, key_name: str, middle: Sequence[str] = ()) -> DataFrame:
+    """Entities with Grand Prix rows only, totals, and the output columns.
+
+    The filter is the ``LEFT JOIN`` from the Grand Prix side: sprint-only
+    entities drop out. A NULL key never matches in that join, so its sprint
+    points count as 0.
+    """
+    keyed = F.col(season).isNotNull() & F.col(entity).isNotNull()
+    sprint = zero_if_null(F.when(keyed, F.col("sprint_points")))
+    return stats.filter(F.col("races_entered") > 0).select(
+        surrogate_key(season, entity).alias(key_name),
+        season,
+        entity,
+        *middle,
+        (F.col("race_points") + sprint).alias("total_points"),
+        "race_points",
+        sprint.alias("sprint_points"),
+        *COUNT_STATS,
+        F.try_divide(F.col("_pos_sum"), F.col("_pos_n")).alias("avg_finishing_position"),
     )
 
 
@@ -101,42 +135,57 @@ def constructor_standings(
     names: NameLookup | None = None,
     names_id: str = "constructor_id",
 ) -> DataFrame:
-    """Championship standings per (entity, season).
+    """Championship standings per (entity, season) from results and sprints.
 
     ``total_points = race_points + COALESCE(sprint_points, 0)``; the counts use
     Grand Prix rows only; ``races_entered`` counts result rows (car entries).
-    With ``names`` the results carry the id column ``names_id`` instead of the
-    entity name, and names are attached after a first aggregate on the id.
+    See :func:`constructor_standings_rows` for the plan.
+    """
+    group = names_id if names is not None else entity
+    rows = tag_rows(results, sprints, [season, group, points, position, grid])
+    return constructor_standings_rows(
+        rows, season=season, entity=entity, points=points, position=position, grid=grid,
+        key_name=key_name, sort=sort, names=names, names_id=names_id,
+    )
+
+
+def constructor_standings_rows(
+    rows: DataFrame,
+    *,
+    season: str = "season",
+    entity: str = "constructor_name",
+    points: str = "points",
+    position: str = "finishing_position",
+    grid: str = "grid_position",
+    key_name: str = "constructor_season_key",
+    sort: bool = False,
+    names: NameLookup | None = None,
+    names_id: str = "constructor_id",
+) -> DataFrame:
+    """Constructor standings from tagged rows (``_is_sprint`` marks sprint rows).
+
+    One partial + final aggregate per (season, entity) computes the Grand
+    Prix statistics and the sprint points together. With ``names`` the rows
+    carry the id ``names_id``; names are attached to the (season, id)
+    aggregate and rows of ids sharing a name are combined.
     """
     if names is None:
-        stats = results.groupBy(season, entity).agg(
-            *_race_stat_aggs(points, position, grid),
-            F.avg(position).alias("avg_finishing_position"),
-        )
-        sprint = _sprint_points(sprints, season, entity, points)
+        stats = rows.groupBy(season, entity).agg(*_stat_aggs(points, position, grid))
     else:
-        pos = F.col(position)
-        per_id = results.groupBy(season, names_id).agg(
-            *_race_stat_aggs(points, position, grid),
-            F.sum(pos).alias("_pos_sum"),
-            F.count(pos).alias("_pos_n"),
-        )
-        named = names.attach(per_id, names_id, entity)
-        stats = named.groupBy(season, entity).agg(
-            *[F.sum(c).alias(c) for c in ("race_points", *COUNT_STATS)],
-            F.try_divide(F.sum("_pos_sum"), F.sum("_pos_n")).alias("avg_finishing_position"),
-        )
-        sprint_per_id = _sprint_points(sprints, season, names_id, points)
-        sprint = names.attach(sprint_per_id, names_id, entity).groupBy(season, entity).agg(
-            F.sum("sprint_points").alias("sprint_points")
-        )
-    out = _with_totals(stats, sprint, season, entity)
-    out = out.select(
-        surrogate_key(season, entity).alias(key_name), season, entity, *STANDINGS_TAIL
-    )
+        per_id = rows.groupBy(season, names_id).agg(*_stat_aggs(points, position, grid))
+        stats = names.attach(per_id, names_id, entity).groupBy(season, entity).agg(*_sum_partials())
+    out = _finish(stats, season, entity, key_name)
     return order_standings(out, season, key_name) if sort else out
 
 
+DEFAULT_DRIVER_ATTRIBUTES = {
+    "driver_name": "full_name",
+    "driver_code": "driver_code",
+    "nationality": "nationality",
+    "date_of_birth": "date_of_birth",
+}
+
+
 def driver_standings(
     results: DataFrame,
     drivers: DataFrame,
@@ -154,60 +203,69 @@ def driver_standings(
     team_names: NameLookup | None = None,
     team_id: str = "constructor_id",
 ) -> DataFrame:
-    """Championship standings per (driver, season) with driver attributes.
+    """Championship standings per (driver, season) from results, drivers, sprints.
+
+    See :func:`driver_standings_rows` for the semantics and the plan.
+    """
+    team_key = team if team_names is None else team_id
+    rows = tag_rows(results, sprints, [season, entity, team_key, points, position, grid])
+    return driver_standings_rows(
+        rows, drivers, season=season, entity=entity, team=team, points=points, position=position,
+        grid=grid, attributes=attributes, key_name=key_name, sort=sort, team_names=team_names,
+        team_id=team_id,
+    )
+
+
+def driver_standings_rows(
+    rows: DataFrame,
+    drivers: DataFrame,
+    *,
+    season: str = "season",
+    entity: str = "driver_id",
+    team: str = "constructor_name",
+    points: str = "points",
+    position: str = "finishing_position",
+    grid: str = "grid_position",
+    attributes: Mapping[str, str] | None = None,
+    key_name: str = "driver_season_key",
+    sort: bool = False,
+    team_names: NameLookup | None = None,
+    team_id: str = "constructor_id",
+) -> DataFrame:
+    """Driver standings from tagged rows (``_is_sprint`` marks sprint rows).
 
     Semantics are those of ``results LEFT JOIN drivers ON (entity, season)``
-    followed by the group-by, including the repetition a duplicated driver row
-    would cause. It is computed in one pass over the results:
+    grouped per (season, entity), left joined with the sprint points per
+    (season, entity), including the repetition a duplicated driver row would
+    cause. The plan is one pass over the rows:
 
-    1. aggregate at (season, entity, team): partial sums and counts;
-    2. re-aggregate at (season, entity); the team with the most rows becomes
-       ``primary_constructor`` (ties → smallest name, NULL ignored);
+    1. aggregate at (season, entity, team): partial Grand Prix measures and
+       sprint points;
+    2. re-aggregate at (season, entity); the team with the most Grand Prix
+       rows becomes ``primary_constructor`` (ties → smallest name, NULL and
+       sprint-only teams ignored);
     3. attach the driver attributes to that one row per key, scaling the
-       additive measures by the number of matching driver rows;
-    4. left join the sprint points.
+       Grand Prix measures (not the sprint points, which the original joins
+       per key, not per row) by the number of matching driver rows;
+    4. keep entities with Grand Prix rows.
     """
-    attrs = dict(
-        attributes
-        or {
-            "driver_name": "full_name",
-            "driver_code": "driver_code",
-            "nationality": "nationality",
-            "date_of_birth": "date_of_birth",
-        }
-    )
-    pos = F.col(position)
-    sums = ["race_points", *COUNT_STATS]
-    partials = ["race_points", *COUNT_STATS, "_pos_sum", "_pos_n"]
+    attrs = dict(attributes or DEFAULT_DRIVER_ATTRIBUTES)
     team_key = team if team_names is None else team_id
-    per_team = results.groupBy(season, entity, team_key).agg(
-        *_race_stat_aggs(points, position, grid),
-        F.sum(pos).alias("_pos_sum"),
-        F.count(pos).alias("_pos_n"),
-    )
+    per_team = rows.groupBy(season, entity, team_key).agg(*_stat_aggs(points, position, grid))
     if team_names is not None:
         # (season, driver, team id) rows get their team name, then the rows of
         # ids sharing a name are combined: the same as naming each result row.
         per_team = team_names.attach(per_team, team_id, team).groupBy(season, entity, team).agg(
-            *[F.sum(c).alias(c) for c in partials]
+            *_sum_partials()
         )
+    gp_team = F.when(F.col("races_entered") > 0, F.col(team))
     per_driver = per_team.groupBy(season, entity).agg(
-        mode_from_counts(team, "races_entered").alias("primary_constructor"),
-        *[F.sum(c).alias(c) for c in sums],
-        F.try_divide(F.sum("_pos_sum"), F.sum("_pos_n")).alias("avg_finishing_position"),
-    )
-    stats = attach_after_aggregate(
-        per_driver, drivers, [season, entity], attrs, additive=sums
-    )
-    out = _with_totals(stats, _sprint_points(sprints, season, entity, points), season, entity)
-    out = out.select(
-        surrogate_key(season, entity).alias(key_name),
-        season,
-        entity,
-        *attrs.keys(),
-        "primary_constructor",
-        *STANDINGS_TAIL,
+        mode_from_counts(gp_team, "races_entered").alias("primary_constructor"),
+        *_sum_partials(),
     )
+    scaled = ["race_points", *COUNT_STATS]
+    stats = attach_after_aggregate(per_driver, drivers, [season, entity], attrs, additive=scaled)
+    out = _finish(stats, season, entity, key_name, middle=[*attrs.keys(), "primary_constructor"])
     return order_standings(out, season, key_name) if sort else out
 
 

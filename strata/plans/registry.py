@@ -148,11 +148,10 @@ ALL_MARTS = f"{ORACLE_CONSTRUCTOR_MART},\n{ORACLE_DRIVER_MART},\n{ORACLE_COUNTRY
 
 
 def constructor_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 on the analogue: aggregated per (season, supplier id), named afterwards."""
-    return marts.constructor_standings(
-        A.results_by_team_id(spark, sf_dir),
-        A.sprints_by_team_id(spark, sf_dir),
-        names=A.team_names(spark, sf_dir),
+    """M3 on the analogue: one scan of lines for Grand Prix and sprint rows,
+    aggregated per (season, supplier id), named afterwards."""
+    return marts.constructor_standings_rows(
+        A.tagged_result_rows(spark, sf_dir, named=False), names=A.team_names(spark, sf_dir)
     )
 
 
@@ -163,9 +162,7 @@ def driver_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     is nearly unique per line, so aggregating on the team id first would not
     shrink the rows and would only add a shuffle (unlike M3, see above).
     """
-    return marts.driver_standings(
-        A.results(spark, sf_dir), A.drivers(spark, sf_dir), A.sprint_results(spark, sf_dir)
-    )
+    return marts.driver_standings_rows(A.tagged_result_rows(spark, sf_dir), A.drivers(spark, sf_dir))
 
 
 def country_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
