@@ -94,15 +94,6 @@ def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True) ->
     )
 
 
-def results_by_team_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grand Prix rows carrying the team id only (names attached after aggregating)."""
-    return _result_rows(spark, sf_dir, "F", named=False)
-
-
-def sprints_by_team_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _result_rows(spark, sf_dir, "O", named=False)
-
-
 def team_names(spark: SparkSession, sf_dir: str):
     """Team id → name lookup (``supplier``)."""
     from strata.plans.marts import NameLookup

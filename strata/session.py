@@ -8,7 +8,6 @@ executor sees the same files. Only a local-mode session without that setting
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -105,16 +104,3 @@ def work_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the work folder."""
     return f"{work_root(spark)}/strata/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so the OS can use the path (local mode only)."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return os.fspath(path)
