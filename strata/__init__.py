@@ -8,6 +8,6 @@ Every transformation is a ``DataFrame -> DataFrame`` function so Catalyst sees
 one logical plan per job.
 """
 
-from strata.session import build_session, work_root
+from strata.session import build_session, cluster_conf, work_root
 
-__all__ = ["build_session", "work_root"]
+__all__ = ["build_session", "cluster_conf", "work_root"]

@@ -103,3 +103,15 @@ def build_all(
     load_bronze(spark, dataset, keys, root)
     silver = build_silver(spark, dataset, root)
     return build_gold(spark, dataset, silver, root)
+
+
+GOLD_MODELS = ("mart_country_race_summary", "mart_driver_standings", "mart_constructor_standings")
+
+
+def open_gold(spark: SparkSession, dataset: str, root: str | None = None, version: int | None = None) -> dict[str, DataFrame]:
+    """Register the published marts (current or as of ``version``) as views by name."""
+    out = {}
+    for name in GOLD_MODELS:
+        table = SliceTable(spark, dataset_location(GOLD, dataset, name, root, ext="slices"), "season", "int")
+        out[name] = register(spark, name, table.read(version=version))
+    return out

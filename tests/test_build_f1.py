@@ -158,3 +158,16 @@ def test_adhoc_sql_over_bronze(built):
     assert catalog.register_bronze(spark, "raw_races_v0", table, version=0).count() == 6
     per_slice = serve.rows_per_season(spark.table("raw_races"))
     assert [tuple(r) for r in per_slice.collect()] == [("2023", 2), ("2024", 4)]
+
+
+def test_cli_build_and_serve(spark, capsys):
+    import tempfile
+
+    from strata.__main__ import main
+
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    land_f1(f"{scratch}/landing")
+    main(["build", "--landing", f"{scratch}/landing", "--root", f"{scratch}/lake", "--keys", "2023,2024"])
+    main(["serve", "--root", f"{scratch}/lake", "--page", "drivers", "--season", "2024"])
+    out = capsys.readouterr().out
+    assert "mart_driver_standings 6" in out and "Max Verstappen" in out
