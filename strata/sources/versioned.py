@@ -356,13 +356,13 @@ class SliceTable:
         """
         return self.commit(self.stage(df, keys, files_per_slice), operation, replace_all)
 
-    def _spread(self, df: DataFrame, files_per_slice: int) -> DataFrame:
+    def _spread(self, df: DataFrame, files_per_slice: int, extra: Sequence[F.Column] = ()) -> DataFrame:
         hashable = [
             F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
         ]
         salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_slice)) if hashable else F.lit(0)
         keys = [F.col(self.slice_column)] if self.slice_column else []
-        return df.repartition(*keys, salt)
+        return df.repartition(*keys, *extra, salt)
 
     def _only_keys(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Fail the write task on a row whose slice is not one of the load's keys.
@@ -390,17 +390,26 @@ class SliceTable:
             return df
         return df.withColumn(self.slice_column, F.lit(str(key)))
 
-    def load_versions(self, df: DataFrame, version_column: str, operation: str = "WRITE") -> list[int]:
+    def load_versions(
+        self, df: DataFrame, version_column: str, operation: str = "WRITE", files_per_batch: int | None = 2
+    ) -> list[int]:
         """Replay a sequence of loads in one write job (a backfill with history).
 
         ``version_column`` holds, per row, the version of the load that wrote
         it; the versions must continue the table's (current + 1, + 2, ...).
         Each version replaces the slices it has rows for. The commit folders of
         all versions are derived from the written files and written in one job.
+
+        Rows are first shuffled on (slice, version, row hash mod
+        ``files_per_batch``): every (slice, version) folder gets at most that
+        many files and a hot one is spread over that many tasks, instead of
+        every writing task opening a file in every folder.
         """
         current = self.version()
         token = uuid.uuid4().hex
         batch = F.concat(F.lit(token + "-"), F.col(version_column).cast("string"))
+        if files_per_batch:
+            df = self._spread(df, files_per_batch, extra=[F.col(version_column)])
         self._write(df, batch)
         counts = self._written_counts(f"{token}-*").collect()
         if not counts:
