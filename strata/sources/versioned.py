@@ -316,10 +316,7 @@ class SliceTable:
             for s, n in staged.counts.items()
             if n > 0
         ]
-        out = self._read_batches(batches, schema)
-        if self.slice_column is not None and self.slice_type != "string":
-            out = out.withColumn(self.slice_column, F.col(self.slice_column).cast(self.slice_type))
-        return out
+        return self._read_batches(batches, schema)
 
     def commit(self, staged: StagedBatch, operation: str = "WRITE", replace_all: bool = False) -> int:
         """Make a staged batch the live one of its slices; returns the new version.
@@ -374,11 +371,8 @@ class SliceTable:
             return df
         allowed = [str(k) for k in keys]
         col = F.col(self.slice_column)
-        guard = F.when(
-            col.isin(allowed),
-            col,
-        ).otherwise(F.raise_error(F.concat(F.lit("row for a slice outside the load's keys: "), F.coalesce(col, F.lit("NULL")))))
-        return df.withColumn(self.slice_column, guard)
+        message = F.concat(F.lit("row for a slice outside the load's keys: "), F.coalesce(col, F.lit("NULL")))
+        return df.withColumn(self.slice_column, F.when(col.isin(allowed), col).otherwise(F.raise_error(message)))
 
     def load_slice(self, df: DataFrame, key: str, operation: str = "WRITE") -> int:
         """Replace one slice; the key is stamped over any same-named column."""
