@@ -79,3 +79,17 @@ def test_driver_mart_joins_reuse_aggregate_partitioning(spark):
     assert text.count("SortMergeJoin [season") == 1
     assert text.count("hashpartitioning(season") == 4
     assert text.count("lineitem.parquet") == 1
+
+
+def test_published_mart_season_read_is_partition_pruned(spark, scratch):
+    """Serving a season from a published (season-sliced) mart prunes to its folder."""
+    from strata.operators.audit import Tests
+    from strata.plans.build import publish_version
+
+    df = spark.createDataFrame([(2023, "a", 1.0), (2024, "b", 2.0)], "season int, k string, v double")
+    table, _ = publish_version(df, Tests(), f"{scratch}/mart")
+    table.read().createOrReplaceTempView("pruned_mart")
+    query = spark.sql("SELECT k, v FROM pruned_mart WHERE season = :s", args={"s": 2024})
+    text = plan_text(query, "simple")
+    assert "PartitionFilters: [isnotnull(season" in text and "= 2024)]" in text
+    assert [r["k"] for r in query.collect()] == ["b"]
