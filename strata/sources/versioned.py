@@ -144,6 +144,42 @@ class SliceTable:
             version = current if version is None else min(version, current)
         return [(r["slice"], r[BATCH], int(r["row_count"])) for r in self._live_rows(version)]
 
+    def superseded_batches(self, keep_versions: int = 1) -> list[str]:
+        """Batch folders that none of the last ``keep_versions`` versions reads.
+
+        These are batches replaced before that window and batches of loads that
+        never committed. Remove them with the storage's own tools, and only while
+        no load is in flight (an in-flight batch is not referenced yet). One file
+        listing plus one read of the commit log; nothing is deleted here.
+        """
+        current = self.version()
+        if current < 0:
+            return []
+        floor = max(0, current - keep_versions + 1)
+        try:
+            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
+        except AnalysisException:
+            return []
+        kept = commits.filter((F.col("version") >= floor) & (F.col(BATCH) != "")).select("slice", BATCH).distinct()
+        referenced = {self._batch_rel(r["slice"], r[BATCH]) for r in kept.collect()}
+        try:
+            files = (
+                self.spark.read.schema(T.StructType(self._partition_fields()))
+                .option("basePath", self.data_path)
+                .parquet(self.data_path)
+                .inputFiles()
+            )
+        except AnalysisException:
+            return []
+        marker = "/data/"
+        folders = {f.rsplit("/", 1)[0] for f in files}
+        return sorted(d for d in folders if d.split(marker, 1)[-1] not in referenced)
+
+    def _batch_rel(self, slice_value: str | None, batch: str) -> str:
+        if self.slice_column is None:
+            return f"{BATCH}={batch}"
+        return f"{self.slice_column}={partition_dir_value(slice_value)}/{BATCH}={batch}"
+
     # --------------------------------------------------------------- reads
 
     def _batch_dir(self, slice_value: str, batch: str) -> str:

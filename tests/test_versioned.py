@@ -183,3 +183,18 @@ def test_stage_is_invisible_until_commit_and_spread_bounds_files(spark, scratch)
     assert t.read().count() == 3000 and t.read(slices=["hot"]).count() == 1000
     hot_files = glob.glob(f"{scratch}/t/data/season=hot/batch_id={staged.token}/*.parquet")
     assert 1 <= len(hot_files) <= 2
+
+
+def test_superseded_batches_lists_replaced_and_crashed(spark, scratch):
+    t = SliceTable(spark, f"{scratch}/t", "season")
+    t.load_slice(frame(spark, [(1, "a")]), "2023")
+    t.load_slice(frame(spark, [(2, "b")]), "2024")
+    t.load_slice(frame(spark, [(3, "c")]), "2024")  # replaces the first 2024 batch
+    t._write(t.stamp(frame(spark, [(9, "z")]), "2025"), F.lit("crashed"))  # never committed
+    first_2024 = [b for s, b, _ in t.live_batches(1) if s == "2024"][0]
+    old = t.superseded_batches(keep_versions=1)
+    assert len(old) == 2
+    assert any(d.endswith(f"season=2024/batch_id={first_2024}") for d in old)
+    assert any(d.endswith("season=2025/batch_id=crashed") for d in old)
+    assert t.superseded_batches(keep_versions=3) == [d for d in old if "crashed" in d]
+    assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 3)]
