@@ -18,8 +18,9 @@ commit stays invisible; a commit with zero rows for a slice empties it.
 
 Limits: one writer per table (``errorifexists`` notices a clash on the same
 version, it is not a lock); an as-of read shows the current merged schema;
-superseded batches stay on disk until removed; a commit write that crashed
-after creating its folder must be removed by hand before the next load.
+superseded batches stay on disk until removed (see ``superseded_batches``);
+the folder of a commit write that crashed before its file landed is
+replaced by the next commit of that version.
 """
 
 from __future__ import annotations
@@ -309,9 +310,14 @@ class SliceTable:
 
     def _commit(self, version: int, changed: dict) -> None:
         _, rows = self._next_map(self._prev_map(version - 1), version, changed)
-        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode(
-            "errorifexists"
-        ).parquet(self._commit_dir(version))
+        frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
+        try:
+            frame.write.mode("errorifexists").parquet(self._commit_dir(version))
+        except AnalysisException:
+            if self._committed(version):
+                raise  # another writer committed this version: a clash
+            # the folder of a commit write that crashed before its file landed
+            frame.write.mode("overwrite").parquet(self._commit_dir(version))
         self._known = version
 
     def create(self) -> int:

@@ -198,3 +198,14 @@ def test_superseded_batches_lists_replaced_and_crashed(spark, scratch):
     assert any(d.endswith("season=2025/batch_id=crashed") for d in old)
     assert t.superseded_batches(keep_versions=3) == [d for d in old if "crashed" in d]
     assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 3)]
+
+
+def test_crashed_commit_folder_is_replaced(spark, scratch):
+    import os
+
+    t = SliceTable(spark, f"{scratch}/t", "season")
+    t.load_slice(frame(spark, [(1, "a")]), "2023")
+    os.makedirs(f"{scratch}/t/commits/v=000000000001/_temporary/0")  # crashed commit write
+    assert SliceTable(spark, f"{scratch}/t", "season").version() == 0
+    assert t.load_slice(frame(spark, [(2, "b")]), "2024") == 1
+    assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 2)]
