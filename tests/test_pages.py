@@ -41,3 +41,19 @@ def test_expected_offsets_chunked(spark):
 def test_partition_template():
     assert endpoint_location("http://x/{partition}/races.json", "2024") == "http://x/2024/races.json"
     assert endpoint_location("http://x/races.json", "2024") == "http://x/races.json"
+
+
+def test_key_without_pages_commits_an_empty_slice(spark, scratch):
+    """An empty fetch for one key of a backfill empties that key's slice."""
+    from strata.sources.ingest import load_bronze, read_bronze
+    from strata.sources.versioned import SliceTable
+    from strata.specs import Dataset, SourceSpec
+
+    land_page(scratch, "d", "items", "2023", 0, 1, ["T", "I"], [{"id": "1"}])
+    reader = lambda spark, keys: read_pages(spark, f"{scratch}/d/items", REC, ["T", "I"], keys=keys)
+    ds = Dataset("d", (SourceSpec("raw_items", reader, partition_column="season"),), partitions=("2023", "2024"))
+    load_bronze(spark, ds, root=f"{scratch}/lake")
+    raw = read_bronze(spark, ds, f"{scratch}/lake")["raw_items"]
+    assert sorted((r["season"], r["id"]) for r in raw.collect()) == [("2023", "1")]
+    table = SliceTable(spark, f"{scratch}/lake/raw/d/raw_items.slices", "season")
+    assert sorted((s, n) for s, _, n in table.live_batches()) == [("2023", 1), ("2024", 0)]
