@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import registry
 from strata.plans.analogue import TABLES
 from tools.oracle_check import digest, norm
 
@@ -30,10 +31,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.ORACLE) == set(registry.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_DIR)
     cols = sorted(sdf.columns)
