@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, tokencount
+from strata.llm import bpe, neardup, tokencount
 from strata.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@register("op2_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.cluster(table(spark, sf_dir, "documents"), shingle=3, percent=85).drop("key")
+
+
 @register("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
