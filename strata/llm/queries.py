@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, neardup, tokencount
+from strata.llm import bpe, decontam, langid, neardup, tokencount, urlrules
 from strata.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,51 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.cluster(table(spark, sf_dir, "documents"), shingle=3, percent=85).drop("key")
 
 
+#: Verdict, host and path of each rule: fixed values of the query's contract.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+URL_SQL = f"""
+WITH cut AS (
+    SELECT page_id, coalesce(regexp_extract(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '^[^?#]*'), '') AS whole
+    FROM pages),
+parts AS (
+    SELECT page_id, row_number() OVER () AS r, translate(split_part(whole, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           substr(whole, length(split_part(whole, '/', 1)) + 1) AS path
+    FROM cut),
+rules(verdict, h, p) AS (VALUES {", ".join(map(str, URL_RULES))})
+SELECT any_value(page_id) AS page_id, any_value(host) AS host, any_value(path) AS path,
+       arg_max(h || p, length(h || p)) AS rule, coalesce(arg_max(verdict, length(h || p)), 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY r"""
+
+
+@register("op3_url_rules", URL_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urlrules.judge(pages, urlrules.rule_table(pages, URL_RULES))
+
+
+@register("op4_decontaminate")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 @register("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
+
+
+@register("op10_langid")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents")).drop("key")
+
+
+@register("langid_pages")
+def langid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_pages(table(spark, sf_dir, "pages")).drop("key")

@@ -1,0 +1,74 @@
+"""Planted benchmark passages: exact, with replaced, inserted and lost words; and clean documents."""
+
+import random
+
+import numpy as np
+import pytest
+
+from strata.llm import decontam
+
+
+def words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 8))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def planted():
+    rng = random.Random(5)
+    items = [words(rng, n) for n in [3, 5, 8, 15, 20, 30, 57, 57, 200] for _ in range(3)]
+    docs, want = [], set()
+    for k, item in enumerate(items):
+        for kind in ("exact", "case", "replaced", "shifted"):
+            body = list(item)
+            if kind == "replaced":
+                for i in range(3, len(body), 6):
+                    body[i] = "other"
+            elif kind == "shifted" and len(body) > 12:
+                body.insert(len(body) // 2, "extra")
+                del body[len(body) // 3]
+            text = " ".join(body) if kind != "case" else ", ".join(body).upper() + "!"
+            id_ = len(docs)
+            docs.append((id_, " ".join(words(rng, rng.choice([0, 5, 300]))) + "\n" + text + ".\n" + " ".join(words(rng, 40))))
+            if kind in ("exact", "case") or len(item) >= 15:
+                want.add((id_, k))
+    clean = len(docs)
+    for k, item in enumerate(items):  # a few words, or all of them in another order, are no leak
+        body = item[: min(len(item) // 3, 15)]
+        other = rng.sample(item, len(item))
+        docs.append((len(docs), " ".join(words(rng, 60) + body + words(rng, 60))))
+        if len(item) > 8:
+            docs.append((len(docs), " ".join(words(rng, 60) + other)))
+    docs += [(None, ""), (len(docs), None), (len(docs) + 1, "x")]
+    return items, docs, want, clean
+
+
+def test_planted(spark, planted):
+    items, rows, want, clean = planted
+    bench = spark.createDataFrame([(k, " ".join(x), "q") for k, x in enumerate(items)] + [(500, "", ""), (501, None, ""), (502, "...", "")], "item_id long, text string, doc_id string")
+    docs = spark.createDataFrame([(i, t, "k") for i, t in rows] + [(0, rows[0][1], "k")], "doc_id long, text string, Key string")
+    bench = bench.unionByName(bench.limit(1))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert {g for g in got if g[0] is None or g[0] >= clean} == set()
+    assert got >= want and {d for d, _ in got} <= {d for d, _ in want} | set(range(clean))
+    left = decontam.without_leaks(docs, bench)
+    assert left.columns == docs.columns
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - {d for d, _ in got}
+    assert decontam.leaks(docs.limit(0), bench).count() == 0
+    assert decontam.leaks(docs, bench.limit(0)).count() == 0
+    assert decontam.without_leaks(docs, bench.limit(0)).count() == docs.count()
+
+
+def test_seeds_survive_substitutions():
+    """Every run of 12 words with every sixth one replaced is hit by some mask."""
+    for first in range(6):
+        same = np.array([(i - first) % 6 != 0 for i in range(15)])
+        hit = any(all(same[at + j] for j in ones) for _, ones in decontam._shapes([]) for at in range(15 - int(ones[-1])))
+        assert hit
+
+
+def test_a_leak_as_null_id(spark):
+    text = "some seven words that stand quite alone"
+    docs = spark.createDataFrame([(None, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, text)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.n_matched) for r in decontam.leaks(docs, bench).collect()] == [(None, None, 7)]
+    assert decontam.without_leaks(docs, bench).count() == 0
