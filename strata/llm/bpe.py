@@ -26,7 +26,7 @@ from strata.llm.tables import small_batches, text_of
 
 _NONE = np.int32(2**31 - 1)
 #: Pre-tokens whose ids a task remembers; beyond that it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class Ranks:
@@ -149,26 +149,28 @@ def _encode_rows(pieces: list[bytes], size: int, r: Ranks) -> tuple[np.ndarray,
     return ids[:, :size][alive], alive.sum(1)
 
 
-def encode_pieces(pieces: list[bytes], r: Ranks, whole: bool = True) -> list[np.ndarray]:
-    """Ids of every pre-token; with ``whole`` one that is itself a token is that token."""
-    out: list[np.ndarray | None] = [None] * len(pieces)
-    by_size: dict[int, list[int]] = {}
-    for k, piece in enumerate(pieces):
-        if whole and (rank := r.rank.get(piece)) is not None:
-            out[k] = np.array([rank], np.int32)
-        elif len(piece) <= 1:
-            out[k] = r.byte[list(piece)]
-        elif len(piece) > 64:
-            out[k] = np.array(encode_long(piece, r), np.int32)
-        else:
-            by_size.setdefault(1 << (len(piece) - 1).bit_length(), []).append(k)
-    for size, which in by_size.items():
-        for lo in range(0, len(which), 16384):
-            part = which[lo : lo + 16384]
-            flat, counts = _encode_rows([pieces[k] for k in part], size, r)
-            for k, got in zip(part, np.split(flat, np.cumsum(counts)[:-1]), strict=True):
-                out[k] = got
-    return out
+def encode_pieces(pieces: list[bytes], r: Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pre-tokens laid end to end, and the number of each. One that is itself a token is that token."""
+    length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    token = np.fromiter((r.rank.get(p, -1) for p in pieces), np.int64, len(pieces))
+    done = [(np.flatnonzero(token >= 0), token[token >= 0], np.ones(int((token >= 0).sum()), np.int64))]
+    rest = token < 0
+    for size in (2, 4, 8, 16, 32, 64):
+        some = np.flatnonzero(rest & (length <= size) & (length > size // 2))
+        for lo in range(0, len(some), 16384):
+            part = some[lo : lo + 16384]
+            done.append((part, *_encode_rows([pieces[k] for k in part], size, r)))
+    for k in np.flatnonzero(rest & (length > 64)).tolist():
+        ids = np.array(encode_long(pieces[k], r))
+        done.append((np.array([k]), ids, np.array([len(ids)])))
+    counts = np.zeros(len(pieces), np.int64)
+    for which, _, n in done:
+        counts[which] = n
+    first = np.cumsum(counts) - counts
+    flat = np.zeros(int(counts.sum()), np.int32)
+    for which, ids, n in done:
+        flat[np.repeat(first[which] - np.cumsum(n) + n, n) + np.arange(len(ids))] = ids
+    return flat, counts
 
 
 class Encoder:
@@ -181,19 +183,19 @@ class Encoder:
     def forget(self) -> None:
         self.known: dict[int, int] = {}
         self.flat = np.zeros(1 << 16, np.int32)
-        self.at = np.zeros(REMEMBERED + 1, np.int64)
+        self.at = np.zeros(1 << 16, np.int64)
 
     def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
-        for key, ids in zip(keys, encode_pieces(pieces, self.ranks), strict=True):
-            k = len(self.known)
-            if k + 2 > len(self.at):
-                self.at = np.append(self.at, np.zeros(len(self.at), np.int64))
-            end = self.at[k] + len(ids)
-            if end > len(self.flat):
-                self.flat = np.append(self.flat, np.zeros(max(len(self.flat), len(ids)), np.int32))
-            self.flat[self.at[k] : end] = ids
-            self.at[k + 1] = end
-            self.known[key] = k
+        ids, counts = encode_pieces(pieces, self.ranks)
+        k, m = len(self.known), len(keys)
+        while k + m + 1 > len(self.at):
+            self.at = np.append(self.at, np.zeros(len(self.at), np.int64))
+        lo = self.at[k]
+        while lo + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat, np.zeros(len(self.flat), np.int32))
+        self.flat[lo : lo + len(ids)] = ids
+        self.at[k + 1 : k + m + 1] = lo + np.cumsum(counts)
+        self.known.update(zip(keys, range(k, k + m), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and the number of each text."""
