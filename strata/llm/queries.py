@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontam, langid, neardup, tokencount, urlrules
+from strata.llm import bpe, decontam, langid, linededup, neardup, quality, secrets, suffixdedup, tokencount, urlrules
 from strata.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,11 +75,31 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
+@register("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @register("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+@register("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
+@register("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.dedup(table(spark, sf_dir, "documents"), length=200)
+
+
+@register("op9_secrets")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 @register("op10_langid")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents")).drop("key")
