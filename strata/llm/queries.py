@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -108,3 +109,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("langid_pages")
 def langid_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(table(spark, sf_dir, "pages")).drop("key")
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
