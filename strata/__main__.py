@@ -28,9 +28,9 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--json-lines", action="store_true")
     s = sub.add_parser("serve", help="run a dashboard query on the published marts")
     s.add_argument("--root", required=True)
-    s.add_argument("--page", choices=sorted(serve.PAGE_SQL), required=True)
+    s.add_argument("--page", choices=sorted(serve.PAGES), required=True)
     s.add_argument("--season", type=int, required=True)
-    s.add_argument("--rows", type=int, default=25)
+    s.add_argument("--rows", type=int, help="print so many rows (default: all)")
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -42,7 +42,8 @@ def main(argv: list[str] | None = None) -> None:
             print(name, df.count())
     else:
         build.open_gold(spark, f1.DATASET, args.root)
-        serve.page_query(spark, args.page, args.season).show(args.rows, truncate=False)
+        page = serve.page_query(spark, args.page, args.season)
+        page.show(page.count() if args.rows is None else args.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from strata.operators.shaping import results_shape
 from strata.plans import staging
-from strata.sources.pages import read_pages
+from strata.sources.pages import page_inventory, read_pages
 from strata.specs import Dataset, SourceSpec
 
 DATASET = "f1"
@@ -120,25 +120,54 @@ def page_reader(
     return read
 
 
+def page_lister(landing_root: str, endpoint: str, container: Sequence[str], json_lines: bool = False):
+    """The landed pages that ``page_reader`` reads, for the completeness check of a load."""
+
+    def read(spark: SparkSession, keys: Sequence[str] | None) -> DataFrame:
+        return page_inventory(
+            spark,
+            f"{landing_root}/{DATASET}/{endpoint}",
+            container,
+            keys=keys,
+            key_column="season",
+            envelope_key=ENVELOPE_KEY,
+            total_key=TOTAL_KEY,
+            multi_line=not json_lines,
+        )
+
+    return read
+
+
 def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ...]:
     """The four bronze sources, reading landed pages under ``landing_root``."""
     reader = partial(page_reader, landing_root, json_lines=json_lines)
+    lister = partial(page_lister, landing_root, json_lines=json_lines)
     return (
-        SourceSpec("raw_races", reader("races", RACE_RECORD, ["RaceTable", "Races"]), partition_column="season"),
         SourceSpec(
-            "raw_drivers", reader("drivers", DRIVER_RECORD, ["DriverTable", "Drivers"]), partition_column="season"
+            "raw_races",
+            reader("races", RACE_RECORD, ["RaceTable", "Races"]),
+            partition_column="season",
+            inventory=lister("races", ["RaceTable", "Races"]),
+        ),
+        SourceSpec(
+            "raw_drivers",
+            reader("drivers", DRIVER_RECORD, ["DriverTable", "Drivers"]),
+            partition_column="season",
+            inventory=lister("drivers", ["DriverTable", "Drivers"]),
         ),
         SourceSpec(
             "raw_results",
             reader("results", RESULTS_RACE, ["RaceTable", "Races"]),
             shape=results_shape("Results"),
             partition_column="season",
+            inventory=lister("results", ["RaceTable", "Races"]),
         ),
         SourceSpec(
             "raw_sprint_results",
             reader("sprint", SPRINT_RACE, ["RaceTable", "Races"]),
             shape=results_shape("SprintResults"),
             partition_column="season",
+            inventory=lister("sprint", ["RaceTable", "Races"]),
         ),
     )
 

@@ -4,13 +4,13 @@ from strata.functions.scalars import (
     concat_strict,
     field_path,
     lenient_bigint,
+    lenient_date,
+    lenient_double,
     lenient_int,
     nullif_empty,
-    strict_bigint,
     strict_date,
     strict_double,
     strict_int,
-    struct_field,
     surrogate_key,
     zero_if_null,
 )
@@ -19,13 +19,13 @@ __all__ = [
     "concat_strict",
     "field_path",
     "lenient_bigint",
+    "lenient_date",
+    "lenient_double",
     "lenient_int",
     "nullif_empty",
-    "strict_bigint",
     "strict_date",
     "strict_double",
     "strict_int",
-    "struct_field",
     "surrogate_key",
     "zero_if_null",
 ]

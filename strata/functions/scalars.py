@@ -16,46 +16,69 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# ---------------------------------------------------------------- strict casts
-# With ANSI mode on (the library default) a bad value raises at runtime, which
-# is what makes a malformed bronze value fail the build instead of becoming NULL.
+# ----------------------------------------------------------------------- casts
+# Text is read as the original SQL engine reads it: numbers with an optional
+# sign, fraction and exponent, digits grouped by single underscores, blanks
+# around them; integers also as 0x and 0b text; fractions rounded half away from
+# zero. Type suffixes (``5D``, ``1f``) and incomplete dates (``2024-03``) aren't
+# values. Lenient casts give NULL for other text, strict ones fail the query.
 
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?\d+)?$"
+_WORDS = r"(?i)^[+-]?(?:inf|infinity|nan)$"
+_HEX, _BITS = r"^0[xX]0*([0-7][0-9a-fA-F]{15}|[0-9a-fA-F]{1,15})$", r"^0[bB]0*([01]{1,63})$"
+_DATE = r"^\s*(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?:[ T].*)?\s*$"
 
-def strict_int(c: ColumnOrName) -> Column:
-    return _col(c).cast("int")
 
+def _bare(c: ColumnOrName) -> Column:
+    return F.regexp_replace(_col(c).cast("string"), r"^[ \t\n\r\x0b\f]+|[ \t\n\r\x0b\f]+$", "")
 
-def strict_bigint(c: ColumnOrName) -> Column:
-    return _col(c).cast("bigint")
 
+def _or_fail(source: ColumnOrName, value: Column, kind: str) -> Column:
+    text = _col(source).cast("string")
+    message = F.concat(F.lit(f"not a {kind}: "), text)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
 
-def strict_double(c: ColumnOrName) -> Column:
-    return _col(c).cast("double")
 
+def lenient_int(c: ColumnOrName, integral: str = "int") -> Column:
+    """Text to integer, NULL when the text is not a number or overflows."""
+    text = _bare(c)
+    digits = F.when(text.rlike(_NUMBER), F.regexp_replace(text, "_", ""))
+    whole = digits.try_cast(integral)
+    rounded = F.round(digits.try_cast("decimal(38,18)")).try_cast(integral)
+    other = F.when(text.rlike(_HEX), F.conv(F.regexp_extract(text, _HEX, 1), 16, 10)).when(
+        text.rlike(_BITS), F.conv(F.regexp_extract(text, _BITS, 1), 2, 10)
+    )
+    return F.coalesce(whole, rounded, other.try_cast(integral))
 
-def strict_date(c: ColumnOrName) -> Column:
-    return _col(c).cast("date")
 
+def lenient_bigint(c: ColumnOrName) -> Column:
+    return lenient_int(c, "bigint")
 
-# --------------------------------------------------------------- lenient casts
 
+def lenient_double(c: ColumnOrName) -> Column:
+    """Text to double, NULL when the text is not a number."""
+    text = _bare(c)
+    return F.when(text.rlike(_NUMBER) | text.rlike(_WORDS), F.regexp_replace(text, "_", "")).try_cast("double")
 
-def lenient_int(c: ColumnOrName, integral: str = "int") -> Column:
-    """Text to integer, NULL when the text is not a number or overflows.
 
-    Integer text converts exactly. Decimal or exponent text (``'1.5'``,
-    ``'1e3'``) is rounded half away from zero, which is what the lenient cast
-    of the original SQL engine does; a plain Spark ``try_cast`` would give NULL.
-    Hexadecimal and digit-grouping text are not recognised (NULL).
-    """
-    x = _col(c)
-    exact = x.try_cast(integral)
-    rounded = F.round(x.try_cast("double")).try_cast(integral)
-    return F.coalesce(exact, rounded)
+def lenient_date(c: ColumnOrName) -> Column:
+    """Text with year, month and day to date (a time after it is left out), else NULL."""
+    text = _col(c).cast("string")
+    parts = [F.regexp_extract(text, _DATE, k) for k in (1, 3, 4)]
+    return F.when(text.rlike(_DATE), F.concat_ws("-", *parts)).try_cast("date")
 
 
-def lenient_bigint(c: ColumnOrName) -> Column:
-    return lenient_int(c, "bigint")
+def strict_int(c: ColumnOrName) -> Column:
+    return _or_fail(c, lenient_int(c), "integer")
+
+
+def strict_double(c: ColumnOrName) -> Column:
+    return _or_fail(c, lenient_double(c), "number")
+
+
+def strict_date(c: ColumnOrName) -> Column:
+    return _or_fail(c, lenient_date(c), "date")
 
 
 def nullif_empty(c: ColumnOrName) -> Column:
@@ -80,14 +103,6 @@ def zero_if_null(c: ColumnOrName) -> Column:
     return F.coalesce(_col(c), F.lit(0.0))
 
 
-def struct_field(c: ColumnOrName, *path: str) -> Column:
-    """Nested struct access; a NULL parent gives a NULL child."""
-    out = _col(c)
-    for name in path:
-        out = out.getField(name)
-    return out
-
-
 def field_path(*path: str) -> Column:
     """Column for a dotted path whose parts may contain dots or odd casing."""
     return F.col(".".join(f"`{p}`" for p in path))

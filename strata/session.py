@@ -13,9 +13,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the library relies on. AQE re-plans joins from runtime sizes (a
-# broadcast is chosen only when the measured side is under the threshold) and
-# splits skewed shuffle partitions; ANSI mode makes strict casts fail loudly.
+# Settings the library relies on. Spark broadcasts a join side whose estimated
+# size (of a scan: its files) is under 10 MB, its default; AQE does so too for a
+# side that turns out that small at runtime, and splits skewed shuffle
+# partitions. ANSI mode makes strict casts fail loudly.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -53,7 +54,7 @@ def build_session(
     return spark
 
 
-def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Sizing for a large cluster, from an estimate of the largest shuffle.
 
     The initial shuffle partition count is chosen so that each partition of the
@@ -62,7 +63,7 @@ def cluster_conf(shuffle_bytes: int, partition_bytes: int = 256 << 20, max_parti
     skewed join side above four times it. Scan splits use the same size, so a
     task's input fits comfortably in executor memory.
     """
-    partitions = max(200, min(max_partitions, -(-shuffle_bytes // partition_bytes)))
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),

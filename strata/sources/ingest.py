@@ -1,8 +1,10 @@
 """Bronze loads: reader → optional shape → key stamp → slice replacement.
 
 One load of several keys (a backfill) is one read, one write job and one
-commit with a row per key, including keys that returned no rows; those
-slices become empty.
+commit with a row per key. A source with an inventory is loaded only if every
+key has a complete landing (each page once, none damaged, all up to the reported
+total); otherwise the load fails before anything is written, and the old slices
+stay live. A key whose landed total is 0 becomes an empty slice.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.shaping import apply_shape
 from strata.paths import bronze_location
-from strata.sources.pages import PAGE_OFFSET
+from strata.sources.pages import PAGE_OFFSET, landing_problems
 from strata.sources.versioned import SliceTable
 from strata.specs import KEY_COLUMN, Dataset, SourceSpec
 
@@ -34,6 +36,27 @@ def bronze_frame(spark: SparkSession, dataset: Dataset, spec: SourceSpec, keys:
     return shaped.drop(KEY_COLUMN, PAGE_OFFSET)
 
 
+class IncompleteLanding(RuntimeError):
+    """A key's landed pages aren't complete; nothing was loaded."""
+
+
+def check_landing(spark: SparkSession, spec: SourceSpec, keys: Sequence[str] | None) -> None:
+    """Raise ``IncompleteLanding`` unless every key has a complete landing."""
+    if spec.inventory is None:
+        return
+    pages = spec.inventory(spark, list(keys) if keys is not None else None)
+    problems = landing_problems(pages, spec.page_size)
+    if keys is not None:
+        wanted = spark.createDataFrame([(str(k),) for k in keys], "key string")
+        absent = wanted.join(pages.select("key").distinct(), "key", "left_anti")
+        nothing = absent.select("key", F.lit(None).cast("long").alias("offset"), F.lit("no page landed").alias("reason"))
+        problems = problems.unionByName(nothing)
+    found = problems.orderBy("key", "offset", "reason").limit(20).collect()
+    if found:
+        listed = "; ".join(f"{r.key} offset {r.offset}: {r.reason}" for r in found)
+        raise IncompleteLanding(f"{spec.name}: {listed}")
+
+
 def load_source(
     spark: SparkSession,
     dataset: Dataset,
@@ -46,7 +69,9 @@ def load_source(
     partitioned = dataset.partitioned and spec.partition_column is not None
     if partitioned:
         wanted = list(keys) if keys is not None else list(dataset.partitions or ())
+        check_landing(spark, spec, wanted)
         return table.load(bronze_frame(spark, dataset, spec, wanted), wanted)
+    check_landing(spark, spec, None)
     return table.load(bronze_frame(spark, dataset, spec, None))
 
 

@@ -8,6 +8,11 @@ or many pages of a key as JSON lines under ``<key_column>=<key>/``, each page
 carrying its ``offset`` in the envelope (far fewer files at scale).
 
 Each page is ``{envelope_key: {total_key: "70", <container path>: [records]}}``.
+A page that can't be parsed, or that lacks the envelope or the container (an
+error body, a truncated download), fails the read with its key and file; an
+empty container is a page without records. ``landing_problems`` lists what keeps
+a key's landing from being complete.
+
 Reading is a narrow plan: JSON scan → ``explode`` of the container array →
 ``select``; tasks follow the page files, nothing is shuffled and no page goes
 through the driver. ``multi_line=False`` reads JSON-lines files (one page per
@@ -24,9 +29,12 @@ from pyspark.sql import types as T
 
 from strata.functions.scalars import field_path
 
+# Names of the paged API's envelope (``MRData``, ``total``, ``offset``, 30 records a
+# page) are fixed values of the source; all are parameters below.
 PAGE_KEY = "_page_key"
 PAGE_OFFSET = "_page_offset"
 OFFSET_DIR = "offset"
+DAMAGED = "_damaged_page"
 
 
 def endpoint_location(template: str, key: str | None = None) -> str:
@@ -63,17 +71,21 @@ def _read_envelopes(
     key_column: str,
     keys: Sequence[str] | None,
     multi_line: bool,
+    offset_key: str = "offset",
 ) -> DataFrame:
     full = T.StructType(
         list(schema.fields)
         + [
             T.StructField(key_column, T.StringType()),
             T.StructField(OFFSET_DIR, T.LongType()),
+            T.StructField(DAMAGED, T.StringType()),
         ]
     )
     pages = (
         spark.read.schema(full)
         .option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", DAMAGED)
         .option("basePath", endpoint_root)
         .json(endpoint_root)
     )
@@ -81,7 +93,7 @@ def _read_envelopes(
         pages = pages.filter(F.col(key_column).isin([str(k) for k in keys]))
     # The offset comes from an ``offset=<n>`` folder when the landing has one
     # (one file per page), else from the envelope (many pages per file).
-    envelope_offset = F.col(f"{schema.fields[0].name}.offset").cast("long")
+    envelope_offset = F.col(f"{schema.fields[0].name}.{offset_key}").try_cast("long")
     return pages.withColumn(OFFSET_DIR, F.coalesce(F.col(OFFSET_DIR), envelope_offset))
 
 
@@ -99,17 +111,19 @@ def read_pages(
 ) -> DataFrame:
     """All records of the landed pages of the given keys, one row per record.
 
-    A page with an empty or missing container adds no row; a parent record
+    A page with an empty container adds no row, a damaged one fails; a parent record
     split over two pages contributes both parts (no de-duplication). The
     columns are the record's fields plus ``_page_key`` and ``_page_offset``.
     """
     schema = envelope_schema(container_path, record, envelope_key, total_key)
     pages = _read_envelopes(spark, endpoint_root, schema, key_column, keys, multi_line)
     container = field_path(envelope_key, *container_path)
+    message = F.concat(F.lit("damaged page of key "), F.coalesce(F.col(key_column), F.lit("?")), F.lit(" in "), F.col("_metadata.file_path"))
+    records = F.when(F.col(DAMAGED).isNotNull() | container.isNull(), F.raise_error(message)).otherwise(container)
     exploded = pages.select(
         F.col(key_column).alias(PAGE_KEY),
         F.col(OFFSET_DIR).alias(PAGE_OFFSET),
-        F.explode(container).alias("_r"),
+        F.explode(records).alias("_r"),
     )
     return exploded.select("_r.*", PAGE_KEY, PAGE_OFFSET)
 
@@ -119,20 +133,24 @@ def page_inventory(
     endpoint_root: str,
     container_path: Sequence[str],
     *,
+    keys: Sequence[str] | None = None,
     key_column: str = "season",
     envelope_key: str = "MRData",
     total_key: str = "total",
     multi_line: bool = True,
 ) -> DataFrame:
-    """One row per landed page: key, offset, reported total, record count."""
+    """One row per landed page: key, offset, reported total, record count, whether it is damaged."""
     record = T.StructType([])
     schema = envelope_schema(container_path, record, envelope_key, total_key)
-    pages = _read_envelopes(spark, endpoint_root, schema, key_column, None, multi_line)
+    pages = _read_envelopes(spark, endpoint_root, schema, key_column, keys, multi_line)
+    container = field_path(envelope_key, *container_path)
+    total = F.col(f"{envelope_key}.{total_key}").try_cast("long")
     return pages.select(
         F.col(key_column).alias("key"),
         F.col(OFFSET_DIR).alias("offset"),
-        F.col(f"{envelope_key}.{total_key}").cast("long").alias("total"),
-        F.coalesce(F.size(field_path(envelope_key, *container_path)), F.lit(0)).alias("records"),
+        total.alias("total"),
+        F.when(container.isNull(), F.lit(0)).otherwise(F.size(container)).alias("records"),
+        (F.col(DAMAGED).isNotNull() | container.isNull() | total.isNull()).alias("damaged"),
     )
 
 
@@ -176,3 +194,16 @@ def missing_pages(inventory: DataFrame, page_size: int) -> DataFrame:
         .select("key", "offset", F.lit("empty_before_total").alias("reason"))
     )
     return absent.unionByName(early)
+
+
+def landing_problems(inventory: DataFrame, page_size: int) -> DataFrame:
+    """Everything that keeps a landing from being complete: ``key, offset, reason``.
+
+    The reasons of ``missing_pages``, and ``damaged`` (no envelope, container or
+    total) and ``duplicate`` (an offset landed more than once, or unknown).
+    """
+    damaged = inventory.filter("damaged").select("key", "offset", F.lit("damaged").alias("reason"))
+    sound = inventory.filter("NOT damaged")
+    again = sound.groupBy("key", "offset").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR offset IS NULL")
+    again = again.select("key", "offset", F.lit("duplicate").alias("reason"))
+    return missing_pages(sound, page_size).unionByName(damaged).unionByName(again)

@@ -68,6 +68,10 @@ def partition_dir_value(value: str | None) -> str:
     return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
 
 
+#: Error conditions of a folder that isn't there, or has no file yet.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 @dataclass(frozen=True)
 class StagedBatch:
     """A written, not yet committed batch: its token, the load's keys, rows per slice."""
@@ -106,9 +110,11 @@ class SliceTable:
             return True
         try:
             files = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(version)).inputFiles()
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() not in ABSENT:
+                raise
             return False
-        # a folder left by a crashed commit write holds no data file (only _temporary)
+        # the folder of a commit write that is going on, or crashed, holds no data file
         return len(files) > 0
 
     def version(self) -> int:
@@ -140,9 +146,10 @@ class SliceTable:
 
     def live_batches(self, version: int | None = None) -> list[tuple[str, str, int]]:
         """(slice, batch_id, row_count) of every slice at ``version`` (default: current)."""
-        if version is None or not self._committed(version):
-            current = self.version()
-            version = current if version is None else min(version, current)
+        if version is None:
+            version = self.version()
+        elif version < 0 or not self._committed(version):
+            raise ValueError(f"{self.path} has no version {version}")
         return [(r["slice"], r[BATCH], int(r["row_count"])) for r in self._live_rows(version)]
 
     def superseded_batches(self, keep_versions: int = 1) -> list[str]:
@@ -311,13 +318,9 @@ class SliceTable:
     def _commit(self, version: int, changed: dict) -> None:
         _, rows = self._next_map(self._prev_map(version - 1), version, changed)
         frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
-        try:
-            frame.write.mode("errorifexists").parquet(self._commit_dir(version))
-        except AnalysisException:
-            if self._committed(version):
-                raise  # another writer committed this version: a clash
-            # the folder of a commit write that crashed before its file landed
-            frame.write.mode("overwrite").parquet(self._commit_dir(version))
+        # the folder may be another writer's, finished or not: never written into.
+        # If a crashed writer left it (without a file, no load going on), remove it.
+        frame.write.mode("errorifexists").parquet(self._commit_dir(version))
         self._known = version
 
     def create(self) -> int:
@@ -347,6 +350,8 @@ class SliceTable:
             df = self._only_keys(df, keys)
         if files_per_slice:
             df = self._spread(df, files_per_slice)
+        elif self.slice_column:
+            df = df.hint("rebalance", self.slice_column)
         self._write(df, F.lit(token))
         counts = {r["slice"]: int(r["row_count"]) for r in self._written_counts(token, keys).collect()}
         return StagedBatch(token, None if keys is None else [str(k) for k in keys], counts)
@@ -395,13 +400,13 @@ class SliceTable:
         """
         return self.commit(self.stage(df, keys, files_per_slice), operation, replace_all)
 
-    def _spread(self, df: DataFrame, files_per_slice: int, extra: Sequence[F.Column] = ()) -> DataFrame:
+    def _spread(self, df: DataFrame, files_per_slice: int) -> DataFrame:
         hashable = [
             F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
         ]
         salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_slice)) if hashable else F.lit(0)
         keys = [F.col(self.slice_column)] if self.slice_column else []
-        return df.repartition(*keys, *extra, salt)
+        return df.repartition(*keys, salt)
 
     def _only_keys(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         """Fail the write task on a row whose slice is not one of the load's keys.
@@ -426,27 +431,23 @@ class SliceTable:
             return df
         return df.withColumn(self.slice_column, F.lit(str(key)))
 
-    def load_versions(
-        self, df: DataFrame, version_column: str, operation: str = "WRITE", files_per_batch: int | None = 2
-    ) -> list[int]:
+    def load_versions(self, df: DataFrame, version_column: str, operation: str = "WRITE") -> list[int]:
         """Replay a sequence of loads in one write job (a backfill with history).
 
         ``version_column`` holds, per row, the version of the load that wrote
         it; the versions must continue the table's (current + 1, + 2, ...).
-        Each version replaces the slices it has rows for. The commit folders of
-        all versions are derived from the written files and written in one job.
+        Each version replaces the slices it has rows for. The first version's
+        commit claims the sequence: a second writer fails there and nothing of
+        it goes live. The others follow in one job, each of them a whole commit.
 
-        Rows are first shuffled on (slice, version, row hash mod
-        ``files_per_batch``): every (slice, version) folder gets at most that
-        many files and a hot one is spread over that many tasks, instead of
-        every writing task opening a file in every folder.
+        Rows are rebalanced on (slice, version): large folders are written by as
+        many tasks as their size asks for, small ones share a task.
         """
         current = self.version()
         token = uuid.uuid4().hex
         batch = F.concat(F.lit(token + "-"), F.col(version_column).cast("string"))
-        if files_per_batch:
-            df = self._spread(df, files_per_batch, extra=[F.col(version_column)])
-        self._write(df, batch)
+        parts = [self.slice_column] if self.slice_column else []
+        self._write(df.hint("rebalance", *parts, version_column), batch)
         counts = self._written_counts(f"{token}-*").collect()
         if not counts:
             return []
@@ -462,12 +463,13 @@ class SliceTable:
                 f"versions must continue the table at {current + 1}; got {versions[0]}..{versions[-1]}"
                 " (the written rows stay invisible)"
             )
-        if self._committed(versions[0]):
-            raise RuntimeError(f"commit clash at version {versions[0]}")
-        live, rows = self._prev_map(current), []
-        for v in versions:
+        self._commit(versions[0], per_version[versions[0]])
+        live, rows = self._prev_map(versions[0]), []
+        for v in versions[1:]:
             live, version_rows = self._next_map(live, v, per_version[v])
             rows += version_rows
+        if not rows:
+            return versions
         commits = self.spark.createDataFrame(rows, COMMIT_SCHEMA).withColumn(
             VERSION_DIR, F.format_string("%012d", F.col("version"))
         )

@@ -29,13 +29,16 @@ class SourceSpec:
     ``shape`` is an optional ``DataFrame -> DataFrame`` step (None: records
     land as they are); ``partition_column`` names the slice column when the
     dataset is partitioned (None: the whole table is replaced on each load).
+    ``inventory`` lists the landed pages of the keys (``pages.page_inventory``);
+    a load with one accepts a key only if its pages are complete.
     """
 
     name: str
     reader: Reader
     shape: Shape | None = None
-    group: str = "raw"
     partition_column: str | None = None
+    inventory: Reader | None = None
+    page_size: int = 30
 
 
 @dataclass(frozen=True)

@@ -1,8 +1,13 @@
 """Landed pages: explode rules, partition templates, completeness check."""
 
+import os
+
+import pytest
 from conftest import land_page
 from pyspark.sql import types as T
 
+from strata.sources.ingest import IncompleteLanding, load_bronze, read_bronze
+from strata.specs import Dataset, SourceSpec
 from strata.sources.pages import endpoint_location, expected_offsets, missing_pages, page_inventory, read_pages
 
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
@@ -43,17 +48,83 @@ def test_partition_template():
     assert endpoint_location("http://x/races.json", "2024") == "http://x/races.json"
 
 
-def test_key_without_pages_commits_an_empty_slice(spark, scratch):
-    """An empty fetch for one key of a backfill empties that key's slice."""
-    from strata.sources.ingest import load_bronze, read_bronze
-    from strata.sources.versioned import SliceTable
-    from strata.specs import Dataset, SourceSpec
-
-    land_page(scratch, "d", "items", "2023", 0, 1, ["T", "I"], [{"id": "1"}])
-    reader = lambda spark, keys: read_pages(spark, f"{scratch}/d/items", REC, ["T", "I"], keys=keys)
-    ds = Dataset("d", (SourceSpec("raw_items", reader, partition_column="season"),), partitions=("2023", "2024"))
-    load_bronze(spark, ds, root=f"{scratch}/lake")
-    raw = read_bronze(spark, ds, f"{scratch}/lake")["raw_items"]
-    assert sorted((r["season"], r["id"]) for r in raw.collect()) == [("2023", "1")]
-    table = SliceTable(spark, f"{scratch}/lake/raw/d/raw_items.slices", "season")
-    assert sorted((s, n) for s, _, n in table.live_batches()) == [("2023", 1), ("2024", 0)]
+def spec_of(root):
+    """A source of the landed items with its completeness check."""
+    path = ["T", "I"]
+    return SourceSpec(
+        "raw_items",
+        lambda spark, keys: read_pages(spark, f"{root}/d/items", REC, path, keys=keys),
+        partition_column="season",
+        inventory=lambda spark, keys: page_inventory(spark, f"{root}/d/items", path, keys=keys),
+    )
+
+
+@pytest.fixture
+def lake(spark, scratch):
+    """A dataset with a good 2024 slice already live, and a function that tries to load it again."""
+    for season in ("2023", "2024"):
+        land_page(f"{scratch}/good", "d", "items", season, 0, 1, ["T", "I"], [{"id": season}])
+    good = Dataset("d", (spec_of(f"{scratch}/good"),), partitions=("2023", "2024"))
+    load_bronze(spark, good, root=f"{scratch}/lake")
+
+    def reload(root, keys=("2024",)):
+        load_bronze(spark, Dataset("d", (spec_of(root),), partitions=tuple(keys)), keys=list(keys), root=f"{scratch}/lake")
+
+    def live():
+        raw = read_bronze(spark, good, f"{scratch}/lake")["raw_items"]
+        return sorted((r["season"], r["id"]) for r in raw.collect())
+
+    assert live() == [("2023", "2023"), ("2024", "2024")]
+    return reload, live
+
+
+def write_page(root, text, season="2024", offset=0):
+    folder = f"{root}/d/items/season={season}/offset={offset}"
+    os.makedirs(folder)
+    with open(f"{folder}/page.json", "w") as fh:
+        fh.write(text)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '{"MRData": {"total": "1", "offset": "0", "T": {"I": [{"id": "1"}',
+        '{"error": "too many requests"}',
+        '{"MRData": {"total": "1", "offset": "0"}}',
+        '{"MRData": {"total": "1", "offset": "0", "T": {}}}',
+        "",
+    ],
+)
+def test_a_damaged_page_fails_the_load_and_the_old_slice_stays(spark, scratch, lake, page):
+    reload, live = lake
+    write_page(f"{scratch}/bad", page)
+    with pytest.raises(IncompleteLanding, match="2024"):
+        reload(f"{scratch}/bad")
+    assert live() == [("2023", "2023"), ("2024", "2024")]
+    if page:
+        with pytest.raises(Exception, match="damaged page of key 2024 in .*page.json"):
+            read_pages(spark, f"{scratch}/bad/d/items", REC, ["T", "I"]).collect()
+
+
+def test_missing_duplicate_and_absent_pages_fail_the_load(spark, scratch, lake):
+    reload, live = lake
+    land_page(f"{scratch}/gap", "d", "items", "2024", 0, 40, ["T", "I"], [{"id": "1"}])
+    with pytest.raises(IncompleteLanding, match="2024 offset 30: missing"):
+        reload(f"{scratch}/gap")
+    page = '{"MRData": {"total": "1", "offset": "0", "T": {"I": [{"id": "1"}]}}}'
+    write_page(f"{scratch}/twice", page)
+    with open(f"{scratch}/twice/d/items/season=2024/offset=0/again.json", "w") as fh:
+        fh.write(page)
+    with pytest.raises(IncompleteLanding, match="duplicate"):
+        reload(f"{scratch}/twice")
+    land_page(f"{scratch}/other", "d", "items", "2023", 0, 1, ["T", "I"], [{"id": "x"}])
+    with pytest.raises(IncompleteLanding, match="2024 offset None: no page landed"):
+        reload(f"{scratch}/other", ("2023", "2024"))
+    assert live() == [("2023", "2023"), ("2024", "2024")]
+
+
+def test_a_landed_total_of_zero_empties_the_slice(spark, scratch, lake):
+    reload, live = lake
+    land_page(f"{scratch}/none", "d", "items", "2024", 0, 0, ["T", "I"], [])
+    reload(f"{scratch}/none")
+    assert live() == [("2023", "2023")]

@@ -200,12 +200,47 @@ def test_superseded_batches_lists_replaced_and_crashed(spark, scratch):
     assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 3)]
 
 
-def test_crashed_commit_folder_is_replaced(spark, scratch):
+def test_a_commit_folder_in_flight_is_never_written_into(spark, scratch):
     import os
 
     t = SliceTable(spark, f"{scratch}/t", "season")
     t.load_slice(frame(spark, [(1, "a")]), "2023")
-    os.makedirs(f"{scratch}/t/commits/v=000000000001/_temporary/0")  # crashed commit write
+    os.makedirs(f"{scratch}/t/commits/v=000000000001/_temporary/0")  # another writer's, or a crashed one's
     assert SliceTable(spark, f"{scratch}/t", "season").version() == 0
-    assert t.load_slice(frame(spark, [(2, "b")]), "2024") == 1
-    assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 2)]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        t.load_slice(frame(spark, [(2, "b")]), "2024")
+    assert rows(t.read(), "season", "id") == [("2023", 1)]
+
+
+def test_unknown_versions_are_refused(spark, scratch):
+    t = SliceTable(spark, f"{scratch}/t", "season")
+    t.load_slice(frame(spark, [(1, "a")]), "2023")
+    for version in (1, 99, -5):
+        with pytest.raises(ValueError, match="no version"):
+            t.read(version=version)
+
+
+def test_a_second_history_writer_goes_nowhere(spark, scratch):
+    one, two = (SliceTable(spark, f"{scratch}/t", "season") for _ in range(2))
+    events = spark.createDataFrame([(1, "2023", 0), (2, "2023", 1)], "id int, season string, n int")
+    two.version = lambda: -1  # read before the first one commits
+    one.load_versions(events, "n")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        two.load_versions(events, "n")
+    fresh = SliceTable(spark, f"{scratch}/t", "season")
+    assert rows(fresh.read(version=0), "season", "id") == [("2023", 1)]
+    assert rows(fresh.read(), "season", "id") == [("2023", 2)]
+
+
+def test_a_hot_slice_is_written_by_as_many_tasks_as_its_size_asks_for(spark, scratch):
+    from pyspark.sql import functions as F
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "64k")
+    try:
+        t = SliceTable(spark, f"{scratch}/t", "season")
+        df = spark.range(60_000).select("id", F.lit("2024").alias("season"), F.md5(F.col("id").cast("string")).alias("x"))
+        t.load_slice(df, "2024")
+        assert len(t.read().inputFiles()) > 2
+    finally:
+        spark.conf.unset(key)
