@@ -55,14 +55,14 @@ def _result_rows(spark: SparkSession, sf_dir: str, linestatus: str, named: bool
     )
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grand Prix result rows (stg_results roles)."""
-    return _result_rows(spark, sf_dir, "F")
+def results(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
+    """Grand Prix result rows (stg_results roles); without ``named`` no team names, and no join for them."""
+    return _result_rows(spark, sf_dir, "F", named)
 
 
-def sprint_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sprint_results(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
     """Sprint result rows (stg_sprint_results roles)."""
-    return _result_rows(spark, sf_dir, "O")
+    return _result_rows(spark, sf_dir, "O", named)
 
 
 def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
@@ -119,6 +119,16 @@ def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def race_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``races`` that an order holds itself."""
+    return table(spark, sf_dir, "orders").select(
+        season_of("o_orderdate").alias("season"),
+        F.dayofyear("o_orderdate").alias("round"),
+        F.col("o_orderdate").cast("date").alias("race_date"),
+        F.col("o_orderkey").cast("string").alias("race_name"),
+    )
+
+
 def races(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order (stg_races roles)."""
     orders = table(spark, sf_dir, "orders")
@@ -274,7 +284,8 @@ def nested_results(spark: SparkSession, sf_dir: str, array_key: str, linestatus:
     raw = _raw_lines(spark, sf_dir)
     if linestatus is not None:
         raw = raw.filter(F.col("l_linestatus") == linestatus)
-    grouped = raw.groupBy("o_orderkey", "l_linenumber", "o_orderdate").agg(
+    keys = ["o_orderkey", "l_linenumber", "o_orderdate"]  # all of them: a hot order's lines go to many tasks
+    grouped = raw.repartition(*keys).groupBy(*keys).agg(
         F.collect_list(F.struct(*LINE_FIELDS)).alias("_lines")
     )
     return grouped.select(

@@ -306,7 +306,7 @@ LIMIT 10"""
 )
 def q_points_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.points_by_attribute(
-        A.results(spark, sf_dir), A.sprint_results(spark, sf_dir), A.drivers(spark, sf_dir), SEASON
+        A.tagged_result_rows(spark, sf_dir, named=False), None, A.drivers(spark, sf_dir), SEASON
     )
 
 
@@ -318,7 +318,7 @@ SELECT season, SUM(points) AS sprint_points_awarded FROM stg_sprint_results GROU
     ),
 )
 def q_sprint_points_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.points_per_season(A.sprint_results(spark, sf_dir))
+    return serve.points_per_season(A.sprint_results(spark, sf_dir, named=False))
 
 
 @register(
@@ -329,7 +329,7 @@ SELECT season, COUNT(*) AS race_count FROM stg_races GROUP BY season"""
     ),
 )
 def q_rows_per_season(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.rows_per_season(A.races(spark, sf_dir))
+    return serve.rows_per_season(A.race_dates(spark, sf_dir))
 
 
 @register(
@@ -340,7 +340,7 @@ SELECT DISTINCT season FROM stg_results"""
     ),
 )
 def q_seasons_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.distinct_sorted(A.results(spark, sf_dir), "season")
+    return serve.distinct_sorted(A.results(spark, sf_dir, named=False), "season")
 
 
 @register(
@@ -360,7 +360,7 @@ def q_alltime_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_races_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped races: every field a string, as landed from JSON."""
-    return A.races(spark, sf_dir).select(
+    return A.race_dates(spark, sf_dir).select(
         F.col("season").cast("string").alias("season"),
         F.col("round").cast("string").alias("round"),
         F.col("race_name").alias("raceName"),
