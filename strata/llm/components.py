@@ -25,8 +25,10 @@ def roots(links: DataFrame) -> DataFrame:
         up = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
         up = staged(up, "pointers")
         while True:  # to the end of each chain of pointers
-            jump = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            up = staged(up.join(jump, "root").select("node", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")), "pointers")
+            for _ in range(2):
+                jump = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+                up = up.join(jump, "root").select("node", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved"))
+            up = staged(up, "pointers")
             if up.where("moved").isEmpty():
                 break
             up = up.select("node", "root")

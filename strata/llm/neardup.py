@@ -4,20 +4,23 @@ A document's sketch holds the ``k`` smallest hashes of its shingle set. Document
 with the same set are one class, and all further work is on classes.
 
 Candidates. If two sets have a Jaccard similarity of t or more, then of the k
-smallest hashes of their union about ``t * k`` are in both sketches. Fewer than
-``FLOOR * k`` are so with a probability below 1e-6 for k = 64, t = 0.8 and
-FLOOR = 0.5 (below 1e-9 for t = 0.85); a set so small that all similar ones are
-their own sketches has an exact bound. Two sketches with c values in common share one within the
-``size - c + 1`` values that are rarest in the corpus, so only those go into
-inverted lists, and values that many documents hold drop out of long lists.
-
-Links. A list isn't paired out. In each round some members of it, the hubs (one,
-then about 2, 4, 8 and so on), are compared with the members that are in other
-components so far: the sketch of the union estimates the similarity (same
-floor), then full sets decide. Confirmed links join components, the hubs leave
-their list, and a list with one component left is done. When few pairs are left
-in all, they are compared directly. So every candidate pair is either compared,
-or already in one component.
+smallest hashes of their union about ``t * k`` are in both sketches. For k = 64
+fewer than ``(t - SLACK) * k`` are so with a probability below 1e-6; a set so
+small that all similar ones are their own sketches has an exact bound. Two
+sketches with c values in common share one within the ``size - c + 1`` values
+that are rarest in the corpus, so only those go into inverted lists, and values
+that many documents hold drop out of long lists. Long lists are left over
+where many documents have much in common, linked or not. The classes in them get
+longer sketches, for which the bound is tighter (``LONG_SLACK``), and the lists of
+those replace the long ones.
+
+Links. Pairs from short lists (of ``SHORT`` classes at most) are estimated by the
+sketch of the union, then decided on full sets. Lists that are still long aren't
+paired out: classes that share any of them are a crowd. A crowd's classes are
+first compared with one hub, the class with the fewest values of its own. Those
+that are linked with it are one component, so only the rest is compared with the
+crowd, in blocks: a task holds two blocks of ``BLOCK`` classes or so and returns
+links that span what it found, not pairs.
 """
 
 from __future__ import annotations
@@ -33,10 +36,12 @@ from strata.llm import textops
 from strata.llm.components import roots
 from strata.llm.tables import small_batches, staged, text_of
 
-#: Share of the union's sketch that linked documents have in common at least.
-FLOOR = 0.5
-#: Once all lists together have this many pairs per list entry left, they are compared directly.
-DIRECT = 4
+#: By how much the share in common of two sketches may fall short of t.
+SLACK, LONG_SLACK = 0.3, 0.1
+#: Longer lists aren't paired out; classes in them get sketches of LONG_SKETCH values.
+SHORT, LONG_SKETCH = 16, 512
+#: Classes of a crowd that are compared at once.
+BLOCK = 512
 
 
 def _digest(values: np.ndarray) -> bytes:
@@ -87,6 +92,32 @@ def _set_batches(n: int):
     return run
 
 
+def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, members) with sorted sets: (node, n, sketch) with long sketches."""
+    for batch in batches:
+        sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+        sketches = pa.array([x[:LONG_SKETCH] for x in sets], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), sketches], names=["node", "n", "sketch"])
+
+
+def _lists(sketches: DataFrame, k: int, percent: int, slack: float) -> DataFrame:
+    """Inverted lists of each sketch's rarest values, from (node, n, sketch): (node, v, n, own).
+
+    own: how many of a complete set's values no other sketch has; n and own are
+    null for a set that is longer than its sketch.
+    """
+    values = sketches.select("node", F.explode("sketch").alias("v"))
+    shared = values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
+    by_node = values.join(shared, "v").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("held"))
+    size = F.size("sketch")
+    least_common = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(F.lit(percent / 100 - slack) * size))
+    prefix = size - least_common + 1 - (size - F.size("held"))  # values that no other sketch has are the rarest
+    lists = sketches.join(by_node, "node").withColumn("take", F.greatest(prefix, F.lit(0)).cast("int")).where("take > 0")
+    whole = F.col("n") <= k
+    lists = lists.withColumn("own", F.when(whole, size - F.size("held"))).withColumn("n", F.when(whole, F.col("n")))
+    return lists.select("node", "n", "own", F.explode(F.slice("held", F.lit(1), F.col("take"))).alias("x")).select("node", "x.v", "n", "own")
+
+
 def _confirm_batches(percent: int):
     """For mapInArrow over (a, b, members_a, members_b): the pairs that are linked."""
 
@@ -102,11 +133,102 @@ def _confirm_batches(percent: int):
     return run
 
 
-def _candidates(lists: DataFrame, hubs: DataFrame | None) -> DataFrame:
-    """Distinct pairs (a, b) of one list and two components: with its hub, or all."""
-    other = hubs if hubs is not None else lists.select("v", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-    pairs = lists.join(other, "v").where("comp <> hub_comp")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+def _spanning(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links between two blocks of sets (the same or disjoint): to each set its component's first."""
+    size = np.array([len(x) for x in sets])
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(sets)), size), times[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    place_l, place_r = np.full(len(sets), -1), np.full(len(sets), -1)
+    place_l[left], place_r[right] = np.arange(len(left)), np.arange(len(right))
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        some = slice(*np.searchsorted(column, [lo, lo + 4096]))
+        one, two = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+        for table, place in ((one, place_l[row[some]]), (two, place_r[row[some]])):
+            table[place[place >= 0], column[some][place >= 0] - lo] = 1
+        common += one @ two.T
+    linked = 100 * common >= percent * (size[left][:, None] + size[right][None] - common)
+    i, j = np.nonzero(linked)
+    i, j = left[i], right[j]
+    first = np.arange(len(sets))
+    while True:
+        low = first.copy()
+        np.minimum.at(low, i, first[j])
+        np.minimum.at(low, j, first[i])
+        low = low[low]
+        if (low == first).all():
+            break
+        first = low
+    some = np.flatnonzero(first != np.arange(len(sets)))
+    return some, first[some]
+
+
+def _block_batches(percent: int):
+    """For mapInArrow over (crowd, kind, i, j, side, node, members), sorted: links between blocks i and j."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def links() -> pa.RecordBatch:
+            side = np.array([x[0] for x in held])
+            every = np.arange(len(held))
+            left, right = (every, every) if (side == side[0]).all() else (every[side == 0], every[side == 1])
+            one, two = _spanning([x[2] for x in held], left, right, percent)
+            nodes = np.array([x[1] for x in held])
+            return pa.RecordBatch.from_arrays([pa.array(nodes[one]), pa.array(nodes[two])], names=["a", "b"])
+
+        for batch in batches:
+            for *key, side, node, members in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != at:
+                    if held:
+                        yield links()
+                    at, held = key, []
+                held.append((side, node, np.frombuffer(members, np.uint64)))
+        if held:
+            yield links()
+
+    return run
+
+
+def _pairs(lists: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of the classes in one list."""
+    one, two = lists.select("v", F.col("node").alias("a")), lists.select("v", F.col("node").alias("b"))
+    return one.join(two, "v").where("a < b").select("a", "b").distinct()
+
+
+def _crowd_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among classes that share long lists: (node, v, own) and their sets."""
+    least = lists.groupBy("v").agg(F.min("node").alias("b"))
+    crowds = roots(lists.join(least, "v").select(F.col("node").alias("a"), "b"))
+    own = lists.groupBy("node").agg(F.min("own").alias("own"))
+    ranked = crowds.withColumnRenamed("root", "crowd").join(own, "node")
+    hubs = ranked.groupBy("crowd").agg(F.min(F.struct(F.coalesce("own", F.lit(1 << 30)), "node")).alias("x")).select("crowd", F.col("x.node").alias("hub"))
+    people = staged(ranked.join(hubs, "crowd").select("crowd", "node", "hub"), "crowds")
+    one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
+    two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
+    to_hub = people.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).join(one, "a").join(two, "b")
+    to_hub = staged(to_hub.select("a", "b", "ma", "mb").mapInArrow(_confirm_batches(percent), "a long, b long"), "hub-links")
+
+    # the rest (side 0) against itself and against those linked with the hub (side 1), in blocks
+    linked = to_hub.select(F.col("a").alias("node"), F.lit(1).alias("s"))
+    people = people.join(linked, "node", "left").withColumn("side", F.when(F.col("node") == F.col("hub"), 1).otherwise(F.coalesce("s", F.lit(0))))
+    counts = people.groupBy("crowd").agg(F.sum(1 - F.col("side")).alias("rest"), F.sum("side").alias("near"))
+    blocks = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
+    counts = counts.where("rest > 0").select("crowd", blocks("rest").alias("rest"), blocks("near").alias("near"))
+    mine = people.join(counts, "crowd").withColumn("i", F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("rest")).otherwise(F.col("near"))).cast("int"))
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    within = F.transform(numbers("rest"), lambda j: F.struct(F.lit(0).alias("kind"), F.least("i", j).alias("i"), F.greatest("i", j).alias("j")))
+    across = F.transform(numbers("near"), lambda j: F.struct(F.lit(1).alias("kind"), F.col("i").alias("i"), j.alias("j")))
+    back = F.transform(numbers("rest"), lambda j: F.struct(F.lit(1).alias("kind"), j.alias("i"), F.col("i").alias("j")))
+    to = F.when(F.col("side") == 0, F.concat(within, across)).otherwise(back)
+    dealt = mine.select("crowd", "node", "side", F.explode(to).alias("x")).join(sets, "node")
+    dealt = dealt.select("crowd", "x.kind", "x.i", "x.j", "side", "node", "members")
+    order = ["crowd", "kind", "i", "j"]
+    found = dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(_block_batches(percent), "a long, b long")
+    return to_hub.union(found)
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
@@ -115,7 +237,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, pe
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     near = pairs.join(left, "a").join(right, "b").withColumn("u", union)
     common = F.size(F.array_intersect(F.array_intersect("u", "sa"), F.col("sb")))
-    near = near.where(common >= F.lit(FLOOR) * F.size("u")).select("a", "b")
+    near = near.where(common >= F.lit(percent / 100 - SLACK) * F.size("u")).select("a", "b")
     one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
     both = near.join(one, "a").join(two, "b").select("a", "b", "ma", "mb")
@@ -143,69 +265,33 @@ def cluster(docs: DataFrame, shingle: int, percent: int, k: int = 64, id_col: st
     per_class = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "key")).alias("any"), F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     classes = staged(per_class.select(F.monotonically_increasing_id().alias("node"), "digest", "any.doc_id", "any.key", "least", "n", "sketch"), "classes")
 
-    # inverted lists of each sketch's rarest values
-    values = classes.select("node", F.explode("sketch").alias("v"))
-    shared = values.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    by_node = values.join(shared, "v").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "v"))).alias("held"))
-    size = F.size("sketch")
-    least_common = F.when(F.col("n") * 100 <= k * percent, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(F.lit(FLOOR) * size))
-    prefix = size - least_common + 1 - (size - F.size("held"))  # values that no other sketch has are the rarest
-    lists = classes.join(by_node, "node").withColumn("take", F.greatest(prefix, F.lit(0)).cast("int")).where("take > 0")
-    lists = lists.select("node", F.explode(F.slice("held", F.lit(1), F.col("take"))).alias("x")).select("node", "x.v")
-    lists = staged(lists, "lists")
+    def counted(lists: DataFrame) -> DataFrame:
+        lists = staged(lists, "lists")
+        return lists.join(staged(lists.groupBy("v").agg(F.count("*").alias("c")).where("c > 1"), "lengths"), "v")
+
+    lists = counted(_lists(classes, k, percent, SLACK))
 
     # full sets of the classes in lists
-    spread = lists.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
-    needed = lists.join(spread, "v", "left_semi").select("node").distinct()
+    needed = lists.select("node").distinct()
     ask = classes.join(needed, "node", "left_semi").select("node", "digest", F.col("doc_id").alias("d"), F.col("key").alias("y"))
     texts = part.join(ask, part.doc_id.eqNullSafe(F.col("d")) & (part.key == F.col("y"))).select("node", "digest", "text")
     sets = texts.mapInArrow(_set_batches(shingle), "node long, members binary").dropDuplicates(["node"])
     sets = staged(sets, "sets")
 
-    labels, turn = None, 0
-    while True:
-        if labels is None:
-            here = lists.withColumn("comp", F.col("node"))
-        else:
-            here = lists.join(labels.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_ = here.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-        here = staged(here.join(open_, "v", "left_semi"), "open")
-        per = here.groupBy("v", "comp").agg(F.count("*").alias("c")).groupBy("v").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("own"))
-        left = per.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), F.sum("n").alias("entries")).first()
-        if not left.pairs:
-            break
-        direct = turn > 0 and left.pairs <= DIRECT * left.entries
-        if direct:
-            pairs = _candidates(here, None)
-        else:
-            order = F.lit(0) if turn == 0 else F.xxhash64("v", "node")
-            first = here.groupBy("v").agg(F.min(F.struct(order.alias("o"), "node")).alias("x"), F.count("*").alias("n"))
-            chosen = (F.col("node") == F.col("x.node")) | (F.pmod(F.xxhash64("node", "v"), F.lit(1 << 20)) * F.col("n") < ((1 << turn) - 1 << 20))
-            hubs = staged(here.join(first, "v").where(chosen).select("v", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hubs")
-            pairs = _candidates(here, hubs)
-        links = staged(_confirmed(pairs, classes, sets, k, percent), "confirmed")
-        if not links.isEmpty():
-            if labels is None:
-                labels = roots(links)
-            else:  # of the components so far
-                name = labels.select("node", "root")
-                a = links.join(name.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-                both = a.join(name.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-                merged = roots(both.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
-                known = labels.join(merged.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-                labels = staged(known.union(merged.join(labels, "node", "left_anti")), "labels")
-        if direct:
-            break
-        lists = staged(here.join(hubs, (here.v == hubs.v) & (here.node == hubs.hub), "left_anti").select("node", "v"), "lists")
-        turn += 1
+    crowded = sets.join(lists.where(F.col("c") > SHORT).select("node").distinct(), "node", "left_semi")
+    longer = staged(crowded.mapInArrow(_longer, "node long, n long, sketch array<long>"), "long-sketches")
+    again = counted(_lists(longer, LONG_SKETCH, percent, LONG_SLACK))
+    pairs = staged(_pairs(lists.where(F.col("c") <= SHORT)).union(_pairs(again.where(F.col("c") <= SHORT))).distinct(), "pairs")
+    links = _confirmed(pairs, classes, sets, k, percent)
+    many = staged(again.where(F.col("c") > SHORT).select("node", "v", "own"), "long-lists")
+    if not many.isEmpty():
+        links = links.union(_crowd_links(many, sets, percent))
+    labels = roots(links)
 
     named = classes.select("node", "digest", "least")
-    if labels is not None:
-        named = named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-        named = named.join(least, "root").select("digest", "component_id")
-    else:
-        named = named.select("digest", F.col("least").alias("component_id"))
+    named = named.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(least, "root").select("digest", "component_id")
     out = rows.select("doc_id", "key", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

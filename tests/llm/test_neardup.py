@@ -93,12 +93,22 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert neardup.cluster(words, 3, 85).count() == 3
 
 
-def test_hub_rounds_alone_find_the_same(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "DIRECT", 0)
-    rows = corpus(4, 12)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_crowds(spark, monkeypatch, percent):
+    """Many variants of one text, most of them not linked with one another, on the path of long lists."""
+    monkeypatch.setattr(neardup, "SHORT", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = random.Random(9)
+    base = ["b%d" % i for i in range(150)]
+    rows = corpus(4, 8)
+    for i in range(130):
+        other = list(base)
+        for k in rng.sample(range(150), rng.choice([0, 1, 2, 3, 4, 5, 8])):
+            other[k] = "e%d" % rng.randrange(60)
+        rows.append((10_000 + i, " ".join(other)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.cluster(docs, 3, 85).collect()), key=str)
-    assert got == brute(rows, 3, 85)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in neardup.cluster(docs, 3, percent).collect()), key=str)
+    assert got == brute(rows, 3, percent)
 
 
 def test_components(spark):
