@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import textops
 from strata.llm.components import roots
-from strata.llm.tables import small_batches, staged, text_of
+from strata.llm.tables import light, small_batches, staged, text_of
 
 #: By how much the share in common of two sketches may fall short of t.
 SLACK, LONG_SLACK = 0.3, 0.1
@@ -205,8 +205,9 @@ def _crowd_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     crowds = roots(lists.join(least, "v").select(F.col("node").alias("a"), "b"))
     own = lists.groupBy("node").agg(F.min("own").alias("own"))
     ranked = crowds.withColumnRenamed("root", "crowd").join(own, "node")
+    ranked = staged(ranked, "ranked")
     hubs = ranked.groupBy("crowd").agg(F.min(F.struct(F.coalesce("own", F.lit(1 << 30)), "node")).alias("x")).select("crowd", F.col("x.node").alias("hub"))
-    people = staged(ranked.join(hubs, "crowd").select("crowd", "node", "hub"), "crowds")
+    people = staged(ranked.join(light(staged(hubs, "hubs")), "crowd").select("crowd", "node", "hub"), "crowds")
     one = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     two = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
     to_hub = people.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).join(one, "a").join(two, "b")
@@ -218,7 +219,7 @@ def _crowd_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     counts = people.groupBy("crowd").agg(F.sum(1 - F.col("side")).alias("rest"), F.sum("side").alias("near"))
     blocks = lambda c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int")
     counts = counts.where("rest > 0").select("crowd", blocks("rest").alias("rest"), blocks("near").alias("near"))
-    mine = people.join(counts, "crowd").withColumn("i", F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("rest")).otherwise(F.col("near"))).cast("int"))
+    mine = people.join(light(staged(counts, "blocks")), "crowd").withColumn("i", F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("rest")).otherwise(F.col("near"))).cast("int"))
     numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     within = F.transform(numbers("rest"), lambda j: F.struct(F.lit(0).alias("kind"), F.least("i", j).alias("i"), F.greatest("i", j).alias("j")))
     across = F.transform(numbers("near"), lambda j: F.struct(F.lit(1).alias("kind"), F.col("i").alias("i"), j.alias("j")))

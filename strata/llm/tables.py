@@ -35,6 +35,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that are broadcast at most (of some 50 bytes each).
+SMALL = 200_000
+
+
+def light(df: DataFrame, weight=None, rows: int | None = None) -> DataFrame:
+    """A staged table for a join: broadcast if it has at most ``rows`` (default SMALL) rows, else shuffled.
+
+    ``weight``: a column with the number of entries of a row's arrays; five
+    times as many entries as rows are allowed.
+    """
+    most = SMALL if rows is None else rows
+    if weight is not None:
+        found = df.agg(F.count("*").alias("n"), F.sum(weight).alias("w")).first()
+        small = found.n <= most and (found.w or 0) <= 5 * most
+    else:
+        small = df.limit(most + 1).count() <= most
+    return F.broadcast(df) if small else df
+
+
 def text_of(name: str = "text"):
     """The text column with null as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))
