@@ -183,6 +183,20 @@ def q_country_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEASON = 1997  # the serving queries' bound season parameter
 
 
+def ordered(mart: str, rounded_cols: tuple[str, ...], order: str) -> str:
+    rounds = ", ".join(f"ROUND({c}, 6) AS {c}" for c in rounded_cols)
+    return with_silver(f"{ALL_MARTS},\nlast AS (SELECT * REPLACE ({rounds}) FROM {mart} ORDER BY {order})\nSELECT * FROM last")
+
+
+ORACLE_ORDERED_CONSTRUCTORS = ordered(
+    "mart_constructor_standings", ("avg_finishing_position",), "season DESC, total_points DESC NULLS LAST, wins DESC, constructor_season_key"
+)
+ORACLE_ORDERED_DRIVERS = ordered(
+    "mart_driver_standings", ("avg_finishing_position",), "season DESC, total_points DESC NULLS LAST, wins DESC, driver_season_key"
+)
+ORACLE_ORDERED_COUNTRIES = ordered("mart_country_race_summary", ("centroid_lat", "centroid_long"), "season DESC, race_count DESC, country")
+
+
 def with_marts(body: str) -> str:
     text = body.lstrip()
     joiner = "\n" if text.upper().startswith("SELECT") else ",\n"
@@ -274,6 +288,41 @@ def q_season_top10_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.season_constructor_table(constructor_mart(spark, sf_dir), SEASON, k=10)
 
 
+@register(
+    "season_top10_drivers",
+    with_marts(
+        f"""
+best AS (
+    SELECT driver_name, driver_code, primary_constructor AS team, total_points, wins, podiums
+    FROM mart_driver_standings WHERE season = {SEASON}
+    ORDER BY total_points DESC NULLS LAST, driver_id LIMIT 10)
+SELECT * FROM best"""
+    ),
+)
+def q_season_top10_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serve.top_drivers(driver_mart(spark, sf_dir), SEASON, k=10)
+
+
+# The marts in their published order (O1-O3); tests/test_order.py checks the order itself.
+
+
+@register("ordered_constructor_standings", ORACLE_ORDERED_CONSTRUCTORS)
+def q_ordered_constructor_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, names = A.tagged_result_rows(spark, sf_dir, named=False), A.team_names(spark, sf_dir)
+    return rounded(marts.constructor_standings_rows(rows, names=names, sort=True), "avg_finishing_position")
+
+
+@register("ordered_driver_standings", ORACLE_ORDERED_DRIVERS)
+def q_ordered_driver_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = marts.driver_standings_rows(A.tagged_result_rows(spark, sf_dir), A.drivers(spark, sf_dir), sort=True)
+    return rounded(rows, "avg_finishing_position")
+
+
+@register("ordered_country_summary", ORACLE_ORDERED_COUNTRIES)
+def q_ordered_country_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(marts.country_summary(A.races(spark, sf_dir), sort=True), "centroid_lat", "centroid_long")
+
+
 @register(
     "season_countries",
     with_marts(
