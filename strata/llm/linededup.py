@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textops
-from strata.llm.tables import small_batches, staged, text_of
+from strata.llm.tables import light, small_batches, staged, text_of
 
 MIN_WORDS = 20
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -98,8 +98,9 @@ def remove(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
     gone = repeated(docs, min_words, id_col, text_col)
     spans = gone.groupBy("row", "doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("x"))
     spans = staged(spans.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("x.start").alias("starts"), F.col("x.end").alias("ends")), "line-spans")
+    spans = light(spans, F.size("starts"))
     part = docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
-    texts = part.join(spans.select("d", "k").distinct(), part.doc_id.eqNullSafe(F.col("d")) & (part.key == F.col("k")), "left_semi").dropDuplicates(["doc_id", "key"])
+    texts = part.join(spans, part.doc_id.eqNullSafe(F.col("d")) & (part.key == F.col("k")), "left_semi").dropDuplicates(["doc_id", "key"])
     both = texts.join(spans, texts.doc_id.eqNullSafe(F.col("d")) & (texts.key == F.col("k"))).select("doc_id", "starts", "ends", "text")
     return both.mapInArrow(_cut_batches, "doc_id long, starts array<long>, ends array<long>, left string, kept_sha256 string")
 
