@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +20,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, unless PYTHONPATH already does."""
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if os.path.realpath(root) in known or context.applicationId in _shipped:
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-"), "strata"), "zip", root, "strata")
+    context.addPyFile(archive)  # Spark hands it out; executors don't read the driver's folder
+    _shipped.add(context.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lower the session's Arrow batch size; a smaller one set by the user stays."""
+    """Lower the session's Arrow batch size; a smaller one set by the user stays. Before any Python in tasks."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     current = int(spark.conf.get(key))
     if current <= 0 or current > rows:
