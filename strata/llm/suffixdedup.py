@@ -35,21 +35,19 @@ from pyspark.sql import functions as F
 
 from strata.llm import textops
 from strata.llm.gsaca import suffix_array
-from strata.llm.tables import small_batches, staged, text_of
+from strata.llm.tables import SMALL, light, small_batches, staged, text_of
 
 GRAM = 64
 #: A gram in more documents than this is split by the strings around it.
 HOT = 4096
-#: Contexts sorted in one go; a task goes through its contexts in such parts.
+#: Runs of strings judged in one go; a task goes through its contexts in such parts.
 PART = 20_000
 #: 2**MAP_BITS bits (16 MB) tell the scan which grams may be repeated; with more repeated grams than MAP_GRAMS they meet in a join instead.
 MAP_BITS, MAP_GRAMS = 27, 1 << 24
-#: Rows that are broadcast at most (of some 50 bytes each).
-SMALL = 200_000
 _BLOCK = 40  # bytes of a block
 
 
-def _pieces(raw: np.ndarray, at: np.ndarray, length: int, limit: int = 2 * textops.BLOCK):
+def _pieces(raw: np.ndarray, at: np.ndarray, length: int, limit: int = textops.BLOCK // 2):
     """Texts of a batch in groups of about ``limit`` bytes; longer texts in pieces that overlap by a string less a byte."""
     rows, parts, size = [], [], 0
     for row, (lo, hi) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
@@ -213,15 +211,17 @@ def _repeat_batches(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         group: list[tuple] = []  # contexts of the gram at hand
+        size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group and group[0][2] != row[2]:
                     if len(group) > 1 or group[0][1] or len(group[0][5]) > 1:
                         held += group
+                        size += sum(len(x[5]) for x in group)
                     group = []
-                    if len(held) >= PART:
+                    if size >= PART:
                         yield flush(held)
-                        held = []
+                        held, size = [], 0
                 group.append(row)
         held += group
         if held:
@@ -274,11 +274,6 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(shas, pa.string())], names=["digest", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _light(df: DataFrame, rows: int) -> DataFrame:
-    """A staged table of at most ``rows`` rows is broadcast, any other is shuffled."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def spans(docs: DataFrame, digest: str = "digest", text: str = "text", length: int = 200, gram: int = GRAM) -> DataFrame:
     """(digest, start, end) of repeated strings, in bytes; they overlap. ``docs``: digest, many, text, one row a text."""
     grams = docs.select(text).mapInArrow(_gram_batches(length, gram), "gram long")
@@ -296,7 +291,8 @@ def spans(docs: DataFrame, digest: str = "digest", text: str = "text", length: i
     contexts = docs.select(digest, "many", text).mapInArrow(_context_batches(length, gram, shared), fields)
     if shared is None:
         contexts = contexts.join(counted.select("gram"), "gram", "left_semi").select("digest", "many", "gram", "left", "right", "runs")
-    hot = _light(staged(counted.where(F.col("n") > HOT).select("gram"), "hot-grams"), SMALL)
+    contexts = staged(contexts, "contexts")  # read twice below
+    hot = light(staged(counted.where(F.col("n") > HOT).select("gram"), "hot-grams"), rows=SMALL)
     each = contexts.join(hot, "gram", "left_anti").select("digest", "many", "gram", "left", "right", "runs")
     found = each.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeat_batches(length, gram), "digest binary, start long, end long")
     split = contexts.join(hot, "gram", "left_semi").select("digest", "many", "gram", "left", "right", "runs")
@@ -323,14 +319,12 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, id_col: str = "d
     part = docs.select(docs[id_col].alias("id"), text_of(text_col).alias("text")).select("id", "text", F.unhex(F.md5("text")).alias("digest"))
     rows = staged(part.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     copies = rows.where(F.col("n_bytes") >= length).groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
-    copies = _light(staged(copies.select(F.col("digest").alias("copied"), "first"), "copies"), SMALL)
+    copies = light(staged(copies.select(F.col("digest").alias("copied"), "first"), "copies"), rows=SMALL)
     one = part.join(copies, F.col("digest") == F.col("copied"), "left").where(F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("first")))
     one = one.select("digest", F.col("copied").isNotNull().alias("many"), "text")
     found = spans(one, length=length, gram=gram)
     by_text = staged(found.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")  # of one text
-    n_spans = by_text.agg(F.sum(F.size("spans"))).first()[0] or 0
-    small = F.broadcast(by_text) if n_spans <= 5 * SMALL else by_text
-    texts = one.select("digest", "text").join(small, "digest").select("digest", "spans", "text")
+    texts = one.select("digest", "text").join(light(by_text, F.size("spans"), SMALL), "digest").select("digest", "spans", "text")
     cut = texts.mapInArrow(_cut_batches, "digest binary, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["digest"])
     out = rows.join(cut, "digest", "left")
     zero = F.lit(0).cast("long")

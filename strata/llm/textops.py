@@ -37,7 +37,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P**i and P**-i for i below at least ``n``."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * BLOCK if n <= 2 * BLOCK else n)
+        size = -(-n // BLOCK) * BLOCK
         up, down = np.full(size, _P, _U), np.full(size, pow(_P, -1, 1 << 64), _U)
         up[0] = down[0] = 1
         _powers = (np.multiply.accumulate(up), np.multiply.accumulate(down))
