@@ -26,6 +26,8 @@ from strata.llm.tables import small_batches, staged, text_of
 MASKS = ("11111", "1101011", "110010011")
 #: 2**MAP_BITS bits, 8 MB.
 MAP_BITS = 26
+#: Agreeing words from which a stretch counts though most of the item isn't there.
+ALONE = 4
 
 
 def _shapes(short: list[int]) -> list[tuple[int, np.ndarray]]:
@@ -115,39 +117,63 @@ def _scan_batches(shapes, bits):
     return run
 
 
+def _stretches(same: np.ndarray, share: float) -> np.ndarray:
+    """Agreeing words in any stretch in which at least ``share`` of the words agree, ``ALONE`` words or more.
+
+    With a score of 1 for a word that agrees and one that makes up for it at
+    ``share``, these are the stretches with a sum of 0 or more; of those that begin
+    at one word the longest holds all others.
+    """
+    n = len(same)
+    sums = np.concatenate([[0.0], np.cumsum(np.where(same, 1 - share, -share))])
+    count = np.concatenate([[0], np.cumsum(same)])
+    ahead = np.maximum.accumulate(sums[::-1])  # the highest sum from each place on, last place first
+    stop = n - np.searchsorted(ahead, sums[:-1] - 1e-9)
+    begin = np.flatnonzero(count[stop] - count[:-1] >= ALONE)
+    change = np.zeros(n + 1, np.int64)
+    np.add.at(change, begin, 1)
+    np.add.at(change, stop[begin], -1)
+    return same & (np.cumsum(change)[:-1] > 0)
+
+
+def _along(group: list[np.ndarray]) -> int:
+    """Most words that agree on a way along the item that changes between offsets, to higher and to lower ones."""
+    most = np.zeros(len(group[0]) + 1, np.int64)
+    for same in [*group, *group[::-1], *group] if len(group) > 1 else group:
+        sums = np.concatenate([[0], np.cumsum(same)])
+        most = sums + np.maximum.accumulate(most - sums)
+    return int(most[-1])
+
+
 def overlap(words: np.ndarray, item: np.ndarray, offsets: list[int], share: float) -> int:
     """Words of the item found in the document around hits at these offsets.
 
-    Along each offset the longest stretches in which at least ``share`` of the
-    words agree (scored, so that they start and end in agreement) count; offsets
-    that lie close together are one place, in which words may have been inserted
-    or left out. The largest sum over one place counts.
+    Offsets that lie close together are one place, in which words may have been
+    inserted or left out. If ``share`` of the item agrees along one place, all
+    words that agree there count, wherever they stand. Else it holds a part of the
+    item, and the words in stretches in which at least ``share`` agree count;
+    single ones among others don't, since in a long item they agree by chance. The
+    largest sum over one place counts.
     """
-    found: list[tuple[int, np.ndarray]] = []
-    for offset in sorted(offsets):
+    offsets = sorted(offsets)
+    agree, covered = [], []
+    for offset in offsets:
         lo, hi = max(0, -offset), min(len(item), len(words) - offset)
-        same = words[lo + offset : hi + offset] == item[lo:hi]
-        score = np.where(same, 1.0, -share / (1 - share))
-        covered = np.zeros(len(item), bool)
-        total, begin, best, stop = 0.0, 0, 0.0, 0
-        for i, x in enumerate([*score.tolist(), -np.inf]):
-            total += x
-            if total > best:
-                best, stop = total, i + 1
-            if total <= 0:
-                if best >= 4:
-                    covered[lo + begin : lo + stop] |= same[begin:stop]
-                total, begin, best = 0.0, i + 1, 0.0
-        if covered.any():
-            found.append((offset, covered))
+        same = np.zeros(len(item), bool)
+        same[lo:hi] = words[lo + offset : hi + offset] == item[lo:hi]
+        agree.append(same)
+        covered.append(_stretches(same, share))
     most = 0
     near = len(item) // 4 + 2
-    for i, (offset, covered) in enumerate(found):
-        for other, more in found[i + 1 :]:
-            if other - offset > near:
-                break
-            covered = covered | more
-        most = max(most, int(covered.sum()))
+    for i, offset in enumerate(offsets):
+        some, any_of, end = covered[i], agree[i], i + 1
+        while end < len(offsets) and offsets[end] - offset <= near:
+            some, any_of = some | covered[end], any_of | agree[end]
+            end += 1
+        most = max(most, int(some.sum()))
+        every = int(any_of.sum())
+        if every > most and every >= share * len(item) and (found := _along(agree[i:end])) >= share * len(item):
+            most = max(most, found)
     return most
 
 

@@ -1,5 +1,6 @@
 """Planted benchmark passages: exact, with replaced, inserted and lost words; and clean documents."""
 
+import itertools
 import random
 
 import numpy as np
@@ -72,3 +73,37 @@ def test_a_leak_as_null_id(spark):
     bench = spark.createDataFrame([(None, text)], "item_id long, text string")
     assert [(r.doc_id, r.item_id, r.n_matched) for r in decontam.leaks(docs, bench).collect()] == [(None, None, 7)]
     assert decontam.without_leaks(docs, bench).count() == 0
+
+
+def test_every_agreeing_word_of_an_aligned_item_counts():
+    """One and two words replaced at any place, and as many as an item of 1 to 30 words may lose."""
+    for n in range(1, 31):
+        item = np.arange(n, dtype=np.int64)
+        for k in (1, 2):
+            if k > n // 5:
+                continue
+            for places in itertools.combinations(range(n), k):
+                body = item.copy()
+                body[list(places)] = -1
+                words = np.concatenate([np.full(7, -2), body, np.full(7, -3)])
+                assert decontam.overlap(words, item, [7], 0.8) == n - k, (n, places)
+    for n, places in ((20, (3, 8, 13, 18)), (15, (3, 7, 11)), (16, (2, 9))):
+        body = np.arange(n)
+        body[list(places)] = -1
+        assert decontam.overlap(body, np.arange(n), [0], 0.8) == n - len(places)
+
+
+def test_words_between_changes_of_offset_count_and_chance_words_do_not():
+    item = np.arange(20)
+    body = item.copy()
+    body[[2, 3, 14]] = -1
+    body = np.insert(body, 9, -5)  # 17 of 20 agree, the first two far from others
+    assert decontam.overlap(body, item, [0, 1], 0.8) == 17
+    item = np.arange(400)
+    body = np.full(400, -1)
+    body[::9] = item[::9]  # 45 words, each alone
+    body[100:108] = item[100:108]
+    assert decontam.overlap(body, item, [0], 0.8) < 20
+    body[100:130] = item[100:130]
+    body[[104, 109, 114, 119, 124, 129]] = -1  # 24 of 30 agree, in fours
+    assert 20 <= decontam.overlap(body, item, [0], 0.8) <= 27
