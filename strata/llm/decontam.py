@@ -3,7 +3,8 @@
 A seed is a fixed mask over a run of words; its hash takes the words at the
 mask's ones only, so it survives a substitution at any of its zeros. Hashes of
 every position of the documents and of the benchmark meet in a join; each hit
-fixes an item and an offset, and around it the aligned words are compared.
+fixes an item and an offset, and around it the aligned words are compared. Short
+items get seeds of their own, which leave out the words that may be replaced.
 
 A fixed-size bit map of the benchmark's hashes goes to all tasks, so that only
 documents with a possible hit leave the scan. Its size doesn't depend on either
@@ -12,6 +13,8 @@ table; a larger benchmark only lets more documents through to the exact join.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +33,27 @@ MAP_BITS = 26
 ALONE = 4
 
 
-def _shapes(short: list[int]) -> list[tuple[int, np.ndarray]]:
-    """(number, places of its ones) of every mask, and of the whole of items too short for them."""
+#: Longest items whose replaced words are listed one by one; longer ones that keep 80 % always hold a mask.
+LISTED = 10
+
+
+def _shapes(short: list[int], share: float = 0.8) -> list[tuple[int, np.ndarray]]:
+    """(number, places of its ones) of every mask, and of what items of these few words need besides.
+
+    An item of n words needs, for every way to replace as many as it may lose
+    that no mask survives, the words that are left. The numbers of such shapes
+    are ``1000 * n`` and more.
+    """
     masks = [(k, np.flatnonzero([c == "1" for c in m])) for k, m in enumerate(MASKS)]
-    return masks + [(100 + n, np.arange(n)) for n in short]
+    out = list(masks)
+    for n in short:
+        number = 1000 * n
+        for gone in itertools.combinations(range(n), math.floor(n * (1 - share) + 1e-9)):
+            left = set(range(n)).difference(gone)
+            if left and not any(left.issuperset((ones + at).tolist()) for _, ones in masks for at in range(n - int(ones[-1]))):
+                out.append((number, np.array(sorted(left))))
+                number += 1
+    return out
 
 
 _odd = textops.mix(np.arange(1000, 1064, dtype=np.uint64)) | np.uint64(1)
@@ -75,7 +95,7 @@ def _seed_batches(shapes):
             for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = np.array(words, np.int64).view(np.uint64)
                 for kind, ones in shapes:
-                    if kind < 100 or kind - 100 == len(words):
+                    if kind < 1000 or kind // 1000 == len(words):
                         got = _seeds(words, ones, kind)
                         items += [item] * len(got)
                         places += range(len(got))
@@ -208,9 +228,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, least: int
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
     items = items.mapInArrow(_item_batches, "item_id long, item_words array<long>").where("size(item_words) > 0")
     items = staged(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "item_words"), "items")
-    longest = max(len(m) for m in MASKS)
-    short = [r.n for r in items.where(F.size("item_words") < longest).select(F.size("item_words").alias("n")).distinct().orderBy("n").limit(longest).collect()]
-    shapes = _shapes(short)
+    short = [r.n for r in items.where(F.size("item_words") <= LISTED).select(F.size("item_words").alias("n")).distinct().orderBy("n").limit(LISTED).collect()]
+    shapes = _shapes(short, share)
     seeds = staged(items.select("item", "item_words").mapInArrow(_seed_batches(shapes), "item long, at int, seed long"), "seeds")
 
     # the bit map: two bits of each seed, gathered as bytes of a map of fixed size

@@ -107,3 +107,37 @@ def test_words_between_changes_of_offset_count_and_chance_words_do_not():
     body[100:130] = item[100:130]
     body[[104, 109, 114, 119, 124, 129]] = -1  # 24 of 30 agree, in fours
     assert 20 <= decontam.overlap(body, item, [0], 0.8) <= 27
+
+
+def test_short_items_are_found_whichever_words_are_replaced(spark):
+    """All items of 1 to 12 words with as many words replaced as they may lose, at every place."""
+    rng = random.Random(8)
+    items, docs = [], []
+    for n in range(1, 13):
+        item = words(rng, n)
+        item = ["%s%d" % (w, n) for w in item]
+        items.append((n, " ".join(item)))
+        for gone in itertools.combinations(range(n), n // 5):
+            body = ["other" if i in gone else w for i, w in enumerate(item)]
+            docs.append((1000 * n + len(docs), " ".join(words(rng, 9) + body + words(rng, 9))))
+            if n >= 5:  # one more is too many
+                more = next(i for i in range(n) if i not in gone)
+                docs.append((-len(docs) - 1, " ".join(words(rng, 9) + ["other" if i == more else w for i, w in enumerate(body)] + words(rng, 9))))
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i // 1000) for i, _ in docs if i > 0}
+
+
+def test_masks_hit_every_longer_item_that_keeps_its_share():
+    """The fewest replaced words that no mask survives are more than a fifth, for every length above the listed ones."""
+    masks = [int(m, 2) for m in decontam.MASKS]
+    full = (1 << max(map(len, decontam.MASKS))) - 1
+    fewest = {0: 0}  # by the last places, 1 for a word that agrees
+    for n in range(1, 100):
+        new = {}
+        for state, gone in fewest.items():
+            for agrees in (0, 1):
+                now = (state << 1 | agrees) & full
+                if not any(now & m == m for m in masks):
+                    new[now] = min(new.get(now, n), gone + 1 - agrees)
+        fewest = new
+        assert n <= decontam.LISTED or min(fewest.values()) > n // 5, n
