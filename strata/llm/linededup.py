@@ -1,11 +1,16 @@
 """Substring dedup by line hashing.
 
-Lines are normalised to their words (runs of letters and digits, lower-cased)
-and hashed to 128 bits. Over the whole corpus the earliest line of each digest
-stays: the one with the smallest document id, then offset. All others are
-removed, with their offsets in the original text on record. Lines of fewer than
-``MIN_WORDS`` words are left alone: headings and other short lines recur in
-clean texts.
+Units of a text are normalised to their words (runs of letters and digits,
+lower-cased) and hashed to 128 bits. Over the whole corpus the earliest unit of
+each digest stays: the one with the smallest document id, then offset. The lines
+of all others are removed, with their offsets in the original text on record.
+
+Units have ``MIN_WORDS`` words or more. They are single lines; paragraphs, up to a
+line without words, whatever their line breaks; and for each shorter line the
+fewest neighbouring short lines that reach ``MIN_WORDS`` words with it, once from
+it onward and once back from it. So every run of short lines that recurs with
+``MIN_WORDS`` words in all is covered by units that recur, and only shorter
+runs (headings) are left alone.
 """
 
 from __future__ import annotations
@@ -26,8 +31,40 @@ MIN_WORDS = 20
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _line_batches(min_words: int):
-    """For mapInArrow over (row, doc_id, key, text): one row for each long line, offsets in code points."""
+def _units(of: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last line of every unit, from each line's text and number of words (0 for a blank line)."""
+    full = np.flatnonzero(words)  # a unit begins and ends in a line with words
+    of, words, blank = of[full], words[full], np.diff(full, prepend=-1) > 1
+    n = len(full)
+    each = np.arange(n)
+    sums = np.concatenate([[0], np.cumsum(words)])
+    long = words >= min_words
+
+    def group(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First line and end of each line's group, from the lines where a new one begins."""
+        firsts = np.flatnonzero(new)
+        number = np.cumsum(new) - 1
+        return firsts[number], np.append(firsts[1:], n)[number]
+
+    change = np.ones(n, bool)
+    change[1:] = of[1:] != of[:-1]
+    first, end = group(change | blank)
+    whole = (each == first) & (sums[end] - sums[first] >= min_words)
+    lo, hi = [each[long], first[whole]], [each[long], end[whole] - 1]
+    change[1:] |= long[1:] | long[:-1]  # runs of short lines, across blank ones
+    first, end = group(change)
+    onward = np.searchsorted(sums, sums[:-1] + min_words)  # ends after the first lines that reach the words
+    some = ~long & (onward <= end)
+    back = np.searchsorted(sums, sums[1:] - min_words, "right") - 1
+    more = ~long & (back >= first)
+    lo += [each[some], back[more]]
+    hi += [onward[some] - 1, each[more]]
+    both = np.unique(np.concatenate(lo) * max(1, n) + np.concatenate(hi))
+    return full[both // max(1, n)], full[both % max(1, n)]
+
+
+def _unit_batches(min_words: int):
+    """For mapInArrow over (row, doc_id, key, text): one row for each unit, offsets in code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,13 +79,13 @@ def _line_batches(min_words: int):
                 starts = ends - size - 1
                 base = starts[first][of]
                 words, at = textops.word_hashes(pc.utf8_lower(lines), letters_only=True)
-                long = np.flatnonzero(np.diff(at) >= min_words)
-                lo, hi = at[:-1][long], at[1:][long]
+                top, last = _units(of, np.diff(at), min_words)
+                lo, hi = at[:-1][top], at[1:][last]
                 one, two = textops.slice_hashes(words, lo, hi), textops.slice_hashes(textops.mix(words ^ _SECOND), lo, hi)
-                keep = part.take(pa.array(of[long]))
-                begin = (starts - base)[long]
+                keep = part.take(pa.array(of[top]))
+                begin, stop = (starts - base)[top], (starts - base + size)[last]
                 yield pa.RecordBatch.from_arrays(
-                    [*keep.columns[:3], pa.array(begin), pa.array(begin + size[long]), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
+                    [*keep.columns[:3], pa.array(begin), pa.array(stop), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))],
                     names=["row", "doc_id", "key", "start", "end", "one", "two"],
                 )
 
@@ -56,37 +93,55 @@ def _line_batches(min_words: int):
 
 
 def repeated(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines to remove: ``doc_id``, ``key`` (a hash of the text), ``row`` (a number of the input row), ``start``, ``end``.
+    """Units to remove: ``doc_id``, ``key`` (a hash of the text), ``row`` (a number of the input row), ``start``, ``end``.
 
-    Offsets are code points, ends exclusive, without the line break. Null and
-    empty texts have no lines to remove; a null id ranks after all others;
+    Offsets are code points, ends exclusive, without the line break. Units are
+    whole lines and may overlap; one that overlaps the earliest of its digest
+    stays with it. Null and empty texts have no lines to remove; a null id ranks after all others;
     repeated rows are documents of their own, of which one ranks first. Further
     columns aren't read; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     part = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("key"), text_of(text_col).alias("text"))
     fields = "row long, doc_id long, key long, start long, end long, one long, two long"
-    lines = staged(part.mapInArrow(_line_batches(min_words), fields), "lines")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "start")
+    lines = staged(part.mapInArrow(_unit_batches(min_words), fields), "lines")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "start", "end")
     first = lines.groupBy("one", "two").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = first.select("one", "two", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start"))
-    again = lines.join(first, ["one", "two"]).where("row <> first_row OR start <> first_start")
+    first = first.select("one", "two", F.col("first.row").alias("first_row"), F.col("first.end").alias("first_end"))
+    again = lines.join(first, ["one", "two"]).where("row <> first_row OR start >= first_end")
     return again.select("doc_id", "key", "row", "start", "end")
 
 
+def _lines(spans: list[tuple[int, int]], text: str) -> list[tuple[int, int]]:
+    """The lines of sorted units, each once."""
+    out, at = [], 0
+    for lo, hi in spans:
+        lo = max(lo, at)  # units are whole lines, so this begins one as well
+        while lo <= hi:
+            end = text.find("\n", lo, hi)
+            end = hi if end < 0 else end
+            out.append((lo, end))
+            at = lo = end + 1
+    return out
+
+
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, starts, ends, text) with sorted spans: what is left, and its digest."""
+    """(doc_id, starts, ends, text) with sorted units: their lines, what is left, and its digest."""
     for batch in batches:
-        left, shas = [], []
+        left, shas, all_starts, all_ends = [], [], [], []
         for starts, ends, text in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
             at, out = 0, []
-            for lo, hi in zip(starts, ends, strict=True):
+            lines = _lines(list(zip(starts, ends, strict=True)), text)
+            for lo, hi in lines:
                 out.append(text[at:lo])
                 at = min(hi + 1, len(text))  # the line break goes with its line
             out.append(text[at:])
             left.append("".join(out))
             shas.append(hashlib.sha256(left[-1].encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(left, pa.string()), pa.array(shas, pa.string())], names=["doc_id", "starts", "ends", "left", "kept_sha256"])
+            all_starts.append([lo for lo, _ in lines])
+            all_ends.append([hi for _, hi in lines])
+        ints = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(all_starts, ints), pa.array(all_ends, ints), pa.array(left, pa.string()), pa.array(shas, pa.string())], names=["doc_id", "starts", "ends", "left", "kept_sha256"])
 
 
 def remove(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -59,3 +59,45 @@ def test_repeated_rows_and_empty_tables(spark):
     got = sorted((str(r.doc_id), len(r.starts)) for r in linededup.remove(docs).collect())
     assert got == [("3", 2), ("3", 2), ("None", 2)]
     assert linededup.report(docs.limit(0)).count() == 0
+
+
+def numbered(letter, n, width, at=0):
+    """n words, ``width`` a line."""
+    words = ["%s%d" % (letter, i) for i in range(at, at + n)]
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, n, width))
+
+
+def left(spark, *texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    out = dict(enumerate(texts))
+    return out | {r.doc_id: r.left for r in linededup.remove(docs).collect()}
+
+
+def test_passages_of_short_lines(spark):
+    """A passage set in lines under 20 words, of any width, is removed whole and only where it recurs."""
+    for width in (1, 3, 7, 13, 19):
+        passage = numbered("p", 60, width)
+        texts = [f"{numbered('a', 5, 5)}\n{passage}\n{numbered('b', 5, 5)}", f"{numbered('c', 30, 6)}\n\n{passage}\n{numbered('d', 9, 3)}", passage]
+        got = left(spark, *texts)
+        assert got[0] == texts[0]
+        assert got[1] == f"{numbered('c', 30, 6)}\n\n{numbered('d', 9, 3)}" and got[2] == ""
+    apart = "\n\n".join(numbered("q", 40, 8).split("\n"))  # with blank lines between
+    assert left(spark, apart, "x\n" + apart + "\ny")[1] == "x\ny"
+
+
+def test_uneven_runs_to_their_last_line(spark):
+    run = "\n".join([numbered("a", 15, 15), numbered("b", 15, 15), numbered("c", 3, 3)])
+    assert left(spark, run + "\nend one", "start\n" + run + "\nend two")[1] == "start\nend two"
+
+
+def test_rewrapped_paragraphs(spark):
+    one, two, three = (numbered("p", 50, width) for width in (50, 12, 25))
+    got = left(spark, f"x\n\n{one}\n\ny", f"z\n\n{two}\n\nw", three)
+    assert got[0] == f"x\n\n{one}\n\ny" and got[1] == "z\n\n\nw" and got[2] == ""
+
+
+def test_short_runs_and_first_copies_stay(spark):
+    texts = ["Heading\nBy the same author", "Heading\nBy the same author\n" + numbered("a", 30, 30), numbered("r", 7, 7) + ("\n" + numbered("r", 7, 7)) * 6]
+    got = left(spark, *texts)
+    assert got[0] == texts[0] and got[1] == texts[1]
+    assert got[2].split() == numbered("r", 7, 7).split() * 3  # the first 20 words and more stay once
