@@ -2,8 +2,8 @@
 
 Two Markov models of order one run over the characters of a candidate string:
 one of random strings (keys, digests), one of ordinary identifiers. Their
-log-likelihood ratio per character tells a key from a name; strings above the
-cutoff are reported besides the pattern matches.
+log-likelihood ratio per character tells a key from a name; stretches above the
+cutoff are reported besides the pattern matches, wherever in a string they stand.
 
 Both are counted from labelled samples by grouped aggregation: random strings
 are the values that the patterns find, ordinary ones are words of letters. A
@@ -28,6 +28,9 @@ KINDS = (
 )
 #: What the models are asked about: runs of key characters that are long and hold a digit and a letter.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Characters of a key at least, among names and paths glued to it.
+LEAST = 20
+SEPARATORS = "=/"
 #: Ordinary words and identifiers that the other model learns from: too short to be a candidate.
 ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{7,18}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
@@ -122,17 +125,74 @@ def samples(docs: DataFrame, text: Column) -> DataFrame:
     return secret.union(words)
 
 
-def ratio(string: Column, table: list[float]) -> Column:
-    """Log-likelihood ratio per character under a table of ``train``."""
+def stretch(string: Column, table: list[float], cutoff: float) -> Column:
+    """(start, end) of what is a key in a string of key characters, or null.
+
+    There is one if in any ``LEAST`` characters or more the log-likelihood ratio
+    under a table of ``train`` is ``cutoff`` a character; a running maximum over the
+    stretches that end at each character finds it. It begins where the sum of the
+    ratios, less half the cutoff each, is lowest and ends where it is highest, after the last such stretch if
+    there are more, both widened to the next of ``SEPARATORS`` or the string's end.
+    Separators count 0, since no ordinary word holds one, and a word begins after each.
+    """
     width = len(ALPHABET) + 1
-    scores = F.array(*map(F.lit, table))
-    start = F.struct(F.lit(0).alias("a"), F.lit(0.0).alias("sum"))
+    marks = [ALPHABET.index(c) + 1 for c in SEPARATORS]
+    ratios = [0.0 if b in marks else table[(0 if a in marks else a) * width + b] for a in range(width) for b in range(width)]
+    scores = F.array(*map(F.lit, ratios))
+    never, drop = F.lit(-1e300), LEAST * cutoff
+
+    def of(places: Column) -> Column:
+        before = F.slice(F.concat(F.array(F.lit(0)), places), 1, F.size(places))
+        return F.zip_with(before, places, lambda a, b: F.get(scores, a * width + b))
+
+    def late(x: Column) -> Column:
+        gone = F.slice(F.concat(F.array_repeat(F.lit(0.0), LEAST), x), 1, F.size(x))
+        return F.zip_with(x, gone, lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+
+    def step(s: Column, x: Column) -> Column:
+        at, total, last = s["at"] + 1, s["total"] + x["new"] - cutoff / 2, s["last"] + x["new"] - x["old"]
+        best = F.when(at >= LEAST, F.greatest(s["best"] + x["new"] - cutoff, last - drop)).otherwise(never)
+        shut = s["start"].isNotNull() & (total < s["high"] - drop / 2)  # the key is over, another may follow
+        best = F.when(shut, F.when(at >= LEAST, last - drop).otherwise(never)).otherwise(best)
+        hit = best >= -1e-9
+        up = F.when(s["start"].isNull() | shut | s["shut"], hit).otherwise(total > s["high"])
+        return F.struct(
+            at.alias("at"), total.alias("total"), last.alias("last"), best.alias("best"),
+            F.least(s["low"], total).alias("low"), F.when(total <= s["low"], at).otherwise(s["low_at"]).alias("low_at"),
+            F.when(s["start"].isNull() & hit, s["low_at"]).otherwise(s["start"]).alias("start"),
+            F.when(up, at).otherwise(s["end"]).alias("end"), F.when(up, total).otherwise(s["high"]).alias("high"),
+            ((shut | s["shut"]) & ~hit).alias("shut"),
+        )
+
+    nowhere = F.lit(None).cast("int")
+    first = F.struct(
+        F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("last"), never.alias("best"), F.lit(0.0).alias("low"), F.lit(0).alias("low_at"),
+        nowhere.alias("start"), nowhere.alias("end"), never.alias("high"), F.lit(False).alias("shut"),
+    )
+
+    def widened(s: Column) -> Column:
+        head = F.regexp_extract(F.substring(string, F.lit(1), s["start"]), f"[^{SEPARATORS}]*$", 0)
+        tail = F.regexp_extract(F.substring(string, s["end"] + 1, F.length(string)), f"^[^{SEPARATORS}]*=*", 0)
+        return F.when(s["start"].isNotNull(), F.struct((s["start"] - F.length(head)).alias("start"), (s["end"] + F.length(tail)).alias("end")))
+
+    # arrays of one value name what is used more than once
+    places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    ratios = F.transform(F.array(places), of)
+    pairs = F.transform(ratios, late)
+    found = F.transform(pairs, lambda x: F.aggregate(x, first, step))
+    return F.get(F.transform(found, widened), F.lit(0))
+
+
+def _without(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of its spans."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, c: Column) -> Column:
-        b = F.instr(F.lit(ALPHABET), c)
-        return F.struct(b.alias("a"), (state["sum"] + F.get(scores, state["a"] * width + b)).alias("sum"))
+    def step(state: Column, x: Column) -> Column:
+        gap = F.substring(text, state["at"] + 1, F.greatest(x["start"] - state["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(x["end"] - F.greatest(x["start"], state["at"]), F.lit(0)))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], gap, blank).alias("out"))
 
-    return F.aggregate(F.split(string, ""), start, step, lambda s: s["sum"]) / F.length(string)
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))))
 
 
 def _scanned(docs: DataFrame, text: Column, names: tuple[str, str, str, str], cutoff: float) -> DataFrame:
@@ -143,14 +203,16 @@ def _scanned(docs: DataFrame, text: Column, names: tuple[str, str, str, str], cu
     pattern = rf"(?<![A-Za-z0-9+/_=-]){digit_and_letter}{CANDIDATE}"
     part = docs.withColumn(name, text)
     part = part.withColumn(base, base_spans(F.col(name)))
-    part = part.withColumn(more, _spans(F.col(name), pattern, 0, 1, "markov", len(KINDS)))
+    rest = fresh(part, "rest_of_text")
+    part = part.withColumn(rest, _without(F.col(name), F.col(base)))
+    part = part.withColumn(more, _spans(F.col(rest), pattern, 0, 1, "markov", len(KINDS))).drop(rest)
 
-    def is_new(m: Column) -> Column:
-        inside = F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+    def key(m: Column) -> Column:
         string = F.substring(name, m["start"] + 1, m["end"] - m["start"])
-        return ~inside & (ratio(string, table) >= cutoff)
+        at = F.transform(F.array(stretch(string, table, cutoff)), lambda x: F.when(x.isNotNull(), F.struct((m["start"] + x["start"]).alias("start"), (m["start"] + x["end"]).alias("end"), m["rank"].alias("rank"), m["kind"].alias("kind"))))
+        return F.get(at, F.lit(0))
 
-    joined = F.array_sort(F.concat(F.col(base), F.filter(more, is_new)))
+    joined = F.array_sort(F.concat(F.col(base), F.filter(F.transform(more, key), lambda x: x.isNotNull())))
     return part.withColumn(found, F.when(F.size(more) == 0, F.col(base)).otherwise(joined))
 
 

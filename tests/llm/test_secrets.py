@@ -86,3 +86,24 @@ def test_redaction_and_odd_tables(spark):
 def test_overlapping_spans_are_redacted_as_one(spark):
     docs = spark.createDataFrame([(1, "password=" + "deadbeef" * 4 + "zz end")], "doc_id long, text string")
     assert [r.text for r in secrets.redact(docs).collect()] == ["[SECRET] end"]
+
+
+def test_keys_glued_to_names_paths_and_matches(spark, marked):
+    """A key is reported whole after and before names and paths; they alone never are."""
+    texts, _, clean = marked
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    around = [("auth=", ""), ("client_credential=", ""), ("aws_private_key_identifier=", ""), ("/account/settings/download/", ""), ("/account/settings/", "/download/customer/version/identifier"), ("d" * 32 + "/", "")]
+    cases = [(head, "".join(rng.choice(letters) for _ in range(40)), tail) for head, tail in around for _ in range(20)]
+    two = ["/account/%s/customer/settings/order/download/identifier/table/version/%s/find" % (cases[i][1], cases[i + 1][1]) for i in range(20)]
+    paths = ["/account/settings/download/customer2", "client_credential=find_account_by_name2", *clean]
+    rows = texts + ["see %s%s%s here" % c for c in cases] + ["see %s here" % p for p in two + paths]
+    got = {r.doc_id: spans(r, "found") for r in secrets.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    by_head = {}
+    for i, (head, key, _) in enumerate(cases, len(texts)):
+        at = 4 + len(head)
+        by_head.setdefault(head, []).append(any(k == "markov" and a <= at and at + 40 <= b for k, a, b in got[i]))
+    assert all(sum(hits) >= 0.9 * len(hits) for hits in by_head.values()), {h: sum(x) for h, x in by_head.items()}
+    both = [[any(a <= rows[i].index(k) and rows[i].index(k) + 40 <= b for _, a, b in got[i]) for k in (cases[j][1], cases[j + 1][1])] for j, i in enumerate(range(len(texts) + len(cases), len(rows) - len(paths)))]
+    assert sum(map(sum, both)) >= 0.9 * 2 * len(two)
+    assert [got[i] for i in range(len(rows) - len(paths), len(rows))] == [[]] * len(paths)
