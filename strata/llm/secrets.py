@@ -34,8 +34,6 @@ SEPARATORS = "=/"
 #: Ordinary words and identifiers that the other model learns from: too short to be a candidate.
 ORDINARY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_-]{7,18}(?![A-Za-z0-9+/_=-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: One text in this many (by a hash of the text) lends its ordinary words to the sample.
-SAMPLE = 16
 #: Log-likelihood ratio per character from which a candidate is reported.
 CUTOFF = 0.7
 #: Share of a model that is counted; the rest holds every character equally likely.
@@ -113,16 +111,15 @@ def _of_kind(kind: str):
 
 
 def samples(docs: DataFrame, text: Column) -> DataFrame:
-    """Labelled strings (label, s): values that the patterns find in any text, words of a share of the texts."""
+    """Labelled strings (label, s), each once: values that the patterns find in any text, and the words of all texts."""
     found = []
     for kind, pattern, group, least in KINDS:
         pattern = r"[0-9a-f]{%d,}" % least if kind == "hex" else pattern
         values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
         found.append(F.when(text.rlike(pattern), F.filter(values, _longer(least))).otherwise(F.array().cast("array<string>")))
     secret = docs.select(F.lit(1).alias("label"), F.explode(F.concat(*found)).alias("s"))
-    some = docs.where(F.pmod(F.xxhash64(text), F.lit(SAMPLE)) == 0)
-    words = some.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0))).alias("s"))
-    return secret.union(words)
+    words = docs.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all(text, F.lit(ORDINARY), F.lit(0))).alias("s"))
+    return secret.union(words).distinct()
 
 
 def stretch(string: Column, table: list[float], cutoff: float) -> Column:

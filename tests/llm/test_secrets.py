@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import secrets
 
@@ -107,3 +108,12 @@ def test_keys_glued_to_names_paths_and_matches(spark, marked):
     both = [[any(a <= rows[i].index(k) and rows[i].index(k) + 40 <= b for _, a, b in got[i]) for k in (cases[j][1], cases[j + 1][1])] for j, i in enumerate(range(len(texts) + len(cases), len(rows) - len(paths)))]
     assert sum(map(sum, both)) >= 0.9 * 2 * len(two)
     assert [got[i] for i in range(len(rows) - len(paths), len(rows))] == [[]] * len(paths)
+
+
+def test_models_are_counted_over_all_texts_and_copies_do_not_tilt_them(spark, marked):
+    texts = marked[0][290:310]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    many = few.unionByName(spark.createDataFrame([(k, texts[0]) for k in range(100, 140)] + [(k, texts[-1]) for k in range(200, 240)], "doc_id long, text string"))
+    got = [sorted(map(tuple, secrets.samples(docs, F.col("text")).collect())) for docs in (few, many)]
+    words = {w for t in texts for w in re.findall(secrets.ORDINARY, t)}
+    assert got[0] == got[1] and {s for label, s in got[0] if label == 0} == words
