@@ -181,13 +181,15 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = textops.Known()
         self.flat = np.zeros(1 << 16, np.int32)
         self.at = np.zeros(1 << 16, np.int64)
+        self.learnt = 0
 
-    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
+        """The next numbers' ids."""
         ids, counts = encode_pieces(pieces, self.ranks)
-        k, m = len(self.known), len(keys)
+        k, m = self.learnt, len(pieces)
         while k + m + 1 > len(self.at):
             self.at = np.append(self.at, np.zeros(len(self.at), np.int64))
         lo = self.at[k]
@@ -195,23 +197,19 @@ class Encoder:
             self.flat = np.append(self.flat, np.zeros(len(self.flat), np.int32))
         self.flat[lo : lo + len(ids)] = ids
         self.at[k + 1 : k + m + 1] = lo + np.cumsum(counts)
-        self.known.update(zip(keys, range(k, k + m), strict=True))
+        self.learnt += m
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts laid end to end, and the number of each text."""
         out, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
         for part, of in textops.grouped(texts):
             joined, starts, ends, first = textops.pretokens(part)
-            keys = textops.pretoken_keys(joined, starts, ends)
-            if len(self.known) > REMEMBERED:
+            if self.learnt > REMEMBERED:
                 self.forget()
-            distinct, some, which = np.unique(keys, return_index=True, return_inverse=True)
-            listed = distinct.tolist()
-            new = [i for i, key in enumerate(listed) if key not in self.known]
+            places, new = self.known.look_up(joined, starts, ends)
             if new:
-                self._learn([listed[i] for i in new], [joined[starts[some[i]] : ends[some[i]]].encode() for i in new])
-            places = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
-            lo, n = self.at[places][which], (self.at[places + 1] - self.at[places])[which]
+                self._learn([x.encode() for x in new])
+            lo, n = self.at[places], self.at[places + 1] - self.at[places]
             if not len(n):
                 continue
             upto = np.cumsum(n)

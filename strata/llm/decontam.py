@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textops
-from strata.llm.tables import small_batches, staged, text_of
+from strata.llm.tables import fresh, small_batches, staged, text_of
 
 #: Masks of weight 5; together they hit every run of 12 words in which every sixth word is replaced.
 MASKS = ("11111", "1101011", "110010011")
@@ -255,7 +255,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, least: int
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that leak an item; all columns as they are."""
-    bad = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_bad_id"), F.col("key").alias("_bad_key")).distinct()
+    bad_id, bad_key = fresh(docs, "_bad_id"), fresh(docs, "_bad_key")
+    bad = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias(bad_id), F.col("key").alias(bad_key)).distinct()
     bad = staged(bad, "leaks")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_of(text_col)) == F.col("_bad_key"))
+    same = docs[id_col].cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_of(text_col)) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textops
-from strata.llm.tables import small_batches, staged, text_of
+from strata.llm.tables import fresh, small_batches, staged, text_of
 
 LANGUAGES = ("de", "en", "es", "fr")
 #: Trigrams are hashed to this many bits.
@@ -213,6 +213,7 @@ def identify_pages(pages: DataFrame) -> DataFrame:
 
 def keep_languages(docs: DataFrame) -> DataFrame:
     """``documents`` without those whose language is rejected; all columns as they are."""
-    bad = staged(identify_documents(docs).where("NOT kept").select(F.col("doc_id").alias("_bad_id"), F.col("key").alias("_bad_key")).distinct(), "rejected")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_of()) == F.col("_bad_key"))
+    bad_id, bad_key = fresh(docs, "_bad_id"), fresh(docs, "_bad_key")
+    bad = staged(identify_documents(docs).where("NOT kept").select(F.col("doc_id").alias(bad_id), F.col("key").alias(bad_key)).distinct(), "rejected")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_of()) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

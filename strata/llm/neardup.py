@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import textops
 from strata.llm.components import roots
-from strata.llm.tables import light, small_batches, staged, text_of
+from strata.llm.tables import fresh, light, small_batches, staged, text_of
 
 #: By how much the share in common of two sketches may fall short of t.
 SLACK, LONG_SLACK = 0.3, 0.1
@@ -310,11 +310,12 @@ def keep_one(docs: DataFrame, shingle: int, percent: int, id_col: str = "doc_id"
     many = kept.where("n_shingles > 0 AND doc_id IS NOT NULL")
     first = many.groupBy("doc_id").agg(F.min("key").alias("key"), F.count("*").alias("c"))
     rest = kept.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "key", F.lit(1).alias("c")).distinct()
-    keep = staged(first.union(rest).select(F.col("doc_id").alias("_keep_id"), F.col("key").alias("_keep_key"), F.col("c").alias("_keep_copies")), "keep")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_keep_id")) & (F.xxhash64(text_of(text_col)) == F.col("_keep_key"))
-    out = docs.join(keep.select("_keep_id", "_keep_key"), same, "left_semi")
-    twice = keep.where("_keep_copies > 1")
+    own_id, own_key, copies = (fresh(docs, n) for n in ("_keep_id", "_keep_key", "_keep_copies"))
+    keep = staged(first.union(rest).select(F.col("doc_id").alias(own_id), F.col("key").alias(own_key), F.col("c").alias(copies)), "keep")
+    same = docs[id_col].cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text_of(text_col)) == F.col(own_key))
+    out = docs.join(keep.select(own_id, own_key), same, "left_semi")
+    twice = keep.where(F.col(copies) > 1)
     if twice.isEmpty():
         return out
-    same = out[id_col].cast("long").eqNullSafe(F.col("_keep_id")) & (F.xxhash64(text_of(text_col)) == F.col("_keep_key"))
+    same = out[id_col].cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(text_of(text_col)) == F.col(own_key))
     return out.join(twice, same, "left_anti").unionByName(out.join(twice, same, "left_semi").dropDuplicates([id_col, text_col]))

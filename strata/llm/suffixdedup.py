@@ -71,7 +71,7 @@ def anchors(raw: np.ndarray, at: np.ndarray, length: int, gram: int):
     for rows, data in _pieces(raw, at, length):
         n = len(data) - gram + 1
         begin = np.arange(n)
-        hashes = textops.slice_hashes(textops.mix(data.astype(np.uint64) + np.uint64(7)), begin, begin + gram)
+        hashes = textops.rolling_hashes(textops.mix(data.astype(np.uint64) + np.uint64(7)), begin, begin + gram)
         packed = (hashes & ~np.uint64((1 << 23) - 1)) | begin.astype(np.uint64)  # pieces have fewer bytes than 2**23
         fill = -n % width
         grid = np.concatenate([packed, np.full(fill + width, ~np.uint64(0))]).reshape(-1, width)

@@ -1,9 +1,11 @@
 """Vectorised text primitives that run inside Arrow tasks.
 
 Texts of a batch are laid end to end in one array, so that a handful of numpy
-passes replaces a Python step per character. Hashes of slices come from prefix
-sums: with ``S[i] = sum(code[x_j] * P**j for j < i)`` the hash of ``x[a:b]`` is
-``(S[b] - S[a]) * P**-a`` (P is odd, so it has an inverse modulo 2**64).
+passes replaces a Python step per character. The hash of a slice is the sum of its
+symbols times an odd random number for each place in the slice: places have
+numbers of their own, so no pattern of symbols makes sums meet as the powers of
+one number do. ``rolling_hashes`` is a sum of such powers, for slices that overlap;
+use it only where equal hashes are compared afterwards.
 """
 
 from __future__ import annotations
@@ -47,14 +49,45 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``codes[starts[i]:ends[i]]``; ``codes`` are mixed symbols."""
+def rolling_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of overlapping ``codes[starts[i]:ends[i]]`` from prefix sums; unequal slices of some patterns collide."""
     up, down = powers(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, _U)
     np.cumsum(codes * up[: len(codes)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+_places: dict[int, np.ndarray] = {}
+
+
+def _place_numbers(n: int, seed: int) -> np.ndarray:
+    """Odd random numbers for the places 0 to n - 1 at least."""
+    known = _places.get(seed, np.zeros(0, _U))
+    if len(known) < n:
+        size = max(4096, 1 << (n - 1).bit_length())
+        known = mix(np.arange(1, size + 1, dtype=_U) * _U(_P) + _U(seed) * _U(0xD6E8FEB86659FD93)) | _U(1)
+        if size <= BLOCK:  # not kept for the sake of one long slice
+            _places[seed] = known
+    return known
+
+
+def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of ``codes[starts[i]:ends[i]]``, slices that don't overlap; ``codes`` are mixed symbols."""
+    sizes = ends - starts
+    out = np.zeros(len(starts), _U)
+    if not len(starts):
+        return out
+    some = np.flatnonzero(sizes)
+    if len(some):
+        size = sizes[some]
+        upto = np.cumsum(size)
+        place = np.arange(upto[-1]) - np.repeat(upto - size, size)
+        which = place + np.repeat(starts[some], size)
+        terms = codes[which] * _place_numbers(int(size.max()), seed)[place]
+        out[some] = np.add.reduceat(terms, upto - size)
+    return mix(out + sizes.astype(_U) * _U(0xC2B2AE3D27D4EB4F))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column laid end to end, and the offsets of its rows."""
     if isinstance(column, pa.ChunkedArray):
@@ -217,9 +250,50 @@ def pretokens(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray
     return joined, starts, np.append(starts[1:], n), np.searchsorted(starts, at)
 
 
-def pretoken_keys(joined: str, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-    return slice_hashes(_point_codes()[points], starts, ends)
+class Known:
+    """Pre-tokens that a task has met, numbered; each is told from others with its key by its text."""
+
+    def __init__(self):
+        self.numbers: dict[int, int] = {}  # of the first pre-token with a key
+        self.pieces: list[str] = []
+        self.others: dict[str, int] = {}  # of pre-tokens that met another one's key
+
+    def look_up(self, joined: str, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """The number of every pre-token, and those that are new, in the order of their numbers."""
+        if not len(starts):
+            return np.zeros(0, np.int64), []
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        keys = slice_hashes(_point_codes()[points], starts, ends)
+        distinct, some, which = np.unique(keys, return_index=True, return_inverse=True)
+        before = len(self.pieces)
+        found = np.empty(len(distinct), np.int64)
+        for i, (key, k) in enumerate(zip(distinct.tolist(), some.tolist(), strict=True)):
+            piece = joined[starts[k] : ends[k]]
+            number = self.numbers.setdefault(key, len(self.pieces))
+            if number == len(self.pieces):
+                self.pieces.append(piece)
+            elif self.pieces[number] != piece:
+                number = self._other(piece)
+            found[i] = number
+        out = found[which]
+        first = some[which]  # the others of a key against its first: sizes, then all symbols
+        sizes = ends - starts
+        odd = sizes != sizes[first]
+        rest = np.flatnonzero(~odd & (first != np.arange(len(starts))))
+        size = sizes[rest]
+        upto = np.cumsum(size)
+        place = np.arange(upto[-1] if len(upto) else 0) - np.repeat(upto - size, size)
+        differ = points[place + np.repeat(starts[rest], size)] != points[place + np.repeat(starts[first[rest]], size)]
+        odd[rest[np.repeat(np.arange(len(rest)), size)[differ]]] = True
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = self._other(joined[starts[k] : ends[k]])
+        return out, self.pieces[before:]
+
+    def _other(self, piece: str) -> int:
+        number = self.others.setdefault(piece, len(self.pieces))
+        if number == len(self.pieces):
+            self.pieces.append(piece)
+        return number
 
 
 _cut = regex.compile(r"(?<=[^\p{White_Space}]) (?=[^\p{White_Space}])")

@@ -111,7 +111,11 @@ class Counter:
 
     def __init__(self, path: str):
         self.merges = merges(path)
-        self.known: dict[int, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = textops.Known()
+        self.counts = np.zeros(0, np.int64)
 
     def count(self, texts: list[str]) -> np.ndarray:
         total = np.zeros(len(texts), np.int64)
@@ -124,18 +128,14 @@ class Counter:
                 plain = [x for p in parts for x in p]
         for part, of in textops.grouped(plain):
             joined, starts, ends, first = textops.pretokens(part)
-            keys = textops.pretoken_keys(joined, starts, ends)
-            distinct, some, which = np.unique(keys, return_index=True, return_inverse=True)
-            listed = distinct.tolist()
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = [i for i, key in enumerate(listed) if key not in self.known]
+            if len(self.counts) > REMEMBERED:
+                self.forget()
+            numbers, new = self.known.look_up(joined, starts, ends)
             if new:
-                pieces = [joined[starts[some[i]] : ends[some[i]]].encode() for i in new]
-                for lo in range(0, len(new), 1 << 15):
-                    got = count_pieces(pieces[lo : lo + (1 << 15)], self.merges)
-                    self.known.update(zip((listed[i] for i in new[lo : lo + (1 << 15)]), got.tolist(), strict=True))
-            each = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))[which]
+                pieces = [x.encode() for x in new]
+                got = [count_pieces(pieces[lo : lo + (1 << 15)], self.merges) for lo in range(0, len(new), 1 << 15)]
+                self.counts = np.concatenate([self.counts, *got])
+            each = self.counts[numbers]
             sums = np.concatenate([[0], np.cumsum(each)])
             np.add.at(total, of_plain[of], sums[first[1:]] - sums[first[:-1]])
         return total
