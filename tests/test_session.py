@@ -51,6 +51,6 @@ def test_local_session_without_setting_gets_a_folder():
 
 def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 1024**4)  # 100 TiB through the largest exchange
-    assert conf["spark.sql.shuffle.partitions"] == "200000"  # capped
+    assert conf["spark.sql.shuffle.partitions"] == "409600"  # 256 MiB each
     assert cluster_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "200"  # floor
     assert cluster_conf(1024**4)["spark.sql.shuffle.partitions"] == str(1024**4 // (256 << 20))
