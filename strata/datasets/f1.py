@@ -2,7 +2,8 @@
 
 Declared record schemas make optional structs (``Time``, ``FastestLap``,
 ``SprintQualifying``) read as NULL when no record of a page carries them.
-All scalars arrive as strings; staging casts them.
+All scalars arrive as strings; staging casts them. Beside the declared fields each
+record stays as it landed (``record``, a VARIANT), with fields that no schema names.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from strata.operators.shaping import results_shape
 from strata.plans import staging
 from strata.sources.pages import page_inventory, read_pages
-from strata.specs import Dataset, SourceSpec
+from strata.specs import RECORD_COLUMN, Dataset, SourceSpec
 
 DATASET = "f1"
 
@@ -71,8 +72,8 @@ SPRINT_RECORD = _with(
 RESULTS_RACE = _with(["season", "round", "raceName"], {"Results": T.ArrayType(RESULT_RECORD)})
 SPRINT_RACE = _with(["season", "round", "raceName"], {"SprintResults": T.ArrayType(SPRINT_RECORD)})
 
-# Bronze tables as stored (after shaping, before the season stamp).
-RAW_SCHEMAS = {
+# Declared columns of the bronze tables (after shaping, before the season stamp).
+_DECLARED = {
     "raw_races": RACE_RECORD,
     "raw_drivers": DRIVER_RECORD,
     "raw_results": _with(
@@ -97,6 +98,9 @@ RAW_SCHEMAS = {
     ),
 }
 
+#: Bronze tables as stored: the declared columns and the whole record.
+RAW_SCHEMAS = {name: T.StructType([*declared.fields, T.StructField(RECORD_COLUMN, T.VariantType())]) for name, declared in _DECLARED.items()}
+
 
 def page_reader(
     landing_root: str, endpoint: str, record: T.StructType, container: Sequence[str], json_lines: bool = False
@@ -115,6 +119,7 @@ def page_reader(
             envelope_key=ENVELOPE_KEY,
             total_key=TOTAL_KEY,
             multi_line=not json_lines,
+            whole=RECORD_COLUMN,
         )
 
     return read

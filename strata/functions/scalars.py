@@ -6,8 +6,9 @@ whole-stage codegen; none of them is a Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
@@ -106,3 +107,17 @@ def zero_if_null(c: ColumnOrName) -> Column:
 def field_path(*path: str) -> Column:
     """Column for a dotted path whose parts may contain dots or odd casing."""
     return F.col(".".join(f"`{p}`" for p in path))
+
+
+def in_year(df: DataFrame, column: str, year: int) -> Column:
+    """Whether a date or timestamp column lies in a year, as a half-open range that scans can push down."""
+    kind = df.schema[column].dataType
+    first, after = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz").cast(kind) for y in (year, year + 1))
+    return (F.col(column) >= first) & (F.col(column) < after)
+
+
+def type_text(t: T.DataType) -> str:
+    """A type as DDL text with every field name quoted, whatever characters it has."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ",".join(f"`{f.name.replace('`', '``')}`:{type_text(f.dataType)}" for f in t.fields) + ">"
+    return f"array<{type_text(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()

@@ -2,8 +2,8 @@
 
 ``unique`` and ``not_null`` return the offending keys or counts as frames;
 ``audit`` runs a set of them and raises with every failing test's name and
-count. Each test is one aggregate over the model, so a test costs one scan
-plus (for ``unique``) one partial-aggregated shuffle.
+count. The not_null tests can be counted while the model is written
+(``observed``); all unique tests share one pass and one partial-aggregated shuffle.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -50,20 +50,43 @@ class Tests:
     not_null: tuple[str, ...] = ()
 
 
-def run_tests(df: DataFrame, tests: Tests) -> dict[str, int]:
-    """Failure count per test name (``unique_<col>``, ``not_null_<col>``); 0 = pass."""
-    results: dict[str, int] = {}
-    for key in tests.unique:
-        results[f"unique_{key}"] = unique_failures(df, key).count()
-    if tests.not_null:
+def duplicate_counts(df: DataFrame, keys: Sequence[str]) -> dict[str, int]:
+    """Non-NULL values that occur more than once, counted for each of ``keys`` in one pass over all of them."""
+    if not keys:
+        return {}
+    each = [F.struct(F.lit(i).alias("test"), F.col(k).cast("string").alias("value")) for i, k in enumerate(keys)]
+    rows = df.select(F.explode(F.array(*each)).alias("x")).select("x.*").where("value IS NOT NULL")
+    twice = rows.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = {r["test"]: r["count"] for r in twice.groupBy("test").count().collect()}  # one for each test
+    return {f"unique_{k}": found.get(i, 0) for i, k in enumerate(keys)}
+
+
+def observed(df: DataFrame, tests: Tests) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the not_null tests counted by whatever job writes it, and where to read the counts after."""
+    if not tests.not_null:
+        return df, None
+    found = Observation()
+    return df.observe(found, *[F.count_if(F.col(c).isNull()).alias(c) for c in tests.not_null]), found
+
+
+def run_tests(df: DataFrame, tests: Tests, nulls: Observation | None = None) -> dict[str, int]:
+    """Failure count per test name (``unique_<col>``, ``not_null_<col>``); 0 = pass.
+
+    ``nulls``: the counts of :func:`observed`, once the rows are written; then
+    only the unique tests read them again.
+    """
+    results = duplicate_counts(df, tests.unique)
+    if nulls is not None:
+        results |= {f"not_null_{c}": int(n) for c, n in nulls.get.items()}
+    elif tests.not_null:
         for row in null_count_rows(df, tests.not_null).collect():
             results[f"not_null_{row['column_name']}"] = int(row["null_count"])
     return results
 
 
-def audit(df: DataFrame, tests: Tests) -> dict[str, int]:
+def audit(df: DataFrame, tests: Tests, nulls: Observation | None = None) -> dict[str, int]:
     """Run the tests; raise :class:`AuditError` listing every failing one."""
-    results = run_tests(df, tests)
+    results = run_tests(df, tests, nulls)
     failed = {k: v for k, v in results.items() if v}
     if failed:
         raise AuditError(failed)

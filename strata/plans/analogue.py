@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.scalars import in_year
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -33,6 +35,12 @@ def season_of(ts_col: str) -> F.Column:
     return F.year(ts_col).cast("int")
 
 
+def season_orders(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
+    """``orders``, of one season where it is given: a date range that the scan skips row groups by."""
+    orders = table(spark, sf_dir, "orders")
+    return orders if season is None else orders.where(in_year(orders, "o_orderdate", season))
+
+
 def _result_rows(spark: SparkSession, sf_dir: str, linestatus: str, named: bool = True) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == linestatus)
     orders = table(spark, sf_dir, "orders")
@@ -65,7 +73,7 @@ def sprint_results(spark: SparkSession, sf_dir: str, named: bool = True) -> Data
     return _result_rows(spark, sf_dir, "O", named)
 
 
-def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
+def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True, season: int | None = None) -> DataFrame:
     """Grand Prix and sprint rows from one scan, flagged ``_is_sprint``.
 
     The same rows as ``results`` ∪ ``sprint_results``, but ``lineitem`` and its
@@ -74,7 +82,7 @@ def tagged_result_rows(spark: SparkSession, sf_dir: str, named: bool = True) ->
     from strata.plans.marts import SPRINT_FLAG
 
     lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus").isin("F", "O"))
-    orders = table(spark, sf_dir, "orders")
+    orders = season_orders(spark, sf_dir, season)
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     team = [F.col("l_suppkey").alias("constructor_id")]
     if named:
@@ -101,9 +109,9 @@ def team_names(spark: SparkSession, sf_dir: str):
     return NameLookup(table(spark, sf_dir, "supplier"), "s_suppkey", "s_name")
 
 
-def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def drivers(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
     """One row per (season, driver) with an order that season (stg_drivers roles)."""
-    orders = table(spark, sf_dir, "orders")
+    orders = season_orders(spark, sf_dir, season)
     customers = table(spark, sf_dir, "customer")
     seasons = orders.select(
         season_of("o_orderdate").alias("season"), F.col("o_custkey").alias("driver_id")
@@ -129,9 +137,9 @@ def race_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def races(spark: SparkSession, sf_dir: str) -> DataFrame:
+def races(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
     """One row per order (stg_races roles)."""
-    orders = table(spark, sf_dir, "orders")
+    orders = season_orders(spark, sf_dir, season)
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey).join(

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.audit import MART_TESTS, Tests, audit
+from strata.operators.audit import MART_TESTS, Tests, audit, observed
 from strata.paths import GOLD, SILVER, dataset_location
 from strata.plans import marts
 from strata.session import work_root
@@ -47,8 +47,9 @@ def publish_version(
 ) -> tuple[SliceTable, int]:
     """Write, test and publish ``df`` as the next version of a slice table at ``path``.
 
-    The rows are written once, as a staged batch no reader sees; the tests
-    read that batch; only if they pass is it committed. A full rebuild: every
+    The rows are written once, as a staged batch no reader sees; NULLs are counted
+    by that write, the unique tests read the batch once; only if all pass is it
+    committed. A full rebuild: every
     slice is replaced, slices that vanished are emptied. A failed test or a
     crashed write never exposes a partial mart, and earlier versions stay
     readable. Slicing by season gives a Hive layout whose one-season reads
@@ -56,8 +57,9 @@ def publish_version(
     """
     table = SliceTable(df.sparkSession, path, slice_column, slice_type)
     stamped = df if slice_column is None else df.withColumn(slice_column, F.col(slice_column).cast("string"))
-    staged = table.stage(stamped)  # written once, invisible until committed
-    audit(table.read_staged(staged, schema=df.schema), tests)
+    counted, nulls = observed(stamped, tests)  # the write counts NULLs as it goes
+    staged = table.stage(counted)  # written once, invisible until committed
+    audit(table.read_staged(staged, schema=df.schema), tests, nulls)
     version = table.commit(staged, operation="PUBLISH", replace_all=True)
     return table, version
 

@@ -117,26 +117,26 @@ mart_country_race_summary AS (
 ALL_MARTS = f"{ORACLE_TAGGED},\n{ORACLE_CONSTRUCTOR_MART},\n{ORACLE_DRIVER_MART},\n{ORACLE_COUNTRY_MART}"
 
 
-def constructor_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def constructor_mart(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
     """M3 on the analogue: one scan of lines for Grand Prix and sprint rows,
-    aggregated per (season, supplier id), named afterwards."""
+    aggregated per (season, supplier id), named afterwards. ``season``: that one's rows only."""
     return marts.constructor_standings_rows(
-        A.tagged_result_rows(spark, sf_dir, named=False), names=A.team_names(spark, sf_dir)
+        A.tagged_result_rows(spark, sf_dir, named=False, season=season), names=A.team_names(spark, sf_dir)
     )
 
 
-def driver_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_mart(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
     """M2 on the analogue.
 
     Team names are joined per result row here: (season, customer, supplier)
     is nearly unique per line, so aggregating on the team id first would not
     shrink the rows and would only add a shuffle (unlike M3, see above).
     """
-    return marts.driver_standings_rows(A.tagged_result_rows(spark, sf_dir), A.drivers(spark, sf_dir))
+    return marts.driver_standings_rows(A.tagged_result_rows(spark, sf_dir, season=season), A.drivers(spark, sf_dir, season))
 
 
-def country_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.country_summary(A.races(spark, sf_dir))
+def country_mart(spark: SparkSession, sf_dir: str, season: int | None = None) -> DataFrame:
+    return marts.country_summary(A.races(spark, sf_dir, season))
 
 
 @register(
@@ -216,7 +216,7 @@ SELECT
     ),
 )
 def q_season_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.season_totals(country_mart(spark, sf_dir), driver_mart(spark, sf_dir), SEASON)
+    return serve.season_totals(country_mart(spark, sf_dir, SEASON), driver_mart(spark, sf_dir, SEASON), SEASON)
 
 
 @register(
@@ -231,7 +231,7 @@ SELECT * FROM top5"""
     ),
 )
 def q_top5_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.top_drivers(driver_mart(spark, sf_dir), SEASON, 5)
+    return serve.top_drivers(driver_mart(spark, sf_dir, SEASON), SEASON, 5)
 
 
 ORACLE_SEASON_DRIVERS = f"""
@@ -246,7 +246,7 @@ SELECT * FROM standings"""
 
 @register("season_drivers", with_marts(ORACLE_SEASON_DRIVERS))
 def q_season_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.season_driver_table(driver_mart(spark, sf_dir), SEASON)
+    return serve.season_driver_table(driver_mart(spark, sf_dir, SEASON), SEASON)
 
 
 @register("season_drivers_sql", with_marts(ORACLE_SEASON_DRIVERS))
@@ -269,7 +269,7 @@ SELECT * FROM standings"""
     ),
 )
 def q_season_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.season_constructor_table(constructor_mart(spark, sf_dir), SEASON)
+    return serve.season_constructor_table(constructor_mart(spark, sf_dir, SEASON), SEASON)
 
 
 @register(
@@ -285,7 +285,7 @@ SELECT * FROM standings"""
     ),
 )
 def q_season_top10_constructors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.season_constructor_table(constructor_mart(spark, sf_dir), SEASON, k=10)
+    return serve.season_constructor_table(constructor_mart(spark, sf_dir, SEASON), SEASON, k=10)
 
 
 @register(
@@ -300,7 +300,7 @@ SELECT * FROM best"""
     ),
 )
 def q_season_top10_drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.top_drivers(driver_mart(spark, sf_dir), SEASON, k=10)
+    return serve.top_drivers(driver_mart(spark, sf_dir, SEASON), SEASON, k=10)
 
 
 # The marts in their published order (O1-O3); tests/test_order.py checks the order itself.
@@ -336,7 +336,7 @@ SELECT * FROM calendar"""
     ),
 )
 def q_season_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(serve.season_country_table(country_mart(spark, sf_dir), SEASON), "latitude", "longitude")
+    return rounded(serve.season_country_table(country_mart(spark, sf_dir, SEASON), SEASON), "latitude", "longitude")
 
 
 @register(
@@ -355,7 +355,7 @@ LIMIT 10"""
 )
 def q_points_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.points_by_attribute(
-        A.tagged_result_rows(spark, sf_dir, named=False), None, A.drivers(spark, sf_dir), SEASON
+        A.tagged_result_rows(spark, sf_dir, named=False, season=SEASON), None, A.drivers(spark, sf_dir, SEASON), SEASON
     )
 
 
@@ -439,4 +439,4 @@ def q_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLAGSHIP = "constructor_standings"
 
 # Importing the second registry module adds its queries.
-from strata.plans import registry_ingest  # noqa: E402,F401
+from strata.plans import registry_ingest, registry_loads  # noqa: E402,F401

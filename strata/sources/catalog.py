@@ -8,6 +8,9 @@ puts a frame or a Parquet path behind a name that later SQL resolves;
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from strata.sources.versioned import BATCH, NO_SLICE, SliceTable
 
 
 def materialise(
@@ -60,6 +63,30 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def register_function(spark: SparkSession, name: str, table: SliceTable, schema: T.StructType) -> None:
+    """A SQL table function over a versioned table: ``SELECT ... FROM name('slice', version)``.
+
+    Both arguments may be NULL or left out: all slices, the current version. A row is live if its
+    batch is that of the slice's last load up to the version; the slice reaches the
+    scan as a partition filter, as do conditions on the function's result.
+    """
+    rows = table.all_rows(schema)
+    rows.createOrReplaceTempView(f"{name}__rows")
+    table.loads().createOrReplaceTempView(f"{name}__loads")
+    listed = [f.name for f in rows.schema.fields if f.name != BATCH]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != BATCH)
+    own = f"r.`{table.slice_column}`" if table.slice_column else f"'{NO_SLICE}'"
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(of_slice STRING DEFAULT NULL, as_of BIGINT DEFAULT NULL)
+RETURNS TABLE ({types})
+RETURN SELECT {", ".join(f"r.`{c}`" for c in listed)}
+FROM {name}__rows r JOIN (
+    SELECT slice, max_by({BATCH}, version) AS live FROM {name}__loads
+    WHERE {BATCH} <> '' AND (as_of IS NULL OR version <= as_of) GROUP BY slice) l
+ON {own} <=> l.slice AND r.{BATCH} = l.live
+WHERE of_slice IS NULL OR {own} = of_slice""")
+
+
 def register_bronze(spark: SparkSession, name: str, table, version: int | None = None, schema=None) -> DataFrame:
     """Expose a versioned bronze table (current or as of ``version``) to SQL as ``name``."""
     return register(spark, name, table.read(version=version, schema=schema))

@@ -7,21 +7,23 @@ full extra read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.shaping import union_all
 from strata.sources.pages import PAGE_KEY, endpoint_location
 
 
 def read_files(
     spark: SparkSession,
     fmt: str,
-    path: str,
+    path: str | list[str],
     schema: T.StructType | str | None = None,
     **options: object,
 ) -> DataFrame:
+    """One scan of a location, or of a list of them."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
@@ -47,25 +49,38 @@ def file_reader(fmt: str, path: str, schema: T.StructType | str | None = None, *
     return read
 
 
+def key_of_path(template: str) -> Column:
+    """The key that ``{partition}`` stands for in a row's file, taken from its path."""
+    path = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", template)
+    before, after = (re.escape(x) for x in path.split("{partition}", 1))
+    before, after = (x.replace(re.escape("*"), "[^/]*") for x in (before, after.replace(re.escape("{partition}"), "[^/]+")))
+    found = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), f"{before}([^/]+?){after}(/|$)", 1)
+    return F.when(found == "", F.raise_error(F.concat(F.lit("no key in the path "), F.col("_metadata.file_path")))).otherwise(found)
+
+
 def templated_file_reader(
-    fmt: str, template: str, schema: T.StructType | str | None = None, **options: object
+    fmt: str, template: str, schema: T.StructType | str | None = None, rescue: str | None = None, **options: object
 ):
     """A partitioned file source: ``{partition}`` in ``template`` is filled per key.
 
-    Each key's location is read (one scan each, combined by a union) and its
-    rows carry the key in the loader's key column, so the load stamps it into
-    the slice column. Without a placeholder (or without keys) the location is
-    read verbatim and unpartitioned.
+    The locations of all keys are one scan, whatever their number, and each row's
+    key is read off its file's path, so the load stamps it into the slice column.
+    Without a placeholder (or without keys) the location is read verbatim and
+    unpartitioned. ``rescue`` names a string column that holds the text of CSV and JSON
+    rows that don't fit the schema (their fields that do are read); a row that
+    fits, and any row of other formats, has NULL there. It needs a declared schema.
     """
+
     def read(spark: SparkSession, keys=None) -> DataFrame:
+        wanted, settings = schema, dict(options)
+        if rescue:
+            fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            wanted = T.StructType([*fields.fields, T.StructField(rescue, T.StringType())])
+            if fmt in ("csv", "json"):
+                settings |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescue}
         if keys is None or "{partition}" not in template:
-            return read_files(spark, fmt, template, schema, **options)
-        frames = [
-            read_files(spark, fmt, endpoint_location(template, str(k)), schema, **options).withColumn(
-                PAGE_KEY, F.lit(str(k))
-            )
-            for k in keys
-        ]
-        return union_all(frames)
+            return read_files(spark, fmt, template, wanted, **settings)
+        rows = read_files(spark, fmt, [endpoint_location(template, str(k)) for k in keys], wanted, **settings)
+        return rows.withColumn(PAGE_KEY, key_of_path(template))
 
     return read

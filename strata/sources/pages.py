@@ -23,11 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.scalars import field_path
+from strata.functions.scalars import field_path, type_text
 
 # Names of the paged API's envelope (``MRData``, ``total``, ``offset``, 30 records a
 # page) are fixed values of the source; all are parameters below.
@@ -35,6 +35,7 @@ PAGE_KEY = "_page_key"
 PAGE_OFFSET = "_page_offset"
 OFFSET_DIR = "offset"
 DAMAGED = "_damaged_page"
+WHOLE_RECORD = "record"
 
 
 def endpoint_location(template: str, key: str | None = None) -> str:
@@ -49,12 +50,12 @@ def endpoint_location(template: str, key: str | None = None) -> str:
 
 def envelope_schema(
     container_path: Sequence[str],
-    record: T.StructType,
+    record: T.DataType,
     envelope_key: str = "MRData",
     total_key: str = "total",
     offset_key: str = "offset",
 ) -> T.StructType:
-    """Declared schema of one page: the envelope, its total and offset, the records."""
+    """Declared schema of one page: the envelope, its total and offset, the records (a struct or a VARIANT each)."""
     inner: T.DataType = T.ArrayType(record)
     for name in reversed(container_path):
         inner = T.StructType([T.StructField(name, inner)])
@@ -108,14 +109,21 @@ def read_pages(
     envelope_key: str = "MRData",
     total_key: str = "total",
     multi_line: bool = True,
+    whole: str | None = None,
 ) -> DataFrame:
     """All records of the landed pages of the given keys, one row per record.
 
     A page with an empty container adds no row, a damaged one fails; a parent record
     split over two pages contributes both parts (no de-duplication). The
     columns are the record's fields plus ``_page_key`` and ``_page_offset``.
+
+    ``whole`` names a further column for the record as it landed, a VARIANT: fields
+    that no schema declares stay in it, to be read by path (``variant_get``) or
+    with the schema that all loads' records have together (``growth.read_grown``).
+    The declared fields are taken from it, in the same pass; a declared field of
+    another kind than the record's (a struct for a number, say) fails the read.
     """
-    schema = envelope_schema(container_path, record, envelope_key, total_key)
+    schema = envelope_schema(container_path, T.VariantType() if whole else record, envelope_key, total_key)
     pages = _read_envelopes(spark, endpoint_root, schema, key_column, keys, multi_line)
     container = field_path(envelope_key, *container_path)
     message = F.concat(F.lit("damaged page of key "), F.coalesce(F.col(key_column), F.lit("?")), F.lit(" in "), F.col("_metadata.file_path"))
@@ -125,6 +133,10 @@ def read_pages(
         F.col(OFFSET_DIR).alias(PAGE_OFFSET),
         F.explode(records).alias("_r"),
     )
+    if whole:
+        declared = F.variant_get(F.col("_r"), "$", type_text(record))
+        exploded = exploded.select(PAGE_KEY, PAGE_OFFSET, declared.alias("_d"), F.col("_r").alias(whole))
+        return exploded.select("_d.*", whole, PAGE_KEY, PAGE_OFFSET)
     return exploded.select("_r.*", PAGE_KEY, PAGE_OFFSET)
 
 
@@ -154,42 +166,56 @@ def page_inventory(
     )
 
 
-def expected_offsets(totals: DataFrame, page_size: int, chunk: int = 1 << 16) -> DataFrame:
-    """Every offset 0, size, 2·size, … below each key's ``total`` (one row each).
+#: Landed pages of a key that are looked at in one window.
+RANGE = 1 << 16
+
 
-    ``totals`` has columns ``key, total``. A total of 0 still expects offset 0
-    (the first request is always made). The offsets are generated in two
-    levels, chunk starts first and then up to ``chunk`` offsets per chunk,
-    with the chunks spread over tasks, so a key with billions of records
-    never builds one giant array in one task.
+def missing_ranges(inventory: DataFrame, page_size: int, span: int = RANGE) -> DataFrame:
+    """Gaps in the landed pages: ``key, first_offset, last_offset, n_pages`` of each run of missing pages.
+
+    Pages are due at offsets 0, size, 2 * size, ... below the key's total (its greatest
+    reported one), and at 0 in any case. Gaps are found from landed pages alone, in two levels:
+    within ranges of ``span`` pages, each page against the one before it; then,
+    from the first and last page of every range that has any, between ranges and up
+    to the total. Work and windows follow the landed pages, however large a total is.
     """
-    n_pages = F.greatest(F.ceil(F.col("total") / F.lit(page_size)), F.lit(1)).cast("long")
-    chunks = totals.select(
-        "key",
-        n_pages.alias("_n"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_pages - 1) / chunk).cast("long"))).alias("_c"),
-    ).repartition("key", "_c")
-    first = F.col("_c") * chunk
-    last = F.least((F.col("_c") + 1) * chunk, F.col("_n")) - 1
-    pages = chunks.select("key", F.explode(F.sequence(first, last)).alias("_p"))
-    return pages.select("key", (F.col("_p") * page_size).alias("offset"))
-
-
-def missing_pages(inventory: DataFrame, page_size: int) -> DataFrame:
+    totals = inventory.groupBy("key").agg(F.max("total").alias("total"))
+    totals = totals.where("key IS NOT NULL AND total IS NOT NULL")
+    last = F.greatest(F.ceil(F.col("total") / F.lit(page_size)), F.lit(1)).cast("long") - 1
+    page = (F.col("offset") / F.lit(page_size)).cast("long")
+    landed = inventory.where((F.col("offset") >= 0) & (F.col("offset") % page_size == 0)).select("key", page.alias("page")).distinct()
+    landed = landed.withColumn("range", F.floor(F.col("page") / F.lit(span)))
+    before = F.lag("page").over(Window.partitionBy("key", "range").orderBy("page"))
+    inside = landed.select("key", (before + 1).alias("lo"), (F.col("page") - 1).alias("hi"))
+
+    ends = landed.groupBy("key", "range").agg(F.min("page").alias("first"), F.max("page").alias("final"))
+    border = F.coalesce(F.lag("final").over(Window.partitionBy("key").orderBy("range")), F.lit(-1))  # one row for each range
+    between = ends.select("key", (border + 1).alias("lo"), (F.col("first") - 1).alias("hi"))
+    final = ends.groupBy("key").agg(F.max("final").alias("final"))
+    known = totals.select("key", last.alias("last"))
+    after = known.join(final, "key", "left").select("key", (F.coalesce("final", F.lit(-1)) + 1).alias("lo"), F.col("last").alias("hi"))
+    gaps = inside.union(between).union(after).join(known, "key").withColumn("hi", F.least("hi", "last")).where("lo <= hi")
+    size = F.lit(page_size).cast("long")
+    return gaps.select("key", (F.col("lo") * size).alias("first_offset"), (F.col("hi") * size).alias("last_offset"), (F.col("hi") - F.col("lo") + 1).alias("n_pages"))
+
+
+def missing_pages(inventory: DataFrame, page_size: int, chunk: int = RANGE) -> DataFrame:
     """Pages a complete walk would have fetched but that are not landed.
 
-    Returns ``key, offset, reason``: ``missing`` for an expected offset with
-    no landed page; ``empty_before_total`` for a landed page without records
-    although the total says more exist (where a fetch walk would stop early).
+    Returns ``key, offset, reason``: ``missing`` for each page of ``missing_ranges``
+    (long ranges are written out ``chunk`` pages at a time, spread over tasks);
+    ``empty_before_total`` for a landed page without records although the total
+    says more exist (where a fetch walk would stop early).
     """
-    totals = inventory.groupBy("key").agg(F.max("total").alias("total"))
-    expected = expected_offsets(totals, page_size)
-    landed = inventory.select("key", "offset")
-    absent = expected.join(landed, ["key", "offset"], "left_anti").withColumn(
-        "reason", F.lit("missing")
-    )
+    ranges = missing_ranges(inventory, page_size)
+    size = F.lit(page_size).cast("long")
+    starts = F.sequence("first_offset", "last_offset", size * chunk)
+    chunks = ranges.select("key", "last_offset", F.explode(starts).alias("lo")).repartition("key", "lo")
+    offsets = F.sequence(F.col("lo"), F.least(F.col("lo") + size * (chunk - 1), F.col("last_offset")), size)
+    absent = chunks.select("key", F.explode(offsets).alias("offset"), F.lit("missing").alias("reason"))
+    totals = inventory.groupBy("key").agg(F.max("total").alias("_t"))
     early = (
-        inventory.join(totals.withColumnRenamed("total", "_t"), ["key"])
+        inventory.join(totals, ["key"])
         .filter((F.col("records") == 0) & (F.col("offset") < F.col("_t")))
         .select("key", "offset", F.lit("empty_before_total").alias("reason"))
     )

@@ -1,26 +1,21 @@
-"""Versioned tables whose slices are replaced whole, on plain Parquet.
-
-Layout under the table path::
-
-    data/<slice>=<key>/batch_id=<token>/part-*.parquet   rows of one load of one slice
-    commits/v=<version, 12 digits>/part-*.parquet         the live map at that version
-
-A load writes its rows under a fresh ``batch_id`` (never reused, so a crashed
-load cannot mix with its retry), then writes the commit folder of the next
-version with ``errorifexists``. Each commit holds the whole live map (one row
-per slice: its batch, row count, and whether this version changed it), so a
-read at any version opens exactly one commit folder and lists only the live
-batch folders: its cost does not grow with the table's history. Versions are
-contiguous from 0; the current one is found by an exponential then binary
-search over commit folders (a few listings, remembered per table object).
-Readers only see batches named by a commit, so data of a load without a
-commit stays invisible; a commit with zero rows for a slice empties it.
-
-Limits: one writer per table (``errorifexists`` notices a clash on the same
-version, it is not a lock); an as-of read shows the current merged schema;
-superseded batches stay on disk until removed (see ``superseded_batches``);
-the folder of a commit write that crashed before its file landed is
-replaced by the next commit of that version.
+"""Versioned tables whose slices are replaced whole: two plain Parquet tables.
+
+Under the table's path::
+
+    data/    the rows, with partition columns <slice> and batch_id
+    loads/   a row for each slice of each load: version (a partition column),
+             slice, batch_id, operation, row_count, record_schema, committed_at
+
+A load appends its rows under a fresh ``batch_id`` (never reused, so a crashed
+load cannot mix with its retry), then its rows of ``loads``. What is live at a
+version is, for each slice, the batch of the greatest version up to it: a grouped
+max over ``loads``, and a predicate on the two partition columns of ``data``. Rows
+that no load row names stay invisible; a load row with 0 rows empties its slice.
+
+Limits: one writer for each table (a second one of the same version fails, it is
+not a lock); every read lists the folders of all batches, so superseded ones
+(see ``superseded``) should be removed now and then, and the folder of a load row
+whose write crashed, before the next load.
 """
 
 from __future__ import annotations
@@ -29,56 +24,28 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.specs import RECORD_COLUMN
+
 BATCH = "batch_id"
 NO_SLICE = "__all__"
-
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("slice", T.StringType(), True),
-        T.StructField(BATCH, T.StringType(), False),
-        T.StructField("operation", T.StringType(), False),
-        T.StructField("row_count", T.LongType(), False),
-        T.StructField("committed_at", T.TimestampType(), False),
-        T.StructField("changed", T.BooleanType(), False),
-    ]
-)
 HISTORY_COLUMNS = ["version", "slice", BATCH, "operation", "row_count", "committed_at"]
-VERSION_DIR = "v"
-
-# Characters Spark escapes (as %XX) in partition folder names,
-# and the folder name it uses for a NULL or empty partition value.
-_ESCAPED = set(
-    [chr(c) for c in range(0x01, 0x20)]
-    + ['"', "#", "%", "'", "*", "/", ":", "=", "?", "\\", "\x7f", "{", "[", "]", "^"]
-)
-_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def partition_dir_value(value: str | None) -> str:
-    """Folder-name form of a partition value, as Spark writes it."""
-    if value is None or value == "":
-        return _DEFAULT_PARTITION
-    return "".join(f"%{ord(ch):02X}" if ch in _ESCAPED else ch for ch in value)
-
-
-#: Error conditions of a folder that isn't there, or has no file yet.
-ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+LOADS_SCHEMA = f"slice string, {BATCH} string, operation string, row_count long, record_schema string, committed_at timestamp"
 
 
 @dataclass(frozen=True)
 class StagedBatch:
-    """A written, not yet committed batch: its token, the load's keys, rows per slice."""
+    """Rows that are written but in no load yet: their batch, the load's keys, rows and record schema by slice."""
 
     token: str
     keys: list[str] | None
-    counts: dict[str, int]
+    counts: dict[str | None, int]
+    schemas: dict[str | None, str | None] = field(default_factory=dict)
 
 
 @dataclass
@@ -89,118 +56,103 @@ class SliceTable:
     path: str
     slice_column: str | None = "season"
     slice_type: str = "string"
-    _known: int = field(default=-1, init=False, repr=False, compare=False)
 
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
     @property
-    def commits_path(self) -> str:
-        return f"{self.path}/commits"
+    def loads_path(self) -> str:
+        return f"{self.path}/loads"
 
     # ------------------------------------------------------------ metadata
 
-    def _commit_dir(self, version: int) -> str:
-        return f"{self.commits_path}/{VERSION_DIR}={version:012d}"
-
-    def _committed(self, version: int) -> bool:
-        """Whether the commit folder of ``version`` holds its file (a listing, no job)."""
-        if version < 0:
-            return True
-        try:
-            files = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(version)).inputFiles()
-        except AnalysisException as e:
-            if e.getCondition() not in ABSENT:
-                raise
-            return False
-        # the folder of a commit write that is going on, or crashed, holds no data file
-        return len(files) > 0
+    def loads(self) -> DataFrame:
+        """All rows of ``loads``; none for a new table."""
+        schema = f"{LOADS_SCHEMA}, version long"
+        if not self._exists(self.loads_path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.loads_path).parquet(self.loads_path)
+
+    def _exists(self, path: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
 
     def version(self) -> int:
-        """Current version; -1 for a table without commits."""
-        lo = self._known if self._committed(self._known) else -1
-        hi, step = lo + 1, 1
-        while self._committed(hi):
-            lo, hi, step = hi, hi + step, step * 2
-        while hi - lo > 1:
-            mid = (lo + hi) // 2
-            lo, hi = (mid, hi) if self._committed(mid) else (lo, mid)
-        self._known = lo
-        return lo
-
-    def _live_rows(self, version: int) -> list:
-        """The live map at ``version``: one commit folder, one row per slice (metadata)."""
-        if version < 0:
-            return []
-        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(version)).collect()
-        return [r for r in rows if r[BATCH]]
+        """Current version; -1 for a table without loads."""
+        last = self.loads().agg(F.max("version").alias("v")).first().v
+        return -1 if last is None else last
 
     def history(self) -> DataFrame:
         """Every change: (version, slice, batch_id, operation, row_count, committed_at)."""
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA).select(*HISTORY_COLUMNS)
-        return commits.filter(F.col("changed")).select(*HISTORY_COLUMNS)
-
-    def live_batches(self, version: int | None = None) -> list[tuple[str, str, int]]:
-        """(slice, batch_id, row_count) of every slice at ``version`` (default: current)."""
-        if version is None:
-            version = self.version()
-        elif version < 0 or not self._committed(version):
-            raise ValueError(f"{self.path} has no version {version}")
-        return [(r["slice"], r[BATCH], int(r["row_count"])) for r in self._live_rows(version)]
-
-    def superseded_batches(self, keep_versions: int = 1) -> list[str]:
-        """Batch folders that none of the last ``keep_versions`` versions reads.
-
-        These are batches replaced before that window and batches of loads that
-        never committed. Remove them with the storage's own tools, and only while
-        no load is in flight (an in-flight batch is not referenced yet). One file
-        listing plus one read of the commit log; nothing is deleted here.
+        return self.loads().where(F.col(BATCH) != "").select(*HISTORY_COLUMNS)
+
+    def live(self, version: int | None = None) -> DataFrame:
+        """(slice, batch_id, row_count, record_schema) of every slice at ``version`` (default: current)."""
+        loads = self.loads()
+        if version is not None:
+            if loads.where(F.col("version") == version).isEmpty():
+                raise ValueError(f"{self.path} has no version {version}")
+            loads = loads.where(F.col("version") <= version)
+        newest = F.max_by(F.struct(BATCH, "row_count", "record_schema"), "version").alias("x")
+        return loads.where(F.col(BATCH) != "").groupBy("slice").agg(newest).select("slice", "x.*")
+
+    def superseded(self, keep_versions: int = 1) -> DataFrame:
+        """(slice, batch_id) of batches that none of the last ``keep_versions`` versions reads.
+
+        Replaced batches and those of loads that never came to an end; remove them
+        with the storage's own tools while no load is going on.
         """
-        current = self.version()
-        if current < 0:
-            return []
-        floor = max(0, current - keep_versions + 1)
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-        except AnalysisException:
-            return []
-        kept = commits.filter((F.col("version") >= floor) & (F.col(BATCH) != "")).select("slice", BATCH).distinct()
-        referenced = {self._batch_rel(r["slice"], r[BATCH]) for r in kept.collect()}
-        try:
-            files = (
-                self.spark.read.schema(T.StructType(self._partition_fields()))
-                .option("basePath", self.data_path)
-                .parquet(self.data_path)
-                .inputFiles()
-            )
-        except AnalysisException:
-            return []
-        marker = "/data/"
-        folders = {f.rsplit("/", 1)[0] for f in files}
-        return sorted(d for d in folders if d.split(marker, 1)[-1] not in referenced)
-
-    def _batch_rel(self, slice_value: str | None, batch: str) -> str:
-        if self.slice_column is None:
-            return f"{BATCH}={batch}"
-        return f"{self.slice_column}={partition_dir_value(slice_value)}/{BATCH}={batch}"
+        first = max(0, self.version() - keep_versions + 1)
+        kept = self.live(first).select("slice", BATCH).union(self.loads().where(F.col("version") > first).select("slice", BATCH))
+        there = self._files(T.StructType([])).select(self._slice().alias("slice"), F.col(BATCH)).distinct()
+        kept = kept.select(F.col("slice").alias("s"), F.col(BATCH).alias("b"))
+        return there.join(kept, there["slice"].eqNullSafe(F.col("s")) & (there[BATCH] == F.col("b")), "left_anti")
 
     # --------------------------------------------------------------- reads
 
-    def _batch_dir(self, slice_value: str, batch: str) -> str:
-        if self.slice_column is None:
-            return f"{self.data_path}/{BATCH}={batch}"
-        return (
-            f"{self.data_path}/{self.slice_column}={partition_dir_value(slice_value)}"
-            f"/{BATCH}={batch}"
-        )
+    def _slice(self) -> Column:
+        return F.col(self.slice_column) if self.slice_column else F.lit(NO_SLICE)
+
+    def _parts(self) -> list[str]:
+        return ([self.slice_column] if self.slice_column else []) + [BATCH]
+
+    def _files(self, schema: T.StructType | None) -> DataFrame:
+        """All written rows, of any batch. Without a schema those of all files are merged."""
+        reader = self.spark.read.option("basePath", self.data_path)
+        if schema is None:
+            schema = reader.option("mergeSchema", True).parquet(self.data_path).schema
+        parts = set(self._parts())
+        fields = [f for f in schema.fields if f.name not in parts] + [T.StructField(c, T.StringType()) for c in self._parts()]
+        return self.spark.read.schema(T.StructType(fields)).option("basePath", self.data_path).parquet(self.data_path)
 
-    def _partition_fields(self) -> list[T.StructField]:
-        cols = [] if self.slice_column is None else [self.slice_column]
-        return [T.StructField(c, T.StringType()) for c in cols + [BATCH]]
+    def all_rows(self, schema: T.StructType) -> DataFrame:
+        """Rows of all batches, live or not, with their ``batch_id``."""
+        return self._files(schema)
+
+    def _of(self, batches: Sequence[tuple[str | None, str]]) -> Column:
+        """A predicate on the partition columns: the rows of (slice, batch) pairs."""
+        if self.slice_column is None:
+            return F.col(BATCH).isin([b for _, b in batches])
+        by_batch: dict[str, list] = {}
+        for s, b in batches:
+            by_batch.setdefault(b, []).append(s)
+        return reduce(Column.__or__, ((F.col(BATCH) == b) & self._in(slices) for b, slices in by_batch.items()))
+
+    def _in(self, slices: Sequence[str | None]) -> Column:
+        named = F.col(self.slice_column).isin([s for s in slices if s is not None])
+        return named | F.col(self.slice_column).isNull() if None in slices else named
+
+    def _read(self, batches: Sequence[tuple[str | None, str]], schema: T.StructType | None) -> DataFrame:
+        if batches:
+            rows = self._files(schema).where(self._of(batches))
+        else:
+            parts = [T.StructField(c, T.StringType()) for c in self._parts()]
+            kept = [f for f in (schema or T.StructType([])).fields if f.name not in self._parts()]
+            rows = self.spark.createDataFrame([], T.StructType(kept + parts))
+        if self.slice_column is not None and self.slice_type != "string":
+            rows = rows.withColumn(self.slice_column, F.col(self.slice_column).cast(self.slice_type))
+        return rows
 
     def read(
         self,
@@ -211,179 +163,86 @@ class SliceTable:
     ) -> DataFrame:
         """Rows of the table at ``version`` (default: current).
 
-        ``schema`` is the declared data schema (preferred: no footer reads;
-        columns absent from older files read as NULL). Without it the schemas of
-        the live files are merged. The slice column reads back as a string.
+        ``schema`` is the declared data schema (preferred: no footer reads; columns
+        that files lack are NULL). Without it the schemas of all files are merged, so a
+        column stays once a load had it. The slice column is a string.
         """
-        wanted = None if slices is None else {str(x) for x in slices}
-        live = [
-            (s, b, n)
-            for s, b, n in self.live_batches(version)
-            if n > 0 and (wanted is None or s in wanted)
-        ]
-        return self._read_batches([(s, b) for s, b, _ in live], schema, keep_batch)
-
-    def _read_batches(
-        self, batches: list[tuple[str, str]], schema: T.StructType | None, keep_batch: bool = False
-    ) -> DataFrame:
-        paths = [self._batch_dir(s, b) for s, b in batches]
-        part_fields = self._partition_fields()
-        if schema is None and paths:
-            probe = (
-                self.spark.read.option("mergeSchema", True)
-                .option("basePath", self.data_path)
-                .parquet(*paths)
-            )
-            schema = probe.schema
-        part_names = {f.name for f in part_fields}
-        data_fields = [f for f in (schema or T.StructType([])).fields if f.name not in part_names]
-        full = T.StructType(data_fields + part_fields)
-        if not paths:
-            out = self.spark.createDataFrame([], full)
-        else:
-            out = (
-                self.spark.read.schema(full)
-                .option("basePath", self.data_path)
-                .parquet(*paths)
-            )
-        if not keep_batch:
-            out = out.drop(BATCH)
-        if self.slice_column is not None and self.slice_type != "string":
-            out = out.withColumn(self.slice_column, F.col(self.slice_column).cast(self.slice_type))
-        return out
+        live = self.live(version).where("row_count > 0")
+        if slices is not None:
+            live = live.where(F.col("slice").isin([str(s) for s in slices]))
+        rows = self._read([(r["slice"], r[BATCH]) for r in live.collect()], schema)  # one for each slice
+        return rows if keep_batch else rows.drop(BATCH)
 
     # -------------------------------------------------------------- writes
 
-    def _write(self, df: DataFrame, batch_col: F.Column) -> None:
-        parts = ([self.slice_column] if self.slice_column else []) + [BATCH]
-        df.withColumn(BATCH, batch_col).write.mode("append").partitionBy(*parts).parquet(
-            self.data_path
-        )
-
-    def _slice_glob(self, keys: Sequence[str] | None) -> str:
-        """Glob of the slice folders a load wrote to: only the load's keys when known."""
-        if not self.slice_column:
-            return ""
-        names = [partition_dir_value(str(k)) for k in keys or ()]
-        if not names or any(ch in n for n in names for ch in ",}"):
-            return "*/"
-        if len(names) == 1:
-            return f"{self.slice_column}={names[0]}/"
-        return "{" + ",".join(f"{self.slice_column}={n}" for n in names) + "}/"
-
-    def _written_counts(self, token_glob: str, keys: Sequence[str] | None = None) -> DataFrame:
-        """Rows per (slice, batch) written by this load, from the files themselves.
-
-        Parquet answers the counts from its footers. Only the folders of the
-        load's keys are listed when they are known, not every slice's.
-        """
-        level = self._slice_glob(keys)
-        part_fields = self._partition_fields()
-        try:
-            written = (
-                self.spark.read.schema(T.StructType(part_fields))
-                .option("basePath", self.data_path)
-                .parquet(f"{self.data_path}/{level}{BATCH}={token_glob}")
-            )
-        except AnalysisException:
-            return self.spark.createDataFrame([], "slice string, batch_id string, row_count long")
-        slice_col = F.col(self.slice_column) if self.slice_column else F.lit(NO_SLICE)
-        return written.groupBy(slice_col.alias("slice"), F.col(BATCH)).agg(
-            F.count(F.lit(1)).alias("row_count")
-        )
+    def _write(self, df: DataFrame, batch: Column) -> None:
+        df.withColumn(BATCH, batch).write.mode("append").partitionBy(*self._parts()).parquet(self.data_path)
+
+    def _written(self, batch: Column, whole: bool) -> DataFrame:
+        """(slice, batch_id, row_count, record_schema) of batches, from their files (``whole``: which hold whole records)."""
+        record = T.StructType([T.StructField(RECORD_COLUMN, T.VariantType())] if whole else [])
+        if not self._exists(self.data_path):  # a first load without rows
+            return self.spark.createDataFrame([], f"slice string, {BATCH} string, row_count long, record_schema string")
+        rows = self._files(record).where(batch).groupBy(self._slice().alias("slice"), BATCH)
+        schema = F.expr(f"schema_of_variant_agg({RECORD_COLUMN})") if whole else F.lit(None).cast("string")
+        return rows.agg(F.count(F.lit(1)).alias("row_count"), schema.alias("record_schema"))
 
     @staticmethod
-    def _now() -> _dt.datetime:
-        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    def _whole(df: DataFrame) -> bool:
+        return any(f.name == RECORD_COLUMN and isinstance(f.dataType, T.VariantType) for f in df.schema.fields)
+
+    def _append(self, version: int, rows: list[tuple]) -> int:
+        """Write load ``version``; fails if a folder of it is there, another writer's or a crashed one's."""
+        frame = self.spark.createDataFrame(rows, LOADS_SCHEMA).coalesce(1)
+        frame.write.mode("errorifexists").parquet(f"{self.loads_path}/version={version}")
+        return version
 
     @staticmethod
-    def _next_map(prev: dict, version: int, changed: dict) -> tuple[dict, list[tuple]]:
-        """Live map after ``changed`` (slice -> (batch, operation, rows, time)) at ``version``."""
-        live = dict(prev)
-        live.update(changed)
-        rows = [
-            (version, s, b, op, n, ts, s in changed)
-            for s, (b, op, n, ts) in sorted(live.items(), key=lambda kv: (kv[0] is None, kv[0] or ""))
-        ]
-        if not rows:  # an empty table still needs a commit file
-            rows = [(version, None, "", "NONE", 0, SliceTable._now(), False)]
-        return live, rows
-
-    def _prev_map(self, version: int) -> dict:
-        return {
-            r["slice"]: (r[BATCH], r["operation"], int(r["row_count"]), r["committed_at"])
-            for r in self._live_rows(version)
-        }
-
-    def _commit(self, version: int, changed: dict) -> None:
-        _, rows = self._next_map(self._prev_map(version - 1), version, changed)
-        frame = self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1)
-        # the folder may be another writer's, finished or not: never written into.
-        # If a crashed writer left it (without a file, no load going on), remove it.
-        frame.write.mode("errorifexists").parquet(self._commit_dir(version))
-        self._known = version
+    def _now() -> _dt.datetime:
+        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
     def create(self) -> int:
-        """Commit version 0 of a new table with no slices (a no-op if it exists)."""
-        if self.version() >= 0:
-            return self._known
-        self._commit(0, {})
-        return 0
+        """Version 0 of a new table, without slices (nothing if it exists)."""
+        return self._append(0, [(None, "", "CREATE", 0, None, self._now())]) if self.version() < 0 else self.version()
 
-    def stage(
-        self,
-        df: DataFrame,
-        keys: Sequence[str] | None = None,
-        files_per_slice: int | None = None,
-    ) -> StagedBatch:
+    def stage(self, df: DataFrame, keys: Sequence[str] | None = None, files_per_slice: int | None = None) -> StagedBatch:
         """Write ``df`` as a new batch that no reader sees until :meth:`commit`.
 
-        ``files_per_slice`` bounds the files each slice gets: rows are first
-        shuffled on (slice, a hash of the row modulo that number), so even a
-        slice holding a third of the rows is written by that many tasks.
-        Without it the write adds no shuffle (files per slice = writing tasks).
+        Rows are rebalanced on the slice: a large slice is written by as many tasks as
+        its size asks for, small ones share a task. ``files_per_slice`` fixes the number.
         """
         token = uuid.uuid4().hex
         if self.slice_column is None:
             keys = [NO_SLICE]
-        if keys is not None:
+        elif keys is not None:
             df = self._only_keys(df, keys)
+        whole = self._whole(df)
         if files_per_slice:
             df = self._spread(df, files_per_slice)
         elif self.slice_column:
             df = df.hint("rebalance", self.slice_column)
         self._write(df, F.lit(token))
-        counts = {r["slice"]: int(r["row_count"]) for r in self._written_counts(token, keys).collect()}
-        return StagedBatch(token, None if keys is None else [str(k) for k in keys], counts)
+        written = self._written(F.col(BATCH) == token, whole).collect()  # one for each slice
+        counts = {r["slice"]: r["row_count"] for r in written}
+        return StagedBatch(token, None if keys is None else [str(k) for k in keys], counts, {r["slice"]: r["record_schema"] for r in written})
 
     def read_staged(self, staged: StagedBatch, schema: T.StructType | None = None) -> DataFrame:
         """The rows of a staged batch (for tests before committing it)."""
-        batches = [
-            (None if self.slice_column is None else s, staged.token)
-            for s, n in staged.counts.items()
-            if n > 0
-        ]
-        return self._read_batches(batches, schema)
+        return self._read([(s, staged.token) for s in staged.counts], schema).drop(BATCH)
 
     def commit(self, staged: StagedBatch, operation: str = "WRITE", replace_all: bool = False) -> int:
         """Make a staged batch the live one of its slices; returns the new version.
 
-        Every key of the load gets a commit row, also a key without rows: that
-        is what empties a slice. Without keys the slices written are replaced;
-        with ``replace_all`` every live slice absent from the batch is emptied
-        too (a full rebuild).
+        Every key of the load gets a row, also one without rows: that is what empties
+        a slice. Without keys the slices written are replaced; with ``replace_all``
+        every other live slice is emptied too (a full rebuild).
         """
-        live = [s for s, _, n in self.live_batches() if n > 0] if replace_all else []
-        version = self.version() + 1
-        wanted = list(staged.keys) if staged.keys is not None else sorted(staged.counts)
-        wanted += [k for k in live if k not in set(wanted)]
+        wanted = list(staged.keys) if staged.keys is not None else sorted(staged.counts, key=lambda k: (k is None, k or ""))
+        if replace_all:
+            wanted += [r["slice"] for r in self.live().where("row_count > 0").collect() if r["slice"] not in wanted]
         now = self._now()
-        changed = {
-            (None if self.slice_column is None else k): (staged.token, operation, staged.counts.get(k, 0), now)
-            for k in wanted
-        }
-        self._commit(version, changed)
-        return version
+        rows = [(k, staged.token, operation, staged.counts.get(k, 0), staged.schemas.get(k), now) for k in wanted]
+        return self._append(self.version() + 1, rows or [(None, "", operation, 0, None, now)])
 
     def load(
         self,
@@ -401,25 +260,19 @@ class SliceTable:
         return self.commit(self.stage(df, keys, files_per_slice), operation, replace_all)
 
     def _spread(self, df: DataFrame, files_per_slice: int) -> DataFrame:
-        hashable = [
-            F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
-        ]
+        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
         salt = F.pmod(F.xxhash64(*hashable), F.lit(files_per_slice)) if hashable else F.lit(0)
-        keys = [F.col(self.slice_column)] if self.slice_column else []
-        return df.repartition(*keys, salt)
+        return df.repartition(*([F.col(self.slice_column)] if self.slice_column else []), salt)
 
     def _only_keys(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Fail the write task on a row whose slice is not one of the load's keys.
+        """Fail the write on a row whose slice is not one of the load's keys.
 
-        Checked inside the write job (no extra pass); the rows written before
-        the failure stay invisible because no commit follows.
+        Checked inside the write job (no extra pass); rows written before the failure
+        stay invisible.
         """
-        if self.slice_column is None:
-            return df
-        allowed = [str(k) for k in keys]
         col = F.col(self.slice_column)
         message = F.concat(F.lit("row for a slice outside the load's keys: "), F.coalesce(col, F.lit("NULL")))
-        return df.withColumn(self.slice_column, F.when(col.isin(allowed), col).otherwise(F.raise_error(message)))
+        return df.withColumn(self.slice_column, F.when(col.isin([str(k) for k in keys]), col).otherwise(F.raise_error(message)))
 
     def load_slice(self, df: DataFrame, key: str, operation: str = "WRITE") -> int:
         """Replace one slice; the key is stamped over any same-named column."""
@@ -427,54 +280,29 @@ class SliceTable:
 
     def stamp(self, df: DataFrame, key: str) -> DataFrame:
         """Set the slice column to the literal key (overrides a source column)."""
-        if self.slice_column is None:
-            return df
-        return df.withColumn(self.slice_column, F.lit(str(key)))
+        return df if self.slice_column is None else df.withColumn(self.slice_column, F.lit(str(key)))
 
     def load_versions(self, df: DataFrame, version_column: str, operation: str = "WRITE") -> list[int]:
         """Replay a sequence of loads in one write job (a backfill with history).
 
-        ``version_column`` holds, per row, the version of the load that wrote
-        it; the versions must continue the table's (current + 1, + 2, ...).
-        Each version replaces the slices it has rows for. The first version's
-        commit claims the sequence: a second writer fails there and nothing of
-        it goes live. The others follow in one job, each of them a whole commit.
-
-        Rows are rebalanced on (slice, version): large folders are written by as
-        many tasks as their size asks for, small ones share a task.
+        ``version_column`` holds, per row, the version of the load that wrote it; the
+        versions must continue the table's (current + 1, + 2, ...). Each version
+        replaces the slices it has rows for. The first version's load row claims the
+        sequence: a second writer fails there. The others follow in one job.
         """
-        current = self.version()
-        token = uuid.uuid4().hex
-        batch = F.concat(F.lit(token + "-"), F.col(version_column).cast("string"))
+        current, token = self.version(), uuid.uuid4().hex
         parts = [self.slice_column] if self.slice_column else []
-        self._write(df.hint("rebalance", *parts, version_column), batch)
-        counts = self._written_counts(f"{token}-*").collect()
-        if not counts:
-            return []
-        per_version: dict[int, dict] = {}
-        now = self._now()
-        for r in counts:
-            v = int(r[BATCH].rsplit("-", 1)[1])
-            s = None if self.slice_column is None else r["slice"]
-            per_version.setdefault(v, {})[s] = (r[BATCH], operation, int(r["row_count"]), now)
-        versions = sorted(per_version)
+        whole = self._whole(df)
+        self._write(df.hint("rebalance", *parts, version_column), F.concat(F.lit(f"{token}-"), F.col(version_column).cast("string")))
+        loads = self._written(F.col(BATCH).startswith(f"{token}-"), whole).withColumn("version", F.substring_index(BATCH, "-", -1).cast("long"))
+        versions = [r.version for r in loads.select("version").distinct().orderBy("version").collect()]
         if versions != list(range(current + 1, current + 1 + len(versions))):
-            raise ValueError(
-                f"versions must continue the table at {current + 1}; got {versions[0]}..{versions[-1]}"
-                " (the written rows stay invisible)"
-            )
-        self._commit(versions[0], per_version[versions[0]])
-        live, rows = self._prev_map(versions[0]), []
-        for v in versions[1:]:
-            live, version_rows = self._next_map(live, v, per_version[v])
-            rows += version_rows
-        if not rows:
+            raise ValueError(f"versions must continue the table at {current + 1}; got {versions[0]}..{versions[-1]} (the written rows stay invisible)")
+        if not versions:
             return versions
-        commits = self.spark.createDataFrame(rows, COMMIT_SCHEMA).withColumn(
-            VERSION_DIR, F.format_string("%012d", F.col("version"))
-        )
-        commits.repartition(VERSION_DIR).write.mode("append").partitionBy(VERSION_DIR).parquet(
-            self.commits_path
-        )
-        self._known = versions[-1]
+        loads = loads.select("slice", BATCH, F.lit(operation).alias("operation"), "row_count", "record_schema", F.lit(self._now()).alias("committed_at"), "version")
+        first = loads.where(F.col("version") == versions[0]).drop("version")
+        first.coalesce(1).write.mode("errorifexists").parquet(f"{self.loads_path}/version={versions[0]}")
+        rest = loads.where(F.col("version") > versions[0])
+        rest.repartition("version").write.mode("append").partitionBy("version").parquet(self.loads_path)
         return versions

@@ -14,9 +14,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.pages import PAGE_KEY
+from strata.sources.pages import PAGE_KEY, WHOLE_RECORD
 
 KEY_COLUMN = PAGE_KEY
+#: Column of a record as it landed, with every field it has, beside the declared ones.
+RECORD_COLUMN = WHOLE_RECORD
 
 Reader = Callable[[SparkSession, Sequence[str] | None], DataFrame]
 Shape = Callable[[DataFrame], DataFrame]
@@ -27,7 +29,8 @@ class SourceSpec:
     """One bronze source.
 
     ``shape`` is an optional ``DataFrame -> DataFrame`` step (None: records
-    land as they are); ``partition_column`` names the slice column when the
+    land as they are, with a reader of whole records in ``RECORD_COLUMN`` with
+    all their fields); ``partition_column`` names the slice column when the
     dataset is partitioned (None: the whole table is replaced on each load).
     ``inventory`` lists the landed pages of the keys (``pages.page_inventory``);
     a load with one accepts a key only if its pages are complete.

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from strata.sources.ingest import IncompleteLanding, load_bronze, read_bronze
 from strata.specs import Dataset, SourceSpec
-from strata.sources.pages import endpoint_location, expected_offsets, missing_pages, page_inventory, read_pages
+from strata.sources.pages import endpoint_location, missing_pages, missing_ranges, page_inventory, read_pages
 
 REC = T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.StringType())])
 
@@ -35,12 +35,44 @@ def test_missing_and_early_empty_pages(spark, scratch):
     assert miss == [("2023", 30, "empty_before_total"), ("2024", 30, "missing")]
 
 
-def test_expected_offsets_chunked(spark):
-    totals = spark.createDataFrame([("a", 95), ("b", 0), ("c", 30)], "key string, total long")
-    got = sorted(tuple(r) for r in expected_offsets(totals, 10, chunk=3).collect())
-    assert [o for k, o in got if k == "a"] == list(range(0, 100, 10))
-    assert [o for k, o in got if k == "b"] == [0]
-    assert [o for k, o in got if k == "c"] == [0, 10, 20]
+def brute_missing(rows, size):
+    """What a list of all due offsets lacks."""
+    out = set()
+    for key in {k for k, *_ in rows if k is not None}:
+        totals = [t for k, _, t, _ in rows if k == key and t is not None]
+        if totals:
+            landed = {o for k, o, _, _ in rows if k == key}
+            out |= {(key, o) for o in range(0, max(max(totals), 1), size) if o not in landed}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ranges_equal_the_list_of_due_offsets(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    rows = [("none", None, None, 0), ("empty", 0, 0, 0), ("unseen", None, 95, 1), (None, 0, 30, 1)]
+    for key in "abcdefgh":
+        total = rnd.choice([0, 1, 9, 10, 11, 300, 1000])
+        for page in range(total // 10 + 2):
+            for _ in range(rnd.choice([0, 1, 1, 2])):
+                rows.append((key, page * 10 + rnd.choice([0, 0, 0, 3]), total if rnd.random() < 0.9 else None, 1))
+    inventory = spark.createDataFrame(rows, "key string, offset long, total long, records int")
+    want = brute_missing(rows, 10)
+    for span in (3, 7, 1 << 16):
+        ranges = missing_ranges(inventory, 10, span).collect()
+        assert all(r.n_pages == (r.last_offset - r.first_offset) // 10 + 1 for r in ranges)
+        assert sum(r.n_pages for r in ranges) == len(want)
+        assert {(r.key, o) for r in ranges for o in range(r.first_offset, r.last_offset + 1, 10)} == want
+    for chunk in (2, 1 << 16):
+        got = missing_pages(inventory, 10, chunk).where("reason = 'missing'").collect()
+        assert len(got) == len(want) and {(r.key, r.offset) for r in got} == want
+
+
+def test_a_large_total_costs_its_landed_pages_only(spark):
+    inventory = spark.createDataFrame([("k", 0, 30 * 10**12, 30), ("k", 30 * 10**9, None, 30)], "key string, offset long, total long, records int")
+    got = sorted((r.first_offset, r.last_offset, r.n_pages) for r in missing_ranges(inventory, 30).collect())
+    assert got == [(30, 30 * 10**9 - 30, 10**9 - 1), (30 * 10**9 + 30, 30 * 10**12 - 30, 10**12 - 10**9 - 1)]
 
 
 def test_partition_template():

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.sources.versioned import SliceTable, partition_dir_value
+from strata.sources.versioned import SliceTable
 
 
 def rows(df, *cols):
@@ -73,9 +73,10 @@ def test_uncommitted_batch_is_invisible(spark, scratch):
 def test_commit_clash_is_refused(spark, scratch):
     t = SliceTable(spark, f"{scratch}/t", "season")
     t.load_slice(frame(spark, [(1, "a")]), "2023")
-    now = __import__("datetime").datetime(2024, 1, 1)
-    with pytest.raises(Exception):
-        t._commit(0, {"2023": ("x", "WRITE", 1, now)})
+    late = SliceTable(spark, f"{scratch}/t", "season")
+    late.version = lambda: -1  # read before the first load came to its end
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        late.load_slice(frame(spark, [(2, "b")]), "2023")
     assert rows(t.read(), "season", "id") == [("2023", 1)]
 
 
@@ -90,7 +91,6 @@ def test_multi_key_load_with_empty_key(spark, scratch):
     with pytest.raises(Exception, match="outside the load's keys"):
         t.load(spark.createDataFrame([(4, "2030")], "id int, season string"), ["2023"])
     assert rows(t.read(), "season", "id") == [("2023", 3)]
-    assert t._slice_glob(["a,b"]) == "*/" and t._slice_glob(["2023", "2024"]) == "{season=2023,season=2024}/"
 
 
 def test_unpartitioned_table_replaces_whole(spark, scratch):
@@ -138,7 +138,7 @@ def test_partition_values_with_special_characters(spark, scratch):
     for key in ["a/b", "x=y", "50%", "sp ace"]:
         t.load_slice(frame(spark, [(1, key)]), key)
     assert rows(t.read(), "k") == [("50%",), ("a/b",), ("sp ace",), ("x=y",)]
-    assert partition_dir_value("a/b") == "a%2Fb"
+    assert rows(t.read(slices=["50%", "a/b"]), "k") == [("50%",), ("a/b",)]
 
 
 def test_one_slice_read_prunes(spark, scratch):
@@ -185,27 +185,24 @@ def test_stage_is_invisible_until_commit_and_spread_bounds_files(spark, scratch)
     assert 1 <= len(hot_files) <= 2
 
 
-def test_superseded_batches_lists_replaced_and_crashed(spark, scratch):
+def test_superseded_lists_replaced_and_crashed(spark, scratch):
     t = SliceTable(spark, f"{scratch}/t", "season")
     t.load_slice(frame(spark, [(1, "a")]), "2023")
     t.load_slice(frame(spark, [(2, "b")]), "2024")
     t.load_slice(frame(spark, [(3, "c")]), "2024")  # replaces the first 2024 batch
     t._write(t.stamp(frame(spark, [(9, "z")]), "2025"), F.lit("crashed"))  # never committed
-    first_2024 = [b for s, b, _ in t.live_batches(1) if s == "2024"][0]
-    old = t.superseded_batches(keep_versions=1)
-    assert len(old) == 2
-    assert any(d.endswith(f"season=2024/batch_id={first_2024}") for d in old)
-    assert any(d.endswith("season=2025/batch_id=crashed") for d in old)
-    assert t.superseded_batches(keep_versions=3) == [d for d in old if "crashed" in d]
+    first_2024 = [r["batch_id"] for r in t.live(1).collect() if r["slice"] == "2024"][0]
+    assert rows(t.superseded(), "slice", "batch_id") == [("2024", first_2024), ("2025", "crashed")]
+    assert rows(t.superseded(keep_versions=3), "slice", "batch_id") == [("2025", "crashed")]
     assert rows(t.read(), "season", "id") == [("2023", 1), ("2024", 3)]
 
 
-def test_a_commit_folder_in_flight_is_never_written_into(spark, scratch):
+def test_a_load_in_flight_is_never_written_into(spark, scratch):
     import os
 
     t = SliceTable(spark, f"{scratch}/t", "season")
     t.load_slice(frame(spark, [(1, "a")]), "2023")
-    os.makedirs(f"{scratch}/t/commits/v=000000000001/_temporary/0")  # another writer's, or a crashed one's
+    os.makedirs(f"{scratch}/t/loads/version=1/_temporary/0")  # another writer's, or a crashed one's
     assert SliceTable(spark, f"{scratch}/t", "season").version() == 0
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         t.load_slice(frame(spark, [(2, "b")]), "2024")
@@ -244,3 +241,30 @@ def test_a_hot_slice_is_written_by_as_many_tasks_as_its_size_asks_for(spark, scr
         assert len(t.read().inputFiles()) > 2
     finally:
         spark.conf.unset(key)
+
+
+def test_a_null_slice_and_a_column_that_no_live_slice_has(spark, scratch):
+    t = SliceTable(spark, f"{scratch}/t", "k")
+    t.load(spark.createDataFrame([(1, None, "x"), (2, "a", "y")], "id int, k string, extra string"))
+    t.load(spark.createDataFrame([(3, None), (4, "a")], "id int, k string"))
+    assert sorted((r.id, r.k, r.extra) for r in t.read().collect()) == [(3, None, None), (4, "a", None)]
+    assert sorted((r.id, r.extra) for r in t.read(version=0).collect()) == [(1, "x"), (2, "y")]
+
+
+def test_a_first_load_without_rows(spark, scratch):
+    t = SliceTable(spark, f"{scratch}/t", "season")
+    assert t.load_slice(frame(spark, []), "2023") == 0 and t.read().count() == 0
+    t.load_slice(frame(spark, [(1, "a")]), "2023")
+    assert rows(t.read(), "season", "id") == [("2023", 1)]
+
+
+def test_the_write_counts_nulls_and_keys_share_one_pass(spark, scratch):
+    from strata.operators.audit import AuditError, Tests, duplicate_counts
+    from strata.plans.build import publish_version
+
+    df = spark.createDataFrame([(2023, "a", 1), (2023, "a", 1), (2024, None, 2), (2024, "c", None)], "season int, k string, n int")
+    assert duplicate_counts(df, ["k", "n", "season"]) == {"unique_k": 1, "unique_n": 1, "unique_season": 2}
+    with pytest.raises(AuditError) as err:
+        publish_version(df, Tests(unique=("k", "n"), not_null=("k", "n", "season")), f"{scratch}/mart")
+    assert err.value.failures == {"unique_k": 1, "unique_n": 1, "not_null_k": 1, "not_null_n": 1}
+    assert SliceTable(spark, f"{scratch}/mart", "season", "int").version() == -1  # nothing is visible
