@@ -9,19 +9,95 @@ from strata.llm import linededup
 WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
 
 
-def brute(rows, min_words):
-    """Spans by input row, rows in order of rank."""
-    seen, out = set(), {}
-    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k)):
-        at, spans = 0, []
-        for line in (rows[k][1] or "").split("\n"):
-            words = tuple(WORD.findall(line.lower()))
-            if len(words) >= min_words:
-                if words in seen:
-                    spans.append((at, at + len(line)))
-                seen.add(words)
-            at += len(line) + 1
-        out[k] = spans
+ATOM_END = re.compile(r"\n|[.!?…]+[\"')]*(?=\s)")
+
+
+def units(text, min_words, sentence_words):
+    """All units of a text, by their definition: (start, end, words)."""
+    atoms, at = [], 0
+    for m in [*ATOM_END.finditer(text), None]:
+        end = len(text) if m is None else m.start() if m[0] == "\n" else m.end()
+        atoms.append((at, end, WORD.findall(text[at:end].lower()), m is None or m[0] == "\n", m is not None and m[0] != "\n"))
+        at = len(text) if m is None else m.end()
+    lines, sentences, paragraphs, line, sentence, paragraph = [], [], [], [], [], []
+    for k, atom in enumerate(atoms):
+        line.append(atom)
+        sentence.append(atom)
+        if atom[4]:
+            sentences.append(sentence)
+            sentence = []
+        if atom[3]:
+            lines.append(line)
+            if any(a[2] for a in line):
+                paragraph += line
+            else:
+                paragraphs.append(paragraph)
+                if sentence != line:
+                    sentences.append(sentence[: len(sentence) - len(line)])
+                paragraph, sentence = [], []
+            line = []
+    paragraphs.append(paragraph)
+    sentences.append(sentence)
+    count = lambda group: sum(len(a[2]) for a in group)
+    found = [p for p in paragraphs if count(p) >= min_words]
+    lines, sentences = [x for x in lines if count(x)], [x for x in sentences if count(x)]
+
+    def windows(parts, least, bound):
+        for i, part in enumerate(parts):
+            if count(part) >= least:
+                found.append(part)
+                continue
+            for step in (1, -1):
+                j, held = i, count(part)
+                while held < least:
+                    j += step
+                    if not 0 <= j < len(parts) or bound and count(parts[j]) >= least:
+                        break
+                    held += count(parts[j])
+                else:
+                    found.append([a for p in parts[min(i, j) : max(i, j) + 1] for a in p])
+
+    windows(lines, min_words, True)
+    windows(sentences, sentence_words, False)
+    out = set()
+    for group in found:
+        while not group[0][2]:
+            group = group[1:]
+        while not group[-1][2]:
+            group = group[:-1]
+        out.add((group[0][0], group[-1][1], tuple(w for a in group for w in a[2])))
+    return sorted(out)
+
+
+def brute(rows, min_words, sentence_words=12):
+    """Removed pieces by input row, rows in order of rank."""
+    first, out = {}, {}
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, k))
+    every = {k: units(rows[k][1] or "", min_words, sentence_words) for k in order}
+    for k in order:
+        for lo, hi, words in every[k]:
+            first.setdefault(words, (k, lo, hi))
+    for k in order:
+        text = rows[k][1] or ""
+        spans = [(lo, hi) for lo, hi, words in every[k] if first[words][0] != k or lo >= first[words][2]]
+        covered = [False] * (len(text) + 1)
+        for lo, hi in spans:
+            covered[lo:hi] = [True] * (hi - lo)
+        pieces, at = [], 0
+        while at < len(text):
+            if not covered[at]:
+                at += 1
+                continue
+            end = at
+            while end < len(text) and covered[end]:
+                end += 1
+            lo = at
+            for m in re.finditer("\n", text[at:end]):
+                pieces.append((lo, at + m.start()))
+                lo = at + m.end()
+            pieces.append((lo, end))
+            at = end
+        out[k] = pieces
     return out
 
 
@@ -47,12 +123,57 @@ def test_against_brute_force(spark):
             assert list(zip(r.starts, r.ends, strict=True)) == spans
             left, at = "", 0
             for lo, hi in spans:
-                left, at = left + text[at:lo], min(hi + 1, len(text))
+                whole = (lo == 0 or text[lo - 1] == "\n") and text[hi : hi + 1] == "\n"
+                left, at = left + text[at:lo], hi + whole
             assert r.left == left + text[at:] and r.kept_sha256 == hashlib.sha256(r.left.encode()).hexdigest()
     report = {r.doc_id: r for r in linededup.report(docs).collect()}
     assert all(r.n_removed == len(got[i].starts) and r.spans == ",".join(f"{a}:{b}" for a, b in zip(got[i].starts, got[i].ends, strict=True)) for i, r in report.items())
 
 
+def prose(rng, n):
+    out = []
+    for _ in range(n):
+        words = ["%s%d" % (rng.choice("abcÉ"), rng.randrange(4000)) for _ in range(rng.choice([1, 2, 5, 9, 14, 30]))]
+        out.append(" ".join(words).capitalize() + rng.choice([".", "!", "?", "...", '."', ",", ""]))
+    return out
+
+
+def test_sentences_and_windows_against_brute_force(spark):
+    rng = random.Random(12)
+    shared = [prose(rng, 9) for _ in range(6)]
+    rows = []
+    for i in range(70):
+        text = prose(rng, rng.randrange(12))
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = rng.choice(shared)[rng.randrange(3) :]
+        rows.append((rng.choice([i, i, 5]), "".join(x + rng.choice([" ", " ", " ", "\n", "\n\n", "  "]) for x in text)))
+    rows = [r for k, r in enumerate(rows) if r not in rows[:k]]
+    want = brute(rows, 20)
+    assert sum(map(bool, want.values())) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, tuple(zip(r.starts, r.ends, strict=True))) for r in linededup.remove(docs).collect())
+    assert got == sorted((rows[k][0], tuple(x)) for k, x in want.items() if x)
+
+
+def test_a_passage_inside_longer_lines_and_rewrapped(spark):
+    passage = " ".join("The %s passage has words %d and so on until here." % (w, i) for i, w in enumerate("first second third fourth fifth sixth".split()))
+    a, b, c = ("Start of %s without end and %s " % (x, x) for x in "abc")
+    got = left(spark, a + passage + " tail a", b + passage + " tail b", c + passage.replace(" words", "\nwords") + " tail c.")
+    assert got[0] == a + passage + " tail a"
+    for text, tail in ((got[1], " tail b"), (got[2], " tail c.")):
+        assert "third passage" not in text and "fourth passage" not in text and text.endswith(tail)
+
+
+def test_long_texts_and_words_that_differ_everywhere(spark):
+    one = [bin(i).count("1") % 2 for i in range(1024)]
+    lines = [" ".join("az"[x] for x in one), " ".join("za"[x] for x in one)]
+    assert left(spark, *lines) == dict(enumerate(lines))
+    long = "x" * 300_000 + " " + " ".join("w%d" % i for i in range(60_000))
+    got = left(spark, long, "begin\n" + long + "\nend")
+    assert got[0] == long and got[1] == "begin\nend"
+
+
 def test_repeated_rows_and_empty_tables(spark):
     text = "\n".join(" ".join("%s%d" % (c, i) for i in range(22)) for c in "ab")
     docs = spark.createDataFrame([(3, text), (3, text), (3, text), (None, text), (5, "x")], "doc_id long, text string")
