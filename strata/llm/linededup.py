@@ -12,8 +12,8 @@ A text is cut into atoms, at line breaks and after the ends of sentences. Units
   short lines that reach ``MIN_WORDS`` words with it, once from it onward and once
   back from it;
 - sentences of ``SENTENCE_WORDS`` words or more, whatever their line breaks, and for
-  each shorter one the fewest neighbouring sentences that reach so many words with it,
-  onward and back.
+  each shorter one the fewest neighbouring sentences that reach so many words from it
+  onward.
 
 So a passage that recurs inside longer lines, or with other line breaks, is covered by
 units that recur, but for what is left of sentences at its ends; only shorter runs
@@ -42,11 +42,11 @@ _alnum = np.zeros(256, bool)
 _alnum[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True  # of lower-cased text
 
 
-def _windows(of: np.ndarray, words: np.ndarray, least: int, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _windows(of: np.ndarray, words: np.ndarray, least: int, alone: np.ndarray, both: bool) -> tuple[np.ndarray, np.ndarray]:
     """Units of consecutive parts (with ``words`` each, 1 or more) in one group ``of``: first and last part of each.
 
     Parts of ``least`` words are units; for others the fewest neighbours that
-    reach so many with it, onward and back, that don't cross a part which stands ``alone``.
+    reach so many with it, onward and with ``both`` back, that don't cross a part which stands ``alone``.
     """
     n = len(words)
     each = np.arange(n)
@@ -59,6 +59,8 @@ def _windows(of: np.ndarray, words: np.ndarray, least: int, alone: np.ndarray) -
     first, end = firsts[number], np.append(firsts[1:], n)[number]
     onward = np.searchsorted(sums, sums[:-1] + least)  # ends after the first parts that reach the words
     some = ~long & (onward <= end)
+    if not both:
+        return np.concatenate([each[long], each[some]]), np.concatenate([each[long], onward[some] - 1])
     back = np.searchsorted(sums, sums[1:] - least, "right") - 1
     more = ~long & (back >= first)
     return np.concatenate([each[long], each[some], back[more]]), np.concatenate([each[long], onward[some] - 1, each[more]])
@@ -82,7 +84,7 @@ def _units(of: np.ndarray, words: np.ndarray, line_end: np.ndarray, sentence_end
     full = np.flatnonzero(size)  # a unit begins and ends in a line with words
     blank = np.diff(full, prepend=-1) > 1
     line_of, line_words = of[first[full]], size[full]
-    lo, hi = _windows(line_of, line_words, min_words, line_words >= min_words)
+    lo, hi = _windows(line_of, line_words, min_words, line_words >= min_words, True)
     found = [(first[full[lo]], last[full[hi]])]
     if len(full):  # paragraphs
         change = blank | np.concatenate([[True], line_of[1:] != line_of[:-1]])
@@ -95,7 +97,7 @@ def _units(of: np.ndarray, words: np.ndarray, line_end: np.ndarray, sentence_end
     new[1:] |= sentence_end[:-1] | empty[1:] | empty[:-1]
     first, last, size = _grouped(new, words)
     full = np.flatnonzero(size)
-    lo, hi = _windows(of[first[full]], size[full], sentence_words, np.zeros(len(full), bool))
+    lo, hi = _windows(of[first[full]], size[full], sentence_words, np.zeros(len(full), bool), False)
     found.append((first[full[lo]], last[full[hi]]))
     top, bottom = (np.concatenate(x) for x in zip(*found, strict=True))
     while True:  # units begin and end with an atom that has words
@@ -166,9 +168,9 @@ def _unit_batches(min_words: int, sentence_words: int):
                 top, last = _units(of, np.diff(before), np.array(line), np.array(sentence), min_words, sentence_words)
                 first_word, last_word = before[:-1][top], before[1:][last] - 1
                 digests = [hashlib.md5(words[a:b], usedforsecurity=False).digest() for a, b in zip(lo[first_word].tolist(), hi[last_word].tolist(), strict=True)]
-                keep = part.take(pa.array(of[top], pa.int64()))
+                which = pa.array(of[top], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*keep.columns[:3], pa.array(begin[top], pa.int64()), pa.array(stop[last], pa.int64()), pa.array(digests, pa.binary())],
+                    [*(c.take(which) for c in part.columns[:3]), pa.array(begin[top], pa.int64()), pa.array(stop[last], pa.int64()), pa.array(digests, pa.binary())],
                     names=["row", "doc_id", "key", "start", "end", "unit"],
                 )
 

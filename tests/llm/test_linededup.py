@@ -47,7 +47,7 @@ def units(text, min_words, sentence_words):
             if count(part) >= least:
                 found.append(part)
                 continue
-            for step in (1, -1):
+            for step in (1, -1)[: 1 + bound]:
                 j, held = i, count(part)
                 while held < least:
                     j += step
