@@ -9,6 +9,10 @@ Both are counted from labelled samples by grouped aggregation: random strings
 are the values that the patterns find, ordinary ones are words of letters. A
 model is a table of one size (pairs of ``len(ALPHABET)`` characters), whatever
 the input. Everything here is DataFrame operations.
+
+Work is linear in a text and its matches: places are running sums in steps of
+``STEP`` entries, and pieces of a text are taken from chunks of ``CHUNK`` characters,
+since a substring is otherwise looked for from the text's beginning each time.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.tables import fresh, text_of
+from strata.llm.tables import fresh, staged, text_of
 
 #: Pattern of each kind, the group that is measured, its least length: fixed values of the query's contract.
 KINDS = (
@@ -39,29 +43,71 @@ CUTOFF = 0.7
 #: Share of a model that is counted; the rest holds every character equally likely.
 COUNTED_RANDOM, COUNTED_ORDINARY = 0.5, 0.9
 BACKOFF = 5.0
+#: Entries whose running sums are taken in one go, and characters of a chunk of text.
+STEP, CHUNK = 256, 4096
+
+
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that is used more than once: an array of one value names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(items: Column, zero: Column, step, shift) -> Column:
+    """An array made by walking ``items`` with running state, in time linear in it.
+
+    Blocks of ``STEP`` items are walked one by one: ``step(state, item)`` gives the state's
+    new ``at`` and appends to its ``out``. ``shift(at, out)`` then makes the parts of
+    a block right for what came before it; ``zero.at`` starts both walks.
+    """
+
+    def walked(items: Column) -> Column:
+        last = F.greatest(F.size(items) - 1, F.lit(0))
+        numbers = F.sequence(F.lit(0), F.floor(last / STEP).cast("int"))
+        return F.transform(numbers, lambda b: F.aggregate(F.slice(items, b * STEP + 1, F.lit(STEP)), zero, step))
 
+    def joined(each: Column) -> Column:
+        first = F.struct(zero["at"].alias("at"), F.array().cast("array<int>").alias("out"))
+        total = F.aggregate(each, first, lambda s, b: F.struct(shift(s["at"], b["at"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))["out"]
+        return F.zip_with(each, total, lambda b, at: F.transform(b["out"], lambda x: shift(at, x)))
 
+    return F.flatten(_named(_named(items, walked), joined))
 
-def _spans(text: Column, pattern: str, group: int, least: int, kind: str, rank: int) -> Column:
-    """Array of (start, end, rank, kind) of a pattern's matches, in code points.
+
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+
+def _piece(chunks: Column, start: Column, size: Column) -> Column:
+    """``size`` characters of a text from ``start`` (0 is the first) on; none if that is no positive number."""
+    first = F.floor(start / CHUNK).cast("int")
+    count = F.floor((start + size - 1) / CHUNK).cast("int") - first + 1
+    found = F.substring(F.array_join(F.slice(chunks, first + 1, F.greatest(count, F.lit(1))), ""), start - first * CHUNK + 1, size)
+    return F.when(size > 0, found).otherwise(F.lit(""))
+
+
+def _spans(text: Column, pattern: str, group: int, least: int, kind: str, rank: int, strings: bool = False) -> Column:
+    """Array of (start, end, rank, kind) of a pattern's matches, in code points; with ``strings`` and what matches.
 
     The pieces between the matches come from a split, the matches from an
     extraction; running sums of their lengths are the places.
     """
+    fields = "struct<start:int,end:int,rank:int,kind:string" + (",s:string>" if strings else ">")
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>").alias("out"))
+    rows = F.filter(F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), part.alias("part")), lambda x: x["whole"].isNotNull())
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
         lo = state["at"] + F.length(x["gap"])
-        hi = lo + F.length(x["whole"])
-        one = F.array(F.struct(lo.alias("start"), hi.alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind")))
-        return F.struct(hi.alias("at"), F.when(F.length(x["part"]) >= least, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+        return F.struct((lo + F.length(x["whole"])).alias("at"), F.concat(state["out"], F.array(lo)).alias("out"))
+
+    def span(x: Column, lo: Column) -> Column:
+        own = [lo.alias("start"), (lo + F.length(x["whole"])).alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind")]
+        return F.when(F.length(x["part"]) >= least, F.struct(*own, *([x["whole"].alias("s")] if strings else [])))
 
-    rows = F.filter(F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), part.alias("part")), lambda x: x["whole"].isNotNull())
-    nothing = F.array().cast("array<struct<start:int,end:int,rank:int,kind:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(rows, start, step, lambda s: s["out"])).otherwise(nothing)
+    placed = _named(rows, lambda r: F.zip_with(r, _running(r, zero, step, lambda at, x: at + x), span))
+    found = F.filter(placed, lambda x: x.isNotNull())
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{fields}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -122,25 +168,28 @@ def samples(docs: DataFrame, text: Column) -> DataFrame:
     return secret.union(words).distinct()
 
 
-def stretch(string: Column, table: list[float], cutoff: float) -> Column:
+def scores(table: list[float]) -> list[float]:
+    """A table of ``train`` for :func:`stretch`: separators count 0, since no ordinary word holds one, and a word begins after each."""
+    width = len(ALPHABET) + 1
+    marks = [ALPHABET.index(c) + 1 for c in SEPARATORS]
+    return [0.0 if b in marks else table[(0 if a in marks else a) * width + b] for a in range(width) for b in range(width)]
+
+
+def stretch(string: Column, ratios: Column, cutoff: float) -> Column:
     """(start, end) of what is a key in a string of key characters, or null.
 
     There is one if in any ``LEAST`` characters or more the log-likelihood ratio
-    under a table of ``train`` is ``cutoff`` a character; a running maximum over the
+    (``ratios``: the array of :func:`scores`) is ``cutoff`` a character; a running maximum over the
     stretches that end at each character finds it. It begins where the sum of the
     ratios, less half the cutoff each, is lowest and ends where it is highest, after the last such stretch if
     there are more, both widened to the next of ``SEPARATORS`` or the string's end.
-    Separators count 0, since no ordinary word holds one, and a word begins after each.
     """
     width = len(ALPHABET) + 1
-    marks = [ALPHABET.index(c) + 1 for c in SEPARATORS]
-    ratios = [0.0 if b in marks else table[(0 if a in marks else a) * width + b] for a in range(width) for b in range(width)]
-    scores = F.array(*map(F.lit, ratios))
     never, drop = F.lit(-1e300), LEAST * cutoff
 
     def of(places: Column) -> Column:
         before = F.slice(F.concat(F.array(F.lit(0)), places), 1, F.size(places))
-        return F.zip_with(before, places, lambda a, b: F.get(scores, a * width + b))
+        return F.zip_with(before, places, lambda a, b: F.get(ratios, a * width + b))
 
     def late(x: Column) -> Column:
         gone = F.slice(F.concat(F.array_repeat(F.lit(0.0), LEAST), x), 1, F.size(x))
@@ -172,45 +221,57 @@ def stretch(string: Column, table: list[float], cutoff: float) -> Column:
         tail = F.regexp_extract(F.substring(string, s["end"] + 1, F.length(string)), f"^[^{SEPARATORS}]*=*", 0)
         return F.when(s["start"].isNotNull(), F.struct((s["start"] - F.length(head)).alias("start"), (s["end"] + F.length(tail)).alias("end")))
 
-    # arrays of one value name what is used more than once
     places = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    ratios = F.transform(F.array(places), of)
-    pairs = F.transform(ratios, late)
-    found = F.transform(pairs, lambda x: F.aggregate(x, first, step))
-    return F.get(F.transform(found, widened), F.lit(0))
+    return _named(places, lambda p: _named(of(p), lambda x: _named(F.aggregate(late(x), first, step), widened)))
 
 
-def _without(text: Column, spans: Column) -> Column:
-    """The text with spaces in place of its spans."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _ends_before(spans: Column) -> Column:
+    """For each of sorted spans the greatest end of those before it, 0 for the first."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(x["start"] - state["at"], F.lit(0)))
-        blank = F.repeat(F.lit(" "), F.greatest(x["end"] - F.greatest(x["start"], state["at"]), F.lit(0)))
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], gap, blank).alias("out"))
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    return _running(spans, zero, step, F.greatest)
+
+
+def _replaced(text: Column, spans: Column, by) -> Column:
+    """The text with ``by(span, end)`` in place of its sorted spans; ``end``: where the spans before it end."""
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))))
+    def pieces(chunks: Column) -> Column:
+        parts = F.zip_with(spans, _ends_before(spans), lambda x, end: F.concat(_piece(chunks, end, x["start"] - end), by(x, end)))
+        last = F.array_max(F.transform(spans, lambda x: x["end"]))
+        return F.concat(F.array_join(parts, ""), _piece(chunks, last, F.length(text) - last))
+
+    return F.when(F.size(spans) == 0, text).otherwise(_named(_chunks(text), pieces))
+
+
+def _blank(x: Column, end: Column) -> Column:
+    return F.repeat(F.lit(" "), F.greatest(x["end"] - F.greatest(x["start"], end), F.lit(0)))
 
 
 def _scanned(docs: DataFrame, text: Column, names: tuple[str, str, str, str], cutoff: float) -> DataFrame:
     """``docs`` with columns ``names``: the text, pattern matches, further candidates, all spans."""
-    table = train(samples(docs, text))
+    model = docs.sparkSession.createDataFrame([(scores(train(samples(docs, text))),)], "ratios array<double>")
     name, base, more, found = names
     digit_and_letter = r"(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
     pattern = rf"(?<![A-Za-z0-9+/_=-]){digit_and_letter}{CANDIDATE}"
     part = docs.withColumn(name, text)
+    ratios = fresh(part, "ratios")
+    part = part.withColumn(ratios, staged(model, "key-model").scalar())  # one row, read once by the plan
     part = part.withColumn(base, base_spans(F.col(name)))
     rest = fresh(part, "rest_of_text")
-    part = part.withColumn(rest, _without(F.col(name), F.col(base)))
-    part = part.withColumn(more, _spans(F.col(rest), pattern, 0, 1, "markov", len(KINDS))).drop(rest)
+    part = part.withColumn(rest, _replaced(F.col(name), F.col(base), _blank))
+    part = part.withColumn(more, _spans(F.col(rest), pattern, 0, 1, "markov", len(KINDS), strings=True)).drop(rest)
 
     def key(m: Column) -> Column:
-        string = F.substring(name, m["start"] + 1, m["end"] - m["start"])
-        at = F.transform(F.array(stretch(string, table, cutoff)), lambda x: F.when(x.isNotNull(), F.struct((m["start"] + x["start"]).alias("start"), (m["start"] + x["end"]).alias("end"), m["rank"].alias("rank"), m["kind"].alias("kind"))))
-        return F.get(at, F.lit(0))
+        def moved(x: Column) -> Column:
+            return F.when(x.isNotNull(), F.struct((m["start"] + x["start"]).alias("start"), (m["start"] + x["end"]).alias("end"), m["rank"].alias("rank"), m["kind"].alias("kind")))
+
+        return _named(stretch(m["s"], F.col(ratios), cutoff), moved)
 
     joined = F.array_sort(F.concat(F.col(base), F.filter(F.transform(more, key), lambda x: x.isNotNull())))
-    return part.withColumn(found, F.when(F.size(more) == 0, F.col(base)).otherwise(joined))
+    return part.withColumn(found, F.when(F.size(more) == 0, F.col(base)).otherwise(joined)).drop(ratios)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
@@ -246,15 +307,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text_col: str = "text", size
     columns stay as they are.
     """
     names = tuple(fresh(docs, n) for n in ("own_text", "base_spans", "more_spans", "all_spans"))
-    own, spans = F.col(names[0]), names[3]
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        gap = F.substring(own, state["at"] + 1, F.greatest(x["start"] - state["at"], F.lit(0)))
-        out = F.when(x["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(own, s["at"] + 1, F.length(own))))
+    own, spans = F.col(names[0]), F.col(names[3])
+    clean = _replaced(own, spans, lambda x, end: F.when(x["start"] >= end, F.lit(mark)).otherwise(F.lit("")))
     hit = F.size(spans) > 0
     text = fresh(docs, "clean_text")
     part = _scanned(docs, text_of(text_col), names, cutoff).withColumn(text, F.when(hit, clean).otherwise(F.col(text_col)))

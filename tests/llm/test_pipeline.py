@@ -17,7 +17,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not
 
 def test_stages_and_names():
     assert [n for n, _ in C.STAGES] == ["language_id", "near_dedup", "decontaminate", "secret_scan", "encode"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")}
     assert "pipeline" in queries.QUERIES
 
 
