@@ -18,6 +18,7 @@ since a substring is otherwise looked for from the text's beginning each time.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -250,19 +251,29 @@ def _blank(x: Column, end: Column) -> Column:
     return F.repeat(F.lit(" "), F.greatest(x["end"] - F.greatest(x["start"], end), F.lit(0)))
 
 
+def _fixed(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed where they stand.
+
+    The optimizer puts an expression in place of every reference to its column, also
+    in filters that come later, so that expressions built on each other grow without
+    bound; a count of rows on the way keeps it from doing so.
+    """
+    return df.observe(f"fixed-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("n"))
+
+
 def _scanned(docs: DataFrame, text: Column, names: tuple[str, str, str, str], cutoff: float) -> DataFrame:
     """``docs`` with columns ``names``: the text, pattern matches, further candidates, all spans."""
-    model = docs.sparkSession.createDataFrame([(scores(train(samples(docs, text))),)], "ratios array<double>")
     name, base, more, found = names
+    part = _fixed(docs.withColumn(name, text))
+    model = docs.sparkSession.createDataFrame([(scores(train(samples(part, F.col(name)))),)], "ratios array<double>")
     digit_and_letter = r"(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])"
     pattern = rf"(?<![A-Za-z0-9+/_=-]){digit_and_letter}{CANDIDATE}"
-    part = docs.withColumn(name, text)
     ratios = fresh(part, "ratios")
     part = part.withColumn(ratios, staged(model, "key-model").scalar())  # one row, read once by the plan
-    part = part.withColumn(base, base_spans(F.col(name)))
+    part = _fixed(part.withColumn(base, base_spans(F.col(name))))
     rest = fresh(part, "rest_of_text")
-    part = part.withColumn(rest, _replaced(F.col(name), F.col(base), _blank))
-    part = part.withColumn(more, _spans(F.col(rest), pattern, 0, 1, "markov", len(KINDS), strings=True)).drop(rest)
+    part = _fixed(part.withColumn(rest, _replaced(F.col(name), F.col(base), _blank)))
+    part = _fixed(part.withColumn(more, _spans(F.col(rest), pattern, 0, 1, "markov", len(KINDS), strings=True)).drop(rest))
 
     def key(m: Column) -> Column:
         def moved(x: Column) -> Column:
@@ -271,7 +282,7 @@ def _scanned(docs: DataFrame, text: Column, names: tuple[str, str, str, str], cu
         return _named(stretch(m["s"], F.col(ratios), cutoff), moved)
 
     joined = F.array_sort(F.concat(F.col(base), F.filter(F.transform(more, key), lambda x: x.isNotNull())))
-    return part.withColumn(found, F.when(F.size(more) == 0, F.col(base)).otherwise(joined)).drop(ratios)
+    return _fixed(part.withColumn(found, F.when(F.size(more) == 0, F.col(base)).otherwise(joined)).drop(ratios))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
