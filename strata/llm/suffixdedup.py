@@ -16,17 +16,23 @@ blocks (numbered in byte order), and ``gsaca.suffix_array`` sorts their
 suffixes. Contexts that agree on n bytes are then neighbours whose common
 prefixes all have n bytes or more. So for every ``d``, a cut of the right order at
 ``length - d`` and of the left order at ``d`` numbers the strings, and a number
-that is held twice is a repeat. All numbers are compared exactly, no hash decides.
+that is held twice is a repeat.
 
 Copies. Of documents with the same text (by 128-bit digest) one is worked on,
-and counts twice. A gram in more than ``HOT`` documents is split by the strings
-around it: each string is counted by its own 128-bit digest.
+and counts twice. Contexts of a gram in more than ``HOT`` documents are cut to what
+the strings of a run cover. Equal ones (by 128-bit digest) repeat each other in whole, so they
+are done, and one of them stands for all. If more than ``HOT`` different ones
+are left, they part by the range of d: the strings of either half of it share
+more than the gram (what lies between the last start and the first end), which is
+the key that they meet by from then on. Halving ends with single strings, of which
+different ones have different keys. No row stands for less than a run of strings.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +44,7 @@ from strata.llm.gsaca import suffix_array
 from strata.llm.tables import SMALL, light, small_batches, staged, text_of
 
 GRAM = 64
-#: A gram in more documents than this is split by the strings around it.
+#: Different contexts that meet in one task for one gram.
 HOT = 4096
 #: Runs of strings judged in one go; a task goes through its contexts in such parts.
 PART = 20_000
@@ -230,28 +236,74 @@ def _repeat_batches(length: int, gram: int):
     return run
 
 
-def _string_batches(length: int, gram: int):
-    """For mapInArrow over contexts of hot grams: one row for each string, with its digest."""
+_PART = "digest binary, many boolean, gram long, left binary, right binary, place long, a int, b int, lo int, hi int, ctx binary"
+
+
+def _part_columns(rows: list[tuple]) -> pa.RecordBatch:
+    """(digest, many, key, left, right, place, a, b, lo, hi): a run of strings whose d is a to b, with its context cut to them."""
+    kinds = (pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    named = [(*x, hashlib.md5(b"%d %d %d " % (x[6], x[7], len(x[3])) + x[3] + x[4], usedforsecurity=False).digest()) for x in rows]
+    columns = zip(*named, strict=True) if named else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PART.split(", ")])
+
+
+def _run_batches(length: int, gram: int):
+    """For mapInArrow over contexts: one row for each run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, starts, strings, weights = [], [], [], []
-            for digest, many, _, left, right, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                whole = left + right
-                hashed: dict[int, bytes] = {}
+            rows = []
+            for digest, many, key, left, right, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for packed in runs:
-                    for d in range((packed >> 8) & 255, (packed & 255) + 1):
-                        if d not in hashed:
-                            hashed[d] = hashlib.md5(whole[len(left) - d : len(left) - d + length], usedforsecurity=False).digest()
-                        digests.append(digest)
-                        starts.append((packed >> 16) - d)
-                        strings.append(hashed[d])
-                        weights.append(2 if many else 1)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(starts, pa.int64()), pa.array(strings, pa.binary()), pa.array(weights, pa.int32())], names=["digest", "start", "string", "weight"])
+                    a, b = (packed >> 8) & 255, packed & 255
+                    rows.append((digest, many, key, left[len(left) - b :], right[: length - a], packed >> 16, a, b, 0, length - gram))
+            yield _part_columns(rows)
+
+    return run
+
+
+def _half_batches(length: int):
+    """For mapInArrow over runs (digest, many, key, left, right, place, a, b, lo, hi): their parts in either half of lo to hi, by what all strings there share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for digest, many, key, left, right, place, a, b, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                middle = (lo + hi + 1) // 2
+                for least, most in ((lo, middle - 1), (middle, hi)):
+                    x, y = max(a, least), min(b, most)
+                    if x <= y:
+                        shared = b"%d %d %d " % (key, least, most) + left[len(left) - least :] + right[: length - most]
+                        own = int.from_bytes(hashlib.md5(shared, usedforsecurity=False).digest()[:8], "little", signed=True)
+                        rows.append((digest, many, own, left[len(left) - y :], right[: length - x], place, x, y, least, most))
+            yield _part_columns(rows)
 
     return run
 
 
+def _settled(runs: DataFrame, length: int, gram: int) -> DataFrame:
+    """(digest, start, end) of repeated strings among runs of hot grams."""
+    out = []
+    while True:
+        runs = staged(runs, "runs")
+        weight = F.when(F.col("many"), 2).otherwise(1)
+        first = F.struct("digest", "place", "many", "left", "right", "a", "b", "lo", "hi")
+        one = staged(runs.groupBy("gram", "ctx").agg(F.sum(weight).alias("w"), F.min_by(first, F.struct("digest", "place")).alias("x")), "contexts-of-runs")
+        again = runs.select("digest", "gram", "ctx", "place", "a", "b").join(one.where("w > 1").select("gram", "ctx"), ["gram", "ctx"])
+        out.append(again.select("digest", (F.col("place") - F.col("b")).alias("start"), (F.col("place") - F.col("a") + length).alias("end")))
+        sizes = one.groupBy("gram").agg(F.count("*").alias("n"), F.sum("w").alias("w")).where("n > 1")  # of one context nothing is left to compare
+        sizes = staged(sizes, "context-counts")
+        fields = ["x.digest", (F.col("w") > 1).alias("many"), "gram", "x.left", "x.right", "x.place", "x.a", "x.b", "x.lo", "x.hi"]
+        few = one.join(sizes.where(F.col("n") <= HOT).select("gram"), "gram", "left_semi").select(*fields)
+        packed = F.array(F.shiftleft("place", 16).bitwiseOR(F.shiftleft(F.col("a").cast("long"), 8)).bitwiseOR(F.col("b").cast("long")))
+        few = few.select("digest", "many", "gram", "left", "right", packed.alias("runs"))
+        out.append(few.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeat_batches(length, gram), "digest binary, start long, end long"))
+        many = sizes.where(F.col("n") > HOT).select("gram")
+        if many.isEmpty():
+            return reduce(DataFrame.union, out)
+        runs = one.join(many, "gram", "left_semi").select(*fields).mapInArrow(_half_batches(length), _PART)
+
+
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(digest, spans, text): what is removed, and the digest of the rest."""
     for batch in batches:
@@ -296,10 +348,9 @@ def spans(docs: DataFrame, digest: str = "digest", text: str = "text", length: i
     each = contexts.join(hot, "gram", "left_anti").select("digest", "many", "gram", "left", "right", "runs")
     found = each.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeat_batches(length, gram), "digest binary, start long, end long")
     split = contexts.join(hot, "gram", "left_semi").select("digest", "many", "gram", "left", "right", "runs")
-    strings = staged(split.mapInArrow(_string_batches(length, gram), "digest binary, start long, string binary, weight int"), "strings")
-    twice = strings.groupBy("string").agg(F.sum("weight").alias("n")).where("n > 1").select("string")
-    also = strings.join(twice, "string").select("digest", "start", (F.col("start") + length).alias("end"))
-    return found.union(also)
+    if hot.isEmpty():
+        return found
+    return found.union(_settled(split.mapInArrow(_run_batches(length, gram), _PART), length, gram))
 
 
 def dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

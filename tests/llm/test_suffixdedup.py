@@ -90,3 +90,14 @@ def test_odd_tables(spark):
     got = sorted((str(r.doc_id), r.n_removed, r.n_spans) for r in suffixdedup.dedup(docs).collect())
     assert got == [("1", len(same), 1), ("1", len(same), 1), ("None", 0, 0), ("None", len(same), 1)]
     assert suffixdedup.dedup(docs.limit(0)).count() == 0
+
+
+def test_a_hot_gram_between_many_contexts(spark, monkeypatch):
+    """Passages shorter and longer than a string in many documents, with other text around each."""
+    monkeypatch.setattr(suffixdedup, "HOT", 6)
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passages = [noise(n) for n in (20, 23, 24, 30, 60)]
+    texts = [noise(rng.randrange(30)) + rng.choice(passages) + noise(rng.choice([0, 1, 2, 30])) for _ in range(150)]
+    texts += [passages[0] + noise(3)] * 9 + [noise(2) + passages[1]] * 5
+    check(spark, texts, 24, 7)
