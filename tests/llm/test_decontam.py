@@ -127,6 +127,55 @@ def test_short_items_are_found_whichever_words_are_replaced(spark):
     assert got == {(i, i // 1000) for i, _ in docs if i > 0}
 
 
+def brute(words, item, share=0.8, least=20):
+    """Whether some offset alone makes a leak: ``share`` of the item agrees, or ``least`` words in a stretch with that share."""
+    for offset in range(1 - len(item), len(words)):
+        same = [0 <= i + offset < len(words) and words[i + offset] == w for i, w in enumerate(item)]
+        if sum(same) >= share * len(item):
+            return True
+        for lo in range(len(item)):
+            count = 0
+            for hi in range(lo, len(item)):
+                count += same[hi]
+                if count >= least and count >= share * (hi + 1 - lo):
+                    return True
+    return False
+
+
+def test_leaks_by_brute_force_over_all_offsets(spark):
+    """A small vocabulary, so that seeds meet by chance everywhere; parts of items with words replaced."""
+    rng = random.Random(11)
+    some = words(rng, 12)
+    items = [[rng.choice(some) for _ in range(n)] for n in [2, 3, 4, 5, 6, 7, 9, 10, 11, 14, 19, 26, 40]]
+    docs = []
+    for _ in range(90):
+        item = rng.choice(items)
+        lo = rng.choice([0, 0, 3])
+        part = [rng.choice(some) if rng.random() < rng.choice([0.0, 0.1, 0.25]) else w for w in item[lo : lo + rng.choice([8, 22, 40])]]
+        docs.append([rng.choice(some) for _ in range(rng.randrange(12))] + part + [rng.choice(some) for _ in range(rng.randrange(12))])
+    got = decontam.leaks(
+        spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string"),
+    )
+    got = {(r.doc_id, r.item_id) for r in got.collect()}
+    want = {(i, j) for i, d in enumerate(docs) for j, x in enumerate(items) if brute(d, x)}
+    assert want and want <= got
+    codes = {w: k for k, w in enumerate(some)}
+    for i, j in got - want:  # found by way of several offsets, where words were inserted or lost
+        d, x = (np.array([codes[w] for w in z]) for z in (docs[i], items[j]))
+        most = decontam.overlap(d, x, list(range(1 - len(x), len(d))), 0.8)
+        assert most >= 0.8 * len(x) or most >= 20
+
+
+def test_ties_and_a_very_long_text(spark):
+    """Equal items, an item twice in a document, and an item late in a text of 6 MB."""
+    item = "a passage of twelve words that stands in the benchmark more than once"
+    bench = spark.createDataFrame([(2, item), (1, item), (1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item + " x " + item), (2, "filler words and more of them " * 200_000 + item), (3, "filler words and more of them " * 1000)], "doc_id long, text string")
+    got = decontam.leaks(docs, bench).drop("key").collect()
+    assert sorted(map(tuple, got)) == [(d, i, 13, 13) for d in (1, 2) for i in (1, 2)]
+
+
 def test_masks_hit_every_longer_item_that_keeps_its_share():
     """The fewest replaced words that no mask survives are more than a fifth, for every length above the listed ones."""
     masks = [int(m, 2) for m in decontam.MASKS]
