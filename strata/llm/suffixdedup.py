@@ -375,7 +375,8 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, id_col: str = "d
     one = one.select("digest", F.col("copied").isNotNull().alias("many"), "text")
     found = spans(one, length=length, gram=gram)
     by_text = staged(found.groupBy("digest").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")  # of one text
-    texts = one.select("digest", "text").join(light(by_text, F.size("spans"), SMALL), "digest").select("digest", "spans", "text")
+    # spans grow with the texts, so both are shuffled whatever their size; the spans make the hash table, texts aren't sorted
+    texts = one.select("digest", "text").join(by_text.hint("shuffle_hash"), "digest").select("digest", "spans", "text")
     cut = texts.mapInArrow(_cut_batches, "digest binary, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["digest"])
     out = rows.join(cut, "digest", "left")
     zero = F.lit(0).cast("long")
