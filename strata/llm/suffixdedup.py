@@ -21,7 +21,8 @@ that is held twice is a repeat.
 Copies. Of documents with the same text (by 128-bit digest) one is worked on,
 and counts twice. Contexts of a gram in more than ``HOT`` documents are cut to what
 the strings of a run cover. Equal ones (by 128-bit digest) repeat each other in whole, so they
-are done, and one of them stands for all. If more than ``HOT`` different ones
+are done, and one of them stands for all: they are folded in sorted order, first in
+``SALTS`` parts of each context, then what is left of the parts. If more than ``HOT`` different ones
 are left, they part by the range of d: the strings of either half of it share
 more than the gram (what lies between the last start and the first end), which is
 the key that they meet by from then on. Halving ends with single strings, of which
@@ -46,6 +47,8 @@ from strata.llm.tables import SMALL, light, small_batches, staged, text_of
 GRAM = 64
 #: Different contexts that meet in one task for one gram.
 HOT = 4096
+#: Parts in which the runs of one context are folded first.
+SALTS = 64
 #: Runs of strings judged in one go; a task goes through its contexts in such parts.
 PART = 20_000
 #: 2**MAP_BITS bits (16 MB) tell the scan which grams may be repeated; with more repeated grams than MAP_GRAMS they meet in a join instead.
@@ -281,27 +284,72 @@ def _half_batches(length: int):
     return run
 
 
+def _fold_batches(length: int, done: bool):
+    """For mapInArrow over runs sorted by gram and ctx: one run of each context, and apart from them spans.
+
+    Runs of a context that another run shares, or that is ``many``, are repeated in
+    whole and give their span; the run that stands for them is ``many``. With
+    ``done``, the spans of runs that are ``many`` are out already.
+    """
+    kinds = [pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int64(), pa.int64()]
+    names = [*(x.split()[0] for x in _PART.split(", ")), "start", "end"]
+
+    def rows_of(kept: list[tuple], spans: list[tuple]) -> pa.RecordBatch:
+        rows = [(*x, None, None) for x in kept]
+        rows += [(x[0], *[None] * 10, x[5] - x[7], x[5] - x[6] + length) for x in spans]
+        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # stands for the context at hand
+        for batch in batches:
+            kept, spans = [], []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held is not None and held[2] == row[2] and held[10] == row[10]:
+                    if not held[1]:
+                        spans.append(held)
+                        held = (held[0], True, *held[2:])
+                    if not (done and row[1]):
+                        spans.append(row)
+                else:
+                    if held is not None:
+                        kept.append(held)
+                    held = row
+                    if row[1] and not done:
+                        spans.append(row)
+            yield rows_of(kept, spans)
+        if held is not None:
+            yield rows_of([held], [])
+
+    return run
+
+
 def _settled(runs: DataFrame, length: int, gram: int) -> DataFrame:
     """(digest, start, end) of repeated strings among runs of hot grams."""
+    columns = [x.split()[0] for x in _PART.split(", ")]
+    salt = F.pmod(F.xxhash64("digest", "place"), F.lit(SALTS))
+
+    def folded(some: DataFrame, done: bool, *keys) -> DataFrame:
+        order = some.select(*columns).repartition("gram", "ctx", *keys).sortWithinPartitions("gram", "ctx", "digest", "place")
+        return staged(order.mapInArrow(_fold_batches(length, done), _PART + ", start long, end long"), "contexts-of-runs")
+
+    done = False  # at first, many tells of copies of the text, which have given no span yet
     out = []
     while True:
-        runs = staged(runs, "runs")
-        weight = F.when(F.col("many"), 2).otherwise(1)
-        first = F.struct("digest", "place", "many", "left", "right", "a", "b", "lo", "hi")
-        one = staged(runs.groupBy("gram", "ctx").agg(F.sum(weight).alias("w"), F.min_by(first, F.struct("digest", "place")).alias("x")), "contexts-of-runs")
-        again = runs.select("digest", "gram", "ctx", "place", "a", "b").join(one.where("w > 1").select("gram", "ctx"), ["gram", "ctx"])
-        out.append(again.select("digest", (F.col("place") - F.col("b")).alias("start"), (F.col("place") - F.col("a") + length).alias("end")))
-        sizes = one.groupBy("gram").agg(F.count("*").alias("n"), F.sum("w").alias("w")).where("n > 1")  # of one context nothing is left to compare
-        sizes = staged(sizes, "context-counts")
-        fields = ["x.digest", (F.col("w") > 1).alias("many"), "gram", "x.left", "x.right", "x.place", "x.a", "x.b", "x.lo", "x.hi"]
-        few = one.join(sizes.where(F.col("n") <= HOT).select("gram"), "gram", "left_semi").select(*fields)
+        parts = folded(runs, done, salt)
+        whole = folded(parts.where("gram IS NOT NULL"), True)
+        done = True
+        out += [x.where("gram IS NULL").select("digest", "start", "end") for x in (parts, whole)]
+        one = whole.where("gram IS NOT NULL").select(*columns)
+        sizes = staged(one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "context-counts")  # of one context nothing is left to compare
+        few = one.join(sizes.where(F.col("n") <= HOT).select("gram"), "gram", "left_semi")
         packed = F.array(F.shiftleft("place", 16).bitwiseOR(F.shiftleft(F.col("a").cast("long"), 8)).bitwiseOR(F.col("b").cast("long")))
         few = few.select("digest", "many", "gram", "left", "right", packed.alias("runs"))
         out.append(few.repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeat_batches(length, gram), "digest binary, start long, end long"))
         many = sizes.where(F.col("n") > HOT).select("gram")
         if many.isEmpty():
             return reduce(DataFrame.union, out)
-        runs = one.join(many, "gram", "left_semi").select(*fields).mapInArrow(_half_batches(length), _PART)
+        runs = one.join(many, "gram", "left_semi").select(*columns[:-1]).mapInArrow(_half_batches(length), _PART)
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
