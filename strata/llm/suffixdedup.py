@@ -21,8 +21,8 @@ that is held twice is a repeat.
 Copies. Of documents with the same text (by 128-bit digest) one is worked on,
 and counts twice. Contexts of a gram in more than ``HOT`` documents are cut to what
 the strings of a run cover. Equal ones (by 128-bit digest) repeat each other in whole, so they
-are done, and one of them stands for all: they are folded in sorted order, first in
-``SALTS`` parts of each context, then what is left of the parts. If more than ``HOT`` different ones
+are done, and one of them stands for all: they are folded in the task that finds them, then in
+sorted order in ``SALTS`` parts of each context, then what is left of the parts. If more than ``HOT`` different ones
 are left, they part by the range of d: the strings of either half of it share
 more than the gram (what lies between the last start and the first end), which is
 the key that they meet by from then on. Halving ends with single strings, of which
@@ -242,25 +242,58 @@ def _repeat_batches(length: int, gram: int):
 _PART = "digest binary, many boolean, gram long, left binary, right binary, place long, a int, b int, lo int, hi int, ctx binary"
 
 
-def _part_columns(rows: list[tuple]) -> pa.RecordBatch:
-    """(digest, many, key, left, right, place, a, b, lo, hi): a run of strings whose d is a to b, with its context cut to them."""
-    kinds = (pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
-    named = [(*x, hashlib.md5(b"%d %d %d " % (x[6], x[7], len(x[3])) + x[3] + x[4], usedforsecurity=False).digest()) for x in rows]
-    columns = zip(*named, strict=True) if named else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PART.split(", ")])
+_FOLDED = _PART + ", start long, end long"
+
+
+def _context(key: int, left: bytes, right: bytes, a: int, b: int) -> bytes:
+    """Digest of what the strings of a run cover."""
+    return hashlib.md5(b"%d %d %d " % (a, b, len(left)) + left + right, usedforsecurity=False).digest()
+
+
+def _folded_rows(kept: list[tuple], runs: list[tuple], length: int) -> pa.RecordBatch:
+    """Runs that stand for their contexts, and apart from them the spans of repeated runs, those of a text that meet as one."""
+    spans: list[list] = []
+    for digest, start, end in sorted((x[0], x[5] - x[7], x[5] - x[6] + length) for x in runs):
+        if spans and spans[-1][0] == digest and start <= spans[-1][2]:
+            spans[-1][2] = max(spans[-1][2], end)
+        else:
+            spans.append([digest, start, end])
+    rows = [(*x, None, None) for x in kept] + [(x[0], *[None] * 10, *x[1:]) for x in spans]
+    kinds = [pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int64(), pa.int64()]
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _FOLDED.split(", ")])
 
 
 def _run_batches(length: int, gram: int):
-    """For mapInArrow over contexts: one row for each run."""
+    """For mapInArrow over contexts: a row for each run, cut to what its strings cover, but one for equal ones met in a task, and spans.
+
+    Runs of copied texts, and all of a context met twice, give their spans; the run
+    that stands for them is ``many``, which from here on tells that its span is out.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple] = {}
         for batch in batches:
-            rows = []
+            spans = []
             for digest, many, key, left, right, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for packed in runs:
                     a, b = (packed >> 8) & 255, packed & 255
-                    rows.append((digest, many, key, left[len(left) - b :], right[: length - a], packed >> 16, a, b, 0, length - gram))
-            yield _part_columns(rows)
+                    before, after = left[len(left) - b :], right[: length - a]
+                    ctx = _context(key, before, after, a, b)
+                    row = (digest, many, key, before, after, packed >> 16, a, b, 0, length - gram, ctx)
+                    first = held.setdefault((key, ctx), row)
+                    if first is not row:
+                        spans.append(row)
+                        if not first[1]:
+                            spans.append(first)
+                            held[key, ctx] = (first[0], True, *first[2:])
+                    elif many:
+                        spans.append(row)
+            full = len(held) >= PART
+            yield _folded_rows(list(held.values()) if full else [], spans, length)
+            if full:
+                held = {}
+        yield _folded_rows(list(held.values()), [], length)
 
     return run
 
@@ -278,27 +311,17 @@ def _half_batches(length: int):
                     if x <= y:
                         shared = b"%d %d %d " % (key, least, most) + left[len(left) - least :] + right[: length - most]
                         own = int.from_bytes(hashlib.md5(shared, usedforsecurity=False).digest()[:8], "little", signed=True)
-                        rows.append((digest, many, own, left[len(left) - y :], right[: length - x], place, x, y, least, most))
-            yield _part_columns(rows)
+                        before, after = left[len(left) - y :], right[: length - x]
+                        rows.append((digest, many, own, before, after, place, x, y, least, most, _context(own, before, after, x, y)))
+            columns = zip(*rows, strict=True) if rows else [()] * 11
+            kinds = (pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), *[pa.int32()] * 4, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _PART.split(", ")])
 
     return run
 
 
-def _fold_batches(length: int, done: bool):
-    """For mapInArrow over runs sorted by gram and ctx: one run of each context, and apart from them spans.
-
-    Runs of a context that another run shares, or that is ``many``, are repeated in
-    whole and give their span; the run that stands for them is ``many``. With
-    ``done``, the spans of runs that are ``many`` are out already.
-    """
-    kinds = [pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.int64(), pa.int64()]
-    names = [*(x.split()[0] for x in _PART.split(", ")), "start", "end"]
-
-    def rows_of(kept: list[tuple], spans: list[tuple]) -> pa.RecordBatch:
-        rows = [(*x, None, None) for x in kept]
-        rows += [(x[0], *[None] * 10, x[5] - x[7], x[5] - x[6] + length) for x in spans]
-        columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+def _fold_batches(length: int):
+    """For mapInArrow over runs sorted by gram and ctx: one run of each context, and the spans of those that another run shares."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # stands for the context at hand
@@ -309,36 +332,33 @@ def _fold_batches(length: int, done: bool):
                     if not held[1]:
                         spans.append(held)
                         held = (held[0], True, *held[2:])
-                    if not (done and row[1]):
+                    if not row[1]:
                         spans.append(row)
                 else:
                     if held is not None:
                         kept.append(held)
                     held = row
-                    if row[1] and not done:
-                        spans.append(row)
-            yield rows_of(kept, spans)
+            yield _folded_rows(kept, spans, length)
         if held is not None:
-            yield rows_of([held], [])
+            yield _folded_rows([held], [], length)
 
     return run
 
 
 def _settled(runs: DataFrame, length: int, gram: int) -> DataFrame:
-    """(digest, start, end) of repeated strings among runs of hot grams."""
+    """(digest, start, end) of repeated strings among folded runs of hot grams."""
     columns = [x.split()[0] for x in _PART.split(", ")]
     salt = F.pmod(F.xxhash64("digest", "place"), F.lit(SALTS))
 
-    def folded(some: DataFrame, done: bool, *keys) -> DataFrame:
+    def folded(some: DataFrame, *keys) -> DataFrame:
         order = some.select(*columns).repartition("gram", "ctx", *keys).sortWithinPartitions("gram", "ctx", "digest", "place")
-        return staged(order.mapInArrow(_fold_batches(length, done), _PART + ", start long, end long"), "contexts-of-runs")
+        return staged(order.mapInArrow(_fold_batches(length), _FOLDED), "contexts-of-runs")
 
-    done = False  # at first, many tells of copies of the text, which have given no span yet
-    out = []
+    runs = staged(runs, "runs")
+    out = [runs.where("gram IS NULL").select("digest", "start", "end")]
     while True:
-        parts = folded(runs, done, salt)
-        whole = folded(parts.where("gram IS NOT NULL"), True)
-        done = True
+        parts = folded(runs.where("gram IS NOT NULL"), salt)
+        whole = folded(parts.where("gram IS NOT NULL"))
         out += [x.where("gram IS NULL").select("digest", "start", "end") for x in (parts, whole)]
         one = whole.where("gram IS NOT NULL").select(*columns)
         sizes = staged(one.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "context-counts")  # of one context nothing is left to compare
@@ -398,7 +418,7 @@ def spans(docs: DataFrame, digest: str = "digest", text: str = "text", length: i
     split = contexts.join(hot, "gram", "left_semi").select("digest", "many", "gram", "left", "right", "runs")
     if hot.isEmpty():
         return found
-    return found.union(_settled(split.mapInArrow(_run_batches(length, gram), _PART), length, gram))
+    return found.union(_settled(split.mapInArrow(_run_batches(length, gram), _FOLDED), length, gram))
 
 
 def dedup(docs: DataFrame, length: int = 200, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
