@@ -8,7 +8,7 @@ stage at hand only. All but the last return the columns of ``documents``.
 - ``language_id`` drops documents in no language of the model, or without text.
 - ``near_dedup`` keeps one document, the one with the smallest id, of every group
   linked by sets of five-word shingles with a similarity of 0.8 or more.
-- ``decontaminate`` drops documents that hold a benchmark item.
+- ``decontaminate`` drops documents that hold a benchmark item of five words or more.
 - ``secret_scan`` replaces secrets in the texts and keeps all documents.
 - ``encode`` returns token ids, with digests of them and of the bytes that they
   decode to.
@@ -27,6 +27,8 @@ from strata.llm import bpe, decontam, langid, neardup, secrets
 from strata.llm.tables import staged, table
 
 SHINGLE, PERCENT = 5, 80
+#: Words of the shortest benchmark item that drops a document, one shingle; a shorter one is a phrase that clean documents hold too.
+MIN_ITEM_WORDS = SHINGLE
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"), min_item_words=MIN_ITEM_WORDS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

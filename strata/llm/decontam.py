@@ -198,7 +198,7 @@ def overlap(words: np.ndarray, item: np.ndarray, offsets: list[int], share: floa
 
 
 def _verify_batches(share: float):
-    """For mapInArrow over (doc_id, key, item_id, words, item_words, offsets)."""
+    """For mapInArrow over (doc_id, key, item, words, item_words, offsets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,27 +207,31 @@ def _verify_batches(share: float):
                 item = item.values.to_numpy(zero_copy_only=False)
                 same.append(overlap(words.values.to_numpy(zero_copy_only=False), item, offsets.as_py(), share))
                 size.append(len(item))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(same, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "key", "item_id", "n_matched", "n_item_words"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(same, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "key", "item", "n_matched", "n_item_words"])
 
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, least: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, least: int = 20, id_col: str = "doc_id", text_col: str = "text", min_item_words: int = 1) -> DataFrame:
     """Documents that hold a benchmark item, with up to ``1 - share`` of its words replaced.
 
     Words are runs of letters and digits, lower-cased. A document leaks an item
     if ``share`` of the item's words are found around a hit, or ``least`` words
-    of a longer item. Returns one row per leak: ``doc_id``, ``key`` (a hash of
-    the text), ``item_id``, ``n_matched``, ``n_item_words``. Empty or null texts,
-    and items without words, leak nothing; repeated rows leak alike and give one
-    row; items with a null id are compared as well. Further columns aren't read;
-    an empty table on either side gives no rows.
+    of a longer item; items of fewer than ``min_item_words`` words aren't looked
+    for. Returns one row per leak: ``doc_id``, ``key`` (a hash of the text),
+    ``item_id``, ``n_matched``, ``n_item_words``. Items with the same words are
+    searched for and compared once, and each of their ids gets its row. Empty or
+    null texts, and items without words, leak nothing; repeated rows leak alike
+    and give one row; items with a null id are compared as well. Further columns
+    aren't read; an empty table on either side gives no rows.
     """
     spark = docs.sparkSession
     small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text"))
-    items = items.mapInArrow(_item_batches, "item_id long, item_words array<long>").where("size(item_words) > 0")
-    items = staged(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "item_words"), "items")
+    items = items.mapInArrow(_item_batches, "item_id long, item_words array<long>").where(F.size("item_words") >= max(1, min_item_words))
+    named = staged(items.distinct(), "named-items")
+    items = staged(named.select("item_words").distinct().select(F.monotonically_increasing_id().alias("item"), "item_words"), "items")
+    names = staged(named.join(items, "item_words").select("item", "item_id"), "names")
     short = [r.n for r in items.where(F.size("item_words") <= LISTED).select(F.size("item_words").alias("n")).distinct().orderBy("n").limit(LISTED).collect()]
     shapes = _shapes(short, share)
     seeds = staged(items.select("item", "item_words").mapInArrow(_seed_batches(shapes), "item long, at int, seed long"), "seeds")
@@ -247,16 +251,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, least: int
     offsets = hits.join(seeds, "seed").select("row", "item", (F.col("doc_at") - F.col("at")).alias("offset")).distinct()
     pairs = offsets.groupBy("row", "item").agg(F.collect_list("offset").alias("offsets"))  # of one document and one item
     both = pairs.join(seen.select("row", "doc_id", "key", "words"), "row").join(items, "item")
-    both = both.select("doc_id", "key", "item_id", "words", "item_words", "offsets")
-    found = both.mapInArrow(_verify_batches(share), "doc_id long, key long, item_id long, n_matched long, n_item_words long")
+    both = both.select("doc_id", "key", "item", "words", "item_words", "offsets")
+    found = both.mapInArrow(_verify_batches(share), "doc_id long, key long, item long, n_matched long, n_item_words long")
     enough = (F.col("n_matched") >= F.lit(share) * F.col("n_item_words")) | (F.col("n_matched") >= least)
-    return found.where(enough).distinct()
+    found = found.where(enough).distinct().join(names, "item")
+    return found.select("doc_id", "key", "item_id", "n_matched", "n_item_words")
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that leak an item; all columns as they are."""
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_item_words: int = 1) -> DataFrame:
+    """``docs`` without the documents that leak an item; all columns as they are.
+
+    Items of fewer than ``min_item_words`` words drop nothing: raise it where the
+    benchmark has items of a word or a common phrase, which clean documents hold too.
+    """
     bad_id, bad_key = fresh(docs, "_bad_id"), fresh(docs, "_bad_key")
-    bad = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias(bad_id), F.col("key").alias(bad_key)).distinct()
+    bad = leaks(docs, benchmark, id_col=id_col, text_col=text_col, min_item_words=min_item_words).select(F.col("doc_id").alias(bad_id), F.col("key").alias(bad_key)).distinct()
     bad = staged(bad, "leaks")
     same = docs[id_col].cast("long").eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_of(text_col)) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

@@ -176,6 +176,16 @@ def test_ties_and_a_very_long_text(spark):
     assert sorted(map(tuple, got)) == [(d, i, 13, 13) for d in (1, 2) for i in (1, 2)]
 
 
+def test_short_items_are_reported_and_drop_nothing(spark):
+    bench = spark.createDataFrame([(1, "fox"), (2, "in any case"), (3, "five words make one shingle"), (None, "Fox!")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a fox in any case"), (2, "here five words make one shingle")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    assert got == {(1, 1), (1, 2), (1, None), (2, 3)}
+    assert [r.doc_id for r in decontam.without_leaks(docs, bench, min_item_words=5).collect()] == [1]
+    assert decontam.without_leaks(docs, bench).count() == 0
+    assert {r.item_id for r in decontam.leaks(docs, bench, min_item_words=3).collect()} == {2, 3}
+
+
 def test_masks_hit_every_longer_item_that_keeps_its_share():
     """The fewest replaced words that no mask survives are more than a fifth, for every length above the listed ones."""
     masks = [int(m, 2) for m in decontam.MASKS]
