@@ -25,6 +25,8 @@ from strata.llm.tables import small_batches, staged
 
 #: A label group is split into parts of this share of all keys at most.
 PARTS = 256
+#: Different numbers of labels among the rules, of which each url gets a key.
+DEPTHS = 254
 
 
 def host_and_path(url):
@@ -74,7 +76,8 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", id_col:
     ``rules``: verdict, host, path. A rule fits its host and all subdomains if
     the url's path starts with its own. The longest wins: most characters in
     host and path together, then the longer host; of equal rules ``block``
-    before ``allow``. Rules with a null are left out.
+    before ``allow``. Rules with a null are left out; rules with more than
+    ``DEPTHS`` different numbers of labels are refused.
 
     Returns one row per page: ``id_col``, ``host``, ``path``, ``rule`` (host and
     path of the winner, or null) and ``verdict`` (the rule's, else
@@ -91,7 +94,9 @@ def judge(pages: DataFrame, rules: DataFrame, otherwise: str = "allow", id_col:
     rules = rules.select("verdict", "path", _labels(F.col("host")).alias("l"), F.concat("host", "path").alias("rule"))
     rules = staged(rules.select("verdict", "path", F.concat_ws(".", "l").alias("labels"), F.size("l").alias("depth"), "rule"), "rules")
 
-    depths = [r.depth for r in rules.select("depth").distinct().orderBy("depth").limit(254).collect()]  # a host has 253 characters at most
+    depths = [r.depth for r in rules.select("depth").distinct().orderBy("depth").limit(DEPTHS + 1).collect()]
+    if len(depths) > DEPTHS:
+        raise ValueError(f"rules with over {DEPTHS} different numbers of labels; a host name has 127 labels at most")
     reversed_ = _labels(F.col("host"))
     keys = urls.where("host <> ''").select("row", "path", reversed_.alias("l"))
     known = F.array(*map(F.lit, depths)) if depths else F.array().cast("array<int>")

@@ -53,6 +53,15 @@ def test_random_nested_rules_and_hot_hosts(spark, seed, monkeypatch):
     assert got == sorted([(i, *brute(u, rules)) for i, u in enumerate(urls)], key=str)
 
 
+def test_too_many_numbers_of_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(urlrules, "DEPTHS", 2)
+    pages = spark.createDataFrame([(1, "http://a.b.c/")], "page_id long, url string")
+    rules = [("block", "c", "/"), ("allow", "b.c", "/")]
+    assert [r.verdict for r in urlrules.judge(pages, urlrules.rule_table(pages, rules)).collect()] == ["allow"]
+    with pytest.raises(ValueError, match="numbers of labels"):
+        urlrules.judge(pages, urlrules.rule_table(pages, [*rules, ("allow", "a.b.c", "/")]))
+
+
 def test_sql_says_the_same():
     con = duckdb.connect()
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
