@@ -120,6 +120,7 @@ def page_reader(
             total_key=TOTAL_KEY,
             multi_line=not json_lines,
             whole=RECORD_COLUMN,
+            rebalance=True,
         )
 
     return read
@@ -152,12 +153,14 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             "raw_races",
             reader("races", RACE_RECORD, ["RaceTable", "Races"]),
             partition_column="season",
+            rebalanced=True,
             inventory=lister("races", ["RaceTable", "Races"]),
         ),
         SourceSpec(
             "raw_drivers",
             reader("drivers", DRIVER_RECORD, ["DriverTable", "Drivers"]),
             partition_column="season",
+            rebalanced=True,
             inventory=lister("drivers", ["DriverTable", "Drivers"]),
         ),
         SourceSpec(
@@ -165,6 +168,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             reader("results", RESULTS_RACE, ["RaceTable", "Races"]),
             shape=results_shape("Results"),
             partition_column="season",
+            rebalanced=True,
             inventory=lister("results", ["RaceTable", "Races"]),
         ),
         SourceSpec(
@@ -172,6 +176,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             reader("sprint", SPRINT_RACE, ["RaceTable", "Races"]),
             shape=results_shape("SprintResults"),
             partition_column="season",
+            rebalanced=True,
             inventory=lister("sprint", ["RaceTable", "Races"]),
         ),
     )

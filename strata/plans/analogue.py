@@ -16,6 +16,8 @@ Mapping (the same on the Spark side and in the DuckDB oracle):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -335,6 +337,14 @@ def nested_order_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped.select(F.to_json(doc).alias("json"))
 
 
+def _block_of(df: DataFrame, order_col: str, blocks: int) -> Callable[[str], F.Column]:
+    """Numbers of at most ``blocks`` equal widths of a numeric column's values (one small global aggregate sizes them)."""
+    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    lo = int(bounds["lo"] or 0)
+    width = max(1, -(-(int(bounds["hi"] or 0) - lo + 1) // blocks))
+    return lambda c: F.floor((F.col(c) - F.lit(lo)) / F.lit(width))
+
+
 def positions_within(
     df: DataFrame,
     keys: list[str],
@@ -354,11 +364,7 @@ def positions_within(
     """
     from pyspark.sql import Window
 
-    bounds = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo = int(bounds["lo"] or 0)
-    width = max(1, -(-(int(bounds["hi"] or 0) - lo + 1) // blocks_per_key))
-    blk = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width))
-    with_blk = df.withColumn("_blk", blk)
+    with_blk = df.withColumn("_blk", _block_of(df, order_col, blocks_per_key)(order_col))
     counts = with_blk.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
@@ -406,7 +412,7 @@ def land_order_pages(pages: DataFrame, root: str) -> str:
 
 
 def race_result_pages(
-    spark: SparkSession, sf_dir: str, linestatus: str, array_key: str, page_size: int = 30
+    spark: SparkSession, sf_dir: str, linestatus: str, array_key: str, page_size: int = 30, blocks: int = 4096
 ) -> DataFrame:
     """API pages of race records nesting result records: ``season, json``.
 
@@ -414,32 +420,67 @@ def race_result_pages(
     race record per (order, line number), so an order can span several race
     records and pages. Pages hold ``page_size`` race records, numbered per
     season; ``total`` is the season's count of race records.
+
+    Lines move as few raw columns, once to their order and once to their block of order
+    keys, where they are nested, numbered and put into pages; only pages that lie
+    across blocks are shuffled again. Texts are made from the pages at the end.
     """
-    parents = nested_results(spark, sf_dir, array_key, linestatus)
-    placed = positions_within(parents, ["parent_season"], "o_orderkey", then_by=("l_linenumber",))
-    paged = placed.withColumn("offset", (F.floor(F.col("position") / page_size) * page_size).cast("long"))
-    race = F.struct(
-        F.col("parent_season").alias("season"),
-        F.col("parent_round").alias("round"),
-        F.col("parent_race").alias("raceName"),
-        F.col(array_key),
-    )
-    pages = paged.groupBy("parent_season", "offset").agg(F.collect_list(race).alias("Races"))
-    totals = parents.groupBy("parent_season").agg(F.count(F.lit(1)).alias("total"))
-    pages = pages.join(totals, "parent_season")
+    from pyspark.sql import Window
+
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == linestatus)
+    block = _block_of(lines, "l_orderkey", blocks)
+    # what ``result_record`` reads of a line beside its parent's keys, as narrow as it can be
+    fields = ["l_suppkey", "l_quantity", "l_returnflag", "o_custkey", "l_partkey", "l_shipdate"]
+    narrow = {"l_quantity": F.col("l_quantity").cast("bigint"), "l_partkey": F.col("l_partkey") % 20, "l_shipdate": F.trunc("l_shipdate", "year")}
+    lines = lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag", *[c.alias(n) for n, c in narrow.items()])
+    orders = table(spark, sf_dir, "orders")
+    raw = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    parent = ["o_orderkey", "l_linenumber", "o_orderdate"]
+    keys = [season_of("o_orderdate").alias("season"), block("o_orderkey").alias("_blk")]
+    rows = raw.select(*keys, *parent, *fields).where("season IS NOT NULL AND _blk IS NOT NULL").repartition("season", "_blk")
+    nested = rows.groupBy("season", "_blk", *parent).agg(F.collect_list(F.struct(*fields)).alias("_lines"))
+
+    # counted with their lines (each has some), so that both uses of ``nested`` read one shuffle
+    counts = nested.groupBy("season", "_blk").agg(F.count_if(F.size("_lines") > 0).alias("_n"))
+    season = Window.partitionBy("season")
+    before = F.sum("_n").over(season.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("season", "_blk", F.coalesce(before, F.lit(0)).alias("_start"), F.sum("_n").over(season).alias("total"))
+    rank = F.row_number().over(Window.partitionBy("season", "_blk").orderBy(*parent))
+    placed = nested.withColumn("_r", rank).join(starts, ["season", "_blk"])
+    offset = (F.floor((F.col("_start") + F.col("_r") - 1) / page_size) * page_size).cast("long")
+    parts = placed.groupBy("season", "_blk", offset.alias("offset"), "total").agg(F.collect_list(F.struct(*parent, "_lines")).alias("_races"))
+    whole = F.size("_races") == F.least(F.lit(page_size), F.col("total") - F.col("offset"))
+    across = parts.where(~whole).groupBy("season", "offset", "total").agg(F.flatten(F.collect_list("_races")).alias("_races"))
+    pages = parts.where(whole).select("season", "offset", "total", "_races").unionByName(across)
+
+    def race(r: F.Column) -> F.Column:
+        of_parent = {"l_orderkey": r["o_orderkey"], "l_linenumber": r["l_linenumber"], "l_linestatus": F.lit(linestatus)}
+        results = F.transform(r["_lines"], lambda x: result_record(lambda n: of_parent[n] if n in of_parent else x[n]))
+        return F.struct(
+            _s(season_of(r["o_orderdate"])).alias("season"),
+            _s(F.dayofyear(r["o_orderdate"])).alias("round"),
+            _s(r["o_orderkey"]).alias("raceName"),
+            results.alias(array_key),
+        )
+
     doc = F.struct(
         F.struct(
             _s("total").alias("total"),
             _s("offset").alias("offset"),
-            F.struct(F.col("Races").alias("Races")).alias("RaceTable"),
+            F.struct(F.transform("_races", race).alias("Races")).alias("RaceTable"),
         ).alias("MRData")
     )
-    return pages.select(F.col("parent_season").alias("season"), F.to_json(doc).alias("json"))
+    return pages.select(_s("season").alias("season"), F.to_json(doc).alias("json"))
+
+
+#: A gzipped file is read by one task; pages of 30 records take some 10 kB of text each.
+PAGES_PER_FILE = 10_000
 
 
 def land_text_pages(pages: DataFrame, root: str) -> str:
-    """Write ``season, json`` pages as JSON lines under ``root/season=<k>/``."""
-    pages.write.mode("errorifexists").partitionBy("season").text(root)
+    """Write ``season, json`` pages as gzipped JSON lines under ``root/season=<k>/``, in files of bounded size."""
+    writer = pages.write.mode("errorifexists").option("compression", "gzip").option("maxRecordsPerFile", PAGES_PER_FILE)
+    writer.partitionBy("season").text(root)
     return root
 
 

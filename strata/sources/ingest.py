@@ -70,7 +70,7 @@ def load_source(
     if partitioned:
         wanted = list(keys) if keys is not None else list(dataset.partitions or ())
         check_landing(spark, spec, wanted)
-        return table.load(bronze_frame(spark, dataset, spec, wanted), wanted)
+        return table.load(bronze_frame(spark, dataset, spec, wanted), wanted, rebalanced=spec.rebalanced)
     check_landing(spark, spec, None)
     return table.load(bronze_frame(spark, dataset, spec, None))
 

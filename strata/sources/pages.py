@@ -110,6 +110,7 @@ def read_pages(
     total_key: str = "total",
     multi_line: bool = True,
     whole: str | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """All records of the landed pages of the given keys, one row per record.
 
@@ -122,6 +123,9 @@ def read_pages(
     with the schema that all loads' records have together (``growth.read_grown``).
     The declared fields are taken from it, in the same pass; a declared field of
     another kind than the record's (a struct for a number, say) fails the read.
+
+    ``rebalance`` deals the records out to tasks by key, for a load that writes them by
+    key: each moves once, as it landed, before its fields are read and repeated beside it.
     """
     schema = envelope_schema(container_path, T.VariantType() if whole else record, envelope_key, total_key)
     pages = _read_envelopes(spark, endpoint_root, schema, key_column, keys, multi_line)
@@ -133,6 +137,8 @@ def read_pages(
         F.col(OFFSET_DIR).alias(PAGE_OFFSET),
         F.explode(records).alias("_r"),
     )
+    if rebalance:
+        exploded = exploded.hint("rebalance", PAGE_KEY)
     if whole:
         declared = F.variant_get(F.col("_r"), "$", type_text(record))
         exploded = exploded.select(PAGE_KEY, PAGE_OFFSET, declared.alias("_d"), F.col("_r").alias(whole))

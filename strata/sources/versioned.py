@@ -176,7 +176,8 @@ class SliceTable:
     # -------------------------------------------------------------- writes
 
     def _write(self, df: DataFrame, batch: Column) -> None:
-        df.withColumn(BATCH, batch).write.mode("append").partitionBy(*self._parts()).parquet(self.data_path)
+        writer = df.withColumn(BATCH, batch).write.mode("append").option("compression", "zstd")  # whole records repeat much
+        writer.partitionBy(*self._parts()).parquet(self.data_path)
 
     def _written(self, batch: Column, whole: bool) -> DataFrame:
         """(slice, batch_id, row_count, record_schema) of batches, from their files (``whole``: which hold whole records)."""
@@ -205,11 +206,14 @@ class SliceTable:
         """Version 0 of a new table, without slices (nothing if it exists)."""
         return self._append(0, [(None, "", "CREATE", 0, None, self._now())]) if self.version() < 0 else self.version()
 
-    def stage(self, df: DataFrame, keys: Sequence[str] | None = None, files_per_slice: int | None = None) -> StagedBatch:
+    def stage(
+        self, df: DataFrame, keys: Sequence[str] | None = None, files_per_slice: int | None = None, rebalanced: bool = False
+    ) -> StagedBatch:
         """Write ``df`` as a new batch that no reader sees until :meth:`commit`.
 
         Rows are rebalanced on the slice: a large slice is written by as many tasks as
-        its size asks for, small ones share a task. ``files_per_slice`` fixes the number.
+        its size asks for, small ones share a task. ``files_per_slice`` fixes the number;
+        ``rebalanced`` says that ``df`` has been rebalanced on the slice and writes it as it is.
         """
         token = uuid.uuid4().hex
         if self.slice_column is None:
@@ -219,7 +223,7 @@ class SliceTable:
         whole = self._whole(df)
         if files_per_slice:
             df = self._spread(df, files_per_slice)
-        elif self.slice_column:
+        elif self.slice_column and not rebalanced:
             df = df.hint("rebalance", self.slice_column)
         self._write(df, F.lit(token))
         written = self._written(F.col(BATCH) == token, whole).collect()  # one for each slice
@@ -251,13 +255,14 @@ class SliceTable:
         operation: str = "WRITE",
         replace_all: bool = False,
         files_per_slice: int | None = None,
+        rebalanced: bool = False,
     ) -> int:
         """Replace the slices ``keys`` with the rows of ``df``; returns the new version.
 
         ``df`` carries the slice column (see :meth:`stamp`); see :meth:`stage`
         and :meth:`commit`.
         """
-        return self.commit(self.stage(df, keys, files_per_slice), operation, replace_all)
+        return self.commit(self.stage(df, keys, files_per_slice, rebalanced), operation, replace_all)
 
     def _spread(self, df: DataFrame, files_per_slice: int) -> DataFrame:
         hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]

@@ -33,7 +33,8 @@ class SourceSpec:
     all their fields); ``partition_column`` names the slice column when the
     dataset is partitioned (None: the whole table is replaced on each load).
     ``inventory`` lists the landed pages of the keys (``pages.page_inventory``);
-    a load with one accepts a key only if its pages are complete.
+    a load with one accepts a key only if its pages are complete. ``rebalanced``:
+    the reader deals its rows out to tasks by key, the load needn't do it again.
     """
 
     name: str
@@ -42,6 +43,7 @@ class SourceSpec:
     partition_column: str | None = None
     inventory: Reader | None = None
     page_size: int = 30
+    rebalanced: bool = False
 
 
 @dataclass(frozen=True)
