@@ -86,13 +86,17 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def exact_distinct(df: DataFrame, keys: Sequence[str], id_col: str, alias: str) -> DataFrame:
-    """Exact number of distinct ids per group by bitmaps that are combined map-side.
+    """Exact number of distinct ids per group by bitmaps, one in memory at a time.
 
     ``id_col`` holds integers from 0 on (negative ones too), NULLs aren't counted. A bitmap covers 32,768 ids
-    in 4 kB, so ids should be dense; each (group, range of ids) is one row of the
-    shuffle, whatever the number of input rows, and no ids are shuffled.
+    in 4 kB, however few of them a group has. So none is shuffled or sorted: repeated ids are
+    dropped map-side, the others are dealt to tasks by (group, range of ids) as narrow rows, and each
+    range's bitmap is built and counted there.
     """
     some = df.where(F.col(id_col).isNotNull())
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col(id_col))).alias("_bits")
-    ranges = some.groupBy(*keys, F.bitmap_bucket_number(F.col(id_col)).alias("_range")).agg(bits)
+    held = some.select(
+        *keys, F.bitmap_bucket_number(F.col(id_col)).alias("_range"), F.bitmap_bit_position(F.col(id_col)).alias("_bit")
+    )
+    dealt = held.distinct().repartition(*keys, "_range")
+    ranges = dealt.groupBy(*keys, "_range").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
     return ranges.groupBy(*keys).agg(F.sum(F.bitmap_count("_bits")).alias(alias))
