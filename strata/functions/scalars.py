@@ -1,11 +1,12 @@
 """Scalar column helpers (casts, null handling, keys, struct access).
 
-All helpers return built-in Column expressions, so they stay inside
-whole-stage codegen; none of them is a Python UDF.
+All helpers return built-in Column expressions; none of them is a Python UDF.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,19 +39,33 @@ def _bare(c: ColumnOrName) -> Column:
 def _or_fail(source: ColumnOrName, value: Column, kind: str) -> Column:
     text = _col(source).cast("string")
     message = F.concat(F.lit(f"not a {kind}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message)))
+
+
+# Plain numbers are most of the texts: they are cast as they stand. Other forms are read
+# inside a lambda, where a text is stripped once, and only if it could be a number.
+_PLAIN = {"int": r"^[+-]?\d{1,9}$", "bigint": r"^[+-]?\d{1,18}$", "double": r"^[+-]?\d{1,15}(?:\.\d{1,15})?$"}
+
+
+def _plain_or(c: ColumnOrName, kind: str, maybe: str, other: Callable[[Column], Column]) -> Column:
+    text = _col(c).cast("string")
+    read = F.transform(F.transform(F.array(text), _bare), other).getItem(0)
+    return F.when(text.rlike(_PLAIN[kind]), text.try_cast(kind)).when(text.rlike(maybe), read)
 
 
 def lenient_int(c: ColumnOrName, integral: str = "int") -> Column:
     """Text to integer, NULL when the text is not a number or overflows."""
-    text = _bare(c)
-    digits = F.when(text.rlike(_NUMBER), F.regexp_replace(text, "_", ""))
-    whole = digits.try_cast(integral)
-    rounded = F.round(digits.try_cast("decimal(38,18)")).try_cast(integral)
-    other = F.when(text.rlike(_HEX), F.conv(F.regexp_extract(text, _HEX, 1), 16, 10)).when(
-        text.rlike(_BITS), F.conv(F.regexp_extract(text, _BITS, 1), 2, 10)
-    )
-    return F.coalesce(whole, rounded, other.try_cast(integral))
+
+    def other(text: Column) -> Column:
+        digits = F.when(text.rlike(_NUMBER), F.regexp_replace(text, "_", ""))
+        whole = digits.try_cast(integral)
+        rounded = F.round(digits.try_cast("decimal(38,18)")).try_cast(integral)
+        based = F.when(text.rlike(_HEX), F.conv(F.regexp_extract(text, _HEX, 1), 16, 10)).when(
+            text.rlike(_BITS), F.conv(F.regexp_extract(text, _BITS, 1), 2, 10)
+        )
+        return F.coalesce(whole, rounded, based.try_cast(integral))
+
+    return _plain_or(c, integral, "[0-9]", other)
 
 
 def lenient_bigint(c: ColumnOrName) -> Column:
@@ -59,8 +74,11 @@ def lenient_bigint(c: ColumnOrName) -> Column:
 
 def lenient_double(c: ColumnOrName) -> Column:
     """Text to double, NULL when the text is not a number."""
-    text = _bare(c)
-    return F.when(text.rlike(_NUMBER) | text.rlike(_WORDS), F.regexp_replace(text, "_", "")).try_cast("double")
+
+    def other(text: Column) -> Column:
+        return F.when(text.rlike(_NUMBER) | text.rlike(_WORDS), F.regexp_replace(text, "_", "")).try_cast("double")
+
+    return _plain_or(c, "double", "[0-9nN]", other)
 
 
 def lenient_date(c: ColumnOrName) -> Column:

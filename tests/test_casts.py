@@ -37,3 +37,33 @@ def test_strict_casts_fail(spark, cast, good, bad):
     assert df.filter(F.col("x").isNotNull()).count() == 1
     with pytest.raises(Exception, match="not a"):
         spark.createDataFrame([(bad,)], "t string").select(cast("t").alias("x")).collect()
+
+
+def test_a_strict_value_is_read_once_and_rare_forms_apart(spark):
+    """Plans of casts stay small: one of ten columns was compiled to more than the JVM compiles, and ran interpreted."""
+    df = spark.createDataFrame([("1",)], "t string").select(scalars.strict_int("t").alias("x"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("raise_error") == 1 and plan.count("RLIKE") <= 6, plan
+
+
+@pytest.mark.parametrize("text", ["0", "-0", "+7", "007", "123456789", "2147483647", "2147483648", "-2147483649", "999999999999999999", "9223372036854775808",
+                                  " 12\t", "12\n", "\x0012", "12\x7f", "1_0", "1__0", "1.5", "-2.5", ".5", "5.", "1e3", "0x1F", "0b101", "5D", "1f", "", " ", "x", "R",
+                                  "inf", "-Infinity", "nan", "١٢", "1 2", "--1", None])
+def test_texts_are_read_as_by_the_general_rule(spark, text):
+    """Plain numbers take a short way; it gives what the rule for all texts gives."""
+    bare = scalars._bare("t")
+    number, stripped = bare.rlike(scalars._NUMBER), F.regexp_replace(bare, "_", "")
+
+    def whole(kind):
+        digits = F.when(number, stripped)
+        hexed = F.when(bare.rlike(scalars._HEX), F.conv(F.regexp_extract(bare, scalars._HEX, 1), 16, 10))
+        other = F.when(bare.rlike(scalars._HEX), hexed).when(bare.rlike(scalars._BITS), F.conv(F.regexp_extract(bare, scalars._BITS, 1), 2, 10))
+        return F.coalesce(digits.try_cast(kind), F.round(digits.try_cast("decimal(38,18)")).try_cast(kind), other.try_cast(kind))
+
+    real = F.when(number | bare.rlike(scalars._WORDS), stripped).try_cast("double")
+    df = spark.createDataFrame([(text,)], "t string")
+    row = df.select(
+        F.struct(scalars.lenient_int("t"), scalars.lenient_bigint("t"), scalars.lenient_double("t").cast("string")).alias("got"),
+        F.struct(whole("int"), whole("bigint"), real.cast("string")).alias("want"),
+    ).first()
+    assert tuple(row.got) == tuple(row.want)
