@@ -422,8 +422,8 @@ def race_result_pages(
     season; ``total`` is the season's count of race records.
 
     Lines move as few raw columns, once to their order and once to their block of order
-    keys, where they are nested, numbered and put into pages; only pages that lie
-    across blocks are shuffled again. Texts are made from the pages at the end.
+    keys, where they are numbered, made into text and put into pages; only the lines of
+    pages that lie across blocks are shuffled again.
     """
     from pyspark.sql import Window
 
@@ -438,39 +438,38 @@ def race_result_pages(
     parent = ["o_orderkey", "l_linenumber", "o_orderdate"]
     keys = [season_of("o_orderdate").alias("season"), block("o_orderkey").alias("_blk")]
     rows = raw.select(*keys, *parent, *fields).where("season IS NOT NULL AND _blk IS NOT NULL").repartition("season", "_blk")
-    nested = rows.groupBy("season", "_blk", *parent).agg(F.collect_list(F.struct(*fields)).alias("_lines"))
 
-    # counted with their lines (each has some), so that both uses of ``nested`` read one shuffle
-    counts = nested.groupBy("season", "_blk").agg(F.count_if(F.size("_lines") > 0).alias("_n"))
+    # races counted with a hash of their lines (each has some), so that all uses of ``rows`` read one shuffle
+    races = rows.groupBy("season", "_blk", *parent).agg(F.bit_xor(F.hash(*fields)).alias("_h"))
+    counts = races.groupBy("season", "_blk").agg(F.count("_h").alias("_n"))
     season = Window.partitionBy("season")
     before = F.sum("_n").over(season.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("season", "_blk", F.coalesce(before, F.lit(0)).alias("_start"), F.sum("_n").over(season).alias("total"))
-    rank = F.row_number().over(Window.partitionBy("season", "_blk").orderBy(*parent))
-    placed = nested.withColumn("_r", rank).join(starts, ["season", "_blk"])
-    offset = (F.floor((F.col("_start") + F.col("_r") - 1) / page_size) * page_size).cast("long")
-    parts = placed.groupBy("season", "_blk", offset.alias("offset"), "total").agg(F.collect_list(F.struct(*parent, "_lines")).alias("_races"))
-    whole = F.size("_races") == F.least(F.lit(page_size), F.col("total") - F.col("offset"))
-    across = parts.where(~whole).groupBy("season", "offset", "total").agg(F.flatten(F.collect_list("_races")).alias("_races"))
-    pages = parts.where(whole).select("season", "offset", "total", "_races").unionByName(across)
-
-    def race(r: F.Column) -> F.Column:
-        of_parent = {"l_orderkey": r["o_orderkey"], "l_linenumber": r["l_linenumber"], "l_linestatus": F.lit(linestatus)}
-        results = F.transform(r["_lines"], lambda x: result_record(lambda n: of_parent[n] if n in of_parent else x[n]))
-        return F.struct(
-            _s(season_of(r["o_orderdate"])).alias("season"),
-            _s(F.dayofyear(r["o_orderdate"])).alias("round"),
-            _s(r["o_orderkey"]).alias("raceName"),
-            results.alias(array_key),
-        )
-
-    doc = F.struct(
-        F.struct(
-            _s("total").alias("total"),
-            _s("offset").alias("offset"),
-            F.struct(F.transform("_races", race).alias("Races")).alias("RaceTable"),
-        ).alias("MRData")
-    )
-    return pages.select(_s("season").alias("season"), F.to_json(doc).alias("json"))
+    starts = counts.select("season", "_blk", "_n", F.coalesce(before, F.lit(0)).alias("_start"), F.sum("_n").over(season).alias("total"))
+    by_parent = Window.partitionBy("season", "_blk").orderBy(*parent)
+    numbers = {"_race": F.dense_rank(), "_line": F.row_number(), "_first": F.rank()}  # a race's first line is its own rank
+    numbered = rows.select("*", *[c.over(by_parent).alias(n) for n, c in numbers.items()]).join(starts, ["season", "_blk"])
+    position = F.col("_start") + F.col("_race") - 1
+    placed = numbered.withColumn("_at", position % page_size).withColumn("offset", (position - position % page_size).cast("long"))
+    whole = (F.col("offset") >= F.col("_start")) & (F.least(F.col("offset") + page_size, "total") <= F.col("_start") + F.col("_n"))
+
+    # a page's text is that of its lines in order, a race's first one after the end of the race
+    # before and its own race's keys (numbers, nothing to escape)
+    of_parent = {"l_orderkey": F.col("o_orderkey"), "l_linestatus": F.lit(linestatus)}
+    record = result_record(lambda n: of_parent.get(n, F.col(n)))
+    race = {"season": season_of("o_orderdate"), "round": F.dayofyear("o_orderdate"), "raceName": F.col("o_orderkey")}
+    named = [x for n, value in race.items() for x in (F.lit(f'"{n}":"'), _s(value), F.lit('",'))]
+    opening = F.concat(F.when(F.col("_at") == 0, F.lit("{")).otherwise(F.lit("]},{")), *named, F.lit(f'"{array_key}":['))
+    text = F.concat(F.when(F.col("_line") == F.col("_first"), opening).otherwise(F.lit(",")), F.to_json(record))
+
+    def paged(part: DataFrame, *within: str) -> DataFrame:
+        pieces = part.select("season", "_blk", "offset", "total", F.struct("_blk", "_line", text.alias("text")).alias("_piece"))
+        pages = pieces.groupBy("season", *within, "offset", "total").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
+        numbers = [x for n in ("total", "offset") for x in (F.lit(f'"{n}":"'), _s(n), F.lit('",'))]
+        races = F.array_join(F.col("_pieces.text"), "")
+        page = F.concat(F.lit('{"MRData":{'), *numbers, F.lit('"RaceTable":{"Races":['), races, F.lit("]}]}}}"))
+        return pages.select(_s("season").alias("season"), page.alias("json"))
+
+    return paged(placed.where(whole), "_blk").unionByName(paged(placed.where(~whole)))
 
 
 #: A gzipped file is read by one task; pages of 30 records take some 10 kB of text each.

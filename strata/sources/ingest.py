@@ -44,14 +44,18 @@ def check_landing(spark: SparkSession, spec: SourceSpec, keys: Sequence[str] | N
     """Raise ``IncompleteLanding`` unless every key has a complete landing."""
     if spec.inventory is None:
         return
-    pages = spec.inventory(spark, list(keys) if keys is not None else None)
-    problems = landing_problems(pages, spec.page_size)
-    if keys is not None:
-        wanted = spark.createDataFrame([(str(k),) for k in keys], "key string")
-        absent = wanted.join(pages.select("key").distinct(), "key", "left_anti")
-        nothing = absent.select("key", F.lit(None).cast("long").alias("offset"), F.lit("no page landed").alias("reason"))
-        problems = problems.unionByName(nothing)
-    found = problems.orderBy("key", "offset", "reason").limit(20).collect()
+    # a few numbers of each page, kept: the pages are parsed once, however often they are looked at
+    pages = spec.inventory(spark, list(keys) if keys is not None else None).persist()
+    try:
+        problems = landing_problems(pages, spec.page_size)
+        if keys is not None:
+            wanted = spark.createDataFrame([(str(k),) for k in keys], "key string")
+            absent = wanted.join(pages.select("key").distinct(), "key", "left_anti")
+            nothing = absent.select("key", F.lit(None).cast("long").alias("offset"), F.lit("no page landed").alias("reason"))
+            problems = problems.unionByName(nothing)
+        found = problems.orderBy("key", "offset", "reason").limit(20).collect()
+    finally:
+        pages.unpersist()
     if found:
         listed = "; ".join(f"{r.key} offset {r.offset}: {r.reason}" for r in found)
         raise IncompleteLanding(f"{spec.name}: {listed}")

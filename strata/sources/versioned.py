@@ -177,6 +177,8 @@ class SliceTable:
 
     def _write(self, df: DataFrame, batch: Column) -> None:
         writer = df.withColumn(BATCH, batch).write.mode("append").option("compression", "zstd")  # whole records repeat much
+        # they are written and read back in one piece: their fields in columns of their own would cost both ways
+        writer = writer.option("spark.sql.variant.inferShreddingSchema", "false")
         writer.partitionBy(*self._parts()).parquet(self.data_path)
 
     def _written(self, batch: Column, whole: bool) -> DataFrame:

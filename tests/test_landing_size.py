@@ -6,11 +6,15 @@ import io
 import json
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from strata.datasets import f1
 from strata.plans import analogue as A
 from strata.sources import ingest
+from strata.sources.versioned import SliceTable
+from strata.specs import SourceSpec
 
 LINES = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
 ORDERS = "o_orderkey long, o_custkey long, o_orderdate timestamp"
@@ -95,3 +99,49 @@ def test_landed_text_is_packed_and_records_move_once_before_their_fields_are_rea
     table._write = lambda df, batch, write=table._write: (told.append(plan_text(df).count("REBALANCE")), write(df, batch))
     table.load(frame, ["2023", "2024"], rebalanced=spec.rebalanced)
     assert told == [1] and table.read().count() == frame.count() > 0
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 4096])
+def test_pages_are_texts_of_flat_lines_in_order(spark, tables, blocks):
+    """No line is nested or read by an interpreted function on its way, races are counted without their lines."""
+    sf_dir, lines, orders = tables
+    pages = A.race_result_pages(spark, sf_dir, "F", "Results", page_size=4, blocks=blocks)
+    found = {}
+    for r in pages.collect():
+        page = json.loads(r["json"])
+        assert json.dumps(page, separators=(",", ":")) == r["json"]
+        found[r["season"], int(page["MRData"]["offset"])] = [x["raceName"] for x in page["MRData"]["RaceTable"]["Races"]]
+    due = sorted(expected(lines, orders, "F"))
+    assert [x for _, names in sorted(found.items()) for x in names] == [str(k[1]) for k in due]
+    text = plan_text(pages)
+    assert "lambda" not in text
+    assert all("_piece" in x for x in text.splitlines() if "collect_list" in x), text
+
+
+def test_landed_pages_are_parsed_once_to_be_checked(spark):
+    parsed = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: (parsed.add(1), x)[1], "long")
+    pages = [(str(2000 + k % 2), 30 * (k // 2), 100, 30 if k < 6 else 10, False) for k in range(8)]
+
+    def inventory(session, keys):
+        frame = session.createDataFrame(pages, "key string, offset long, total long, records int, damaged boolean")
+        return frame.withColumn("offset", seen("offset"))
+
+    spec = SourceSpec("raw", lambda *_: None, partition_column="season", inventory=inventory)
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs())
+    ingest.check_landing(spark, spec, ["2000", "2001"])
+    assert parsed.value == len(pages)
+    with pytest.raises(ingest.IncompleteLanding, match="2002 offset None: no page landed"):
+        ingest.check_landing(spark, spec, ["2000", "2001", "2002"])
+    assert parsed.value == 2 * len(pages)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= kept
+
+
+def test_whole_records_are_stored_in_one_piece(spark, scratch):
+    rows = spark.range(50).select(F.lit("1").alias("season"), F.expr("parse_json('{\"a\":' || id || ',\"b\":\"x\"}')").alias("record"))
+    table = SliceTable(spark, f"{scratch}/t")
+    table.load(rows, ["1"])
+    files = glob.glob(f"{scratch}/t/data/season=1/*/*.parquet")
+    assert files and all({x.name for x in pq.read_schema(f).field("record").type} == {"value", "metadata"} for f in files)
+    assert table.loads().select("record_schema").first()[0] == "OBJECT<a: BIGINT, b: STRING>"
+    assert table.read().selectExpr("sum(variant_get(record, '$.a', 'int'))").first()[0] == 49 * 25
