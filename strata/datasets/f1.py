@@ -154,6 +154,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             reader("races", RACE_RECORD, ["RaceTable", "Races"]),
             partition_column="season",
             rebalanced=True,
+            shredded=False,
             inventory=lister("races", ["RaceTable", "Races"]),
         ),
         SourceSpec(
@@ -161,6 +162,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             reader("drivers", DRIVER_RECORD, ["DriverTable", "Drivers"]),
             partition_column="season",
             rebalanced=True,
+            shredded=False,
             inventory=lister("drivers", ["DriverTable", "Drivers"]),
         ),
         SourceSpec(
@@ -169,6 +171,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             shape=results_shape("Results"),
             partition_column="season",
             rebalanced=True,
+            shredded=False,
             inventory=lister("results", ["RaceTable", "Races"]),
         ),
         SourceSpec(
@@ -177,6 +180,7 @@ def sources(landing_root: str, json_lines: bool = False) -> tuple[SourceSpec, ..
             shape=results_shape("SprintResults"),
             partition_column="season",
             rebalanced=True,
+            shredded=False,
             inventory=lister("sprint", ["RaceTable", "Races"]),
         ),
     )

@@ -23,7 +23,7 @@ from strata.specs import KEY_COLUMN, Dataset, SourceSpec
 
 def bronze_table(spark: SparkSession, dataset: Dataset, spec: SourceSpec, root: str | None) -> SliceTable:
     slice_col = spec.partition_column if dataset.partitioned else None
-    return SliceTable(spark, bronze_location(dataset.name, spec.name, root), slice_col)
+    return SliceTable(spark, bronze_location(dataset.name, spec.name, root), slice_col, shredded=spec.shredded)
 
 
 def bronze_frame(spark: SparkSession, dataset: Dataset, spec: SourceSpec, keys: Sequence[str] | None) -> DataFrame:

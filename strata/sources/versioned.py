@@ -50,12 +50,18 @@ class StagedBatch:
 
 @dataclass
 class SliceTable:
-    """A table of slices keyed by ``slice_column`` (``None``: one whole-table slice)."""
+    """A table of slices keyed by ``slice_column`` (``None``: one whole-table slice).
+
+    ``shredded``: whole records are stored as Spark infers it, often used fields in columns of their
+    own, where whole numbers of a field that has fractions are fractions too. Else each is stored in
+    one piece, as it is, which is far cheaper to write and to read back whole.
+    """
 
     spark: SparkSession
     path: str
     slice_column: str | None = "season"
     slice_type: str = "string"
+    shredded: bool = True
 
     @property
     def data_path(self) -> str:
@@ -177,8 +183,8 @@ class SliceTable:
 
     def _write(self, df: DataFrame, batch: Column) -> None:
         writer = df.withColumn(BATCH, batch).write.mode("append").option("compression", "zstd")  # whole records repeat much
-        # they are written and read back in one piece: their fields in columns of their own would cost both ways
-        writer = writer.option("spark.sql.variant.inferShreddingSchema", "false")
+        if not self.shredded:
+            writer = writer.option("spark.sql.variant.inferShreddingSchema", "false")
         writer.partitionBy(*self._parts()).parquet(self.data_path)
 
     def _written(self, batch: Column, whole: bool) -> DataFrame:

@@ -35,6 +35,7 @@ class SourceSpec:
     ``inventory`` lists the landed pages of the keys (``pages.page_inventory``);
     a load with one accepts a key only if its pages are complete. ``rebalanced``:
     the reader deals its rows out to tasks by key, the load needn't do it again.
+    ``shredded``: how whole records are stored (``versioned.SliceTable``).
     """
 
     name: str
@@ -44,6 +45,7 @@ class SourceSpec:
     inventory: Reader | None = None
     page_size: int = 30
     rebalanced: bool = False
+    shredded: bool = True
 
 
 @dataclass(frozen=True)
